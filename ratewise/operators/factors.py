@@ -35,15 +35,17 @@ def fit_als(
     reg: float = DEFAULTS.reg,
     max_iter: int = DEFAULTS.max_iter,
     seed: int = DEFAULTS.seed,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> ALSModel:
     """Explicit, non-negative ALS; unknown ids get no prediction.
 
     ``blocks`` is the number of user and of item blocks and so the parallelism
-    of a fit: raise it with the number of cores. ALS cuts its lineage every
-    ten iterations in the shared checkpoint folder.
+    of a fit; it follows the cluster's cores unless given. Another number of
+    blocks starts from other random factors. ALS cuts its lineage every ten
+    iterations in the shared checkpoint folder.
     """
-    shared_dir(train.sparkSession)
+    spark = train.sparkSession
+    shared_dir(spark)
     als = ALS(
         userCol="user_id",
         itemCol="movie_id",
@@ -55,7 +57,7 @@ def fit_als(
         regParam=reg,
         maxIter=max_iter,
     )
-    als.setNumBlocks(blocks)
+    als.setNumBlocks(blocks or max(10, spark.sparkContext.defaultParallelism))
     return als.fit(train.select("user_id", "movie_id", "rating"))
 
 

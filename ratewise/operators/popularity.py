@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import exact_round, score_text
@@ -68,3 +68,14 @@ def popular_list(popular: DataFrame) -> DataFrame:
             score_text(F.col("listed"), "avg_rating").alias("display"),
         ).alias("popular")
     )
+
+
+def pinned_list(popular: DataFrame) -> Column:
+    """The popular list as a constant, for use by many micro-batches.
+
+    Reads the n rows once; as a subquery they would be aggregated from all
+    ratings again each time.
+    """
+    listed = popular_list(popular)
+    text = listed.select(F.to_json("popular")).first()[0]
+    return F.from_json(F.lit(text), listed.schema["popular"].dataType)

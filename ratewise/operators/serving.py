@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions import exact_round, score_text, user_bucket
 from ratewise.operators.cleaning import keep_latest
-from ratewise.operators.popularity import POPULAR_NOTE, popular_list
+from ratewise.operators.popularity import POPULAR_NOTE
 from ratewise.operators.recommending import recommendation_rows
 from ratewise.operators.titles import numbered_title, with_title
 from ratewise.settings import DEFAULTS
@@ -62,24 +62,28 @@ def find_recommendations(
     return recs.join(F.broadcast(users), "user_id", "left_semi")
 
 
-def titled_recommendations(found: DataFrame, items: DataFrame) -> DataFrame:
-    """Recommendation arrays with titles and scores to four places, best first."""
+def is_titled(recs: DataFrame) -> bool:
+    return "title" in recs.schema["recommendations"].dataType.elementType.names
+
+
+def titled_recommendations(recs: DataFrame, items: DataFrame) -> DataFrame:
+    """The table with a title in every entry, best first.
+
+    Done once when the table is written, serving a micro-batch is a lookup
+    without a join to the items and without a regrouping.
+    """
     rows = with_title(
-        recommendation_rows(found), items, "movie_id", default=numbered_title("movie_id")
+        recommendation_rows(recs), items, "movie_id", default=numbered_title("movie_id")
     )
-    entry = F.struct("rank", "movie_id", "title", "rating")
-    ordered = F.sort_array(F.collect_list(entry))
-    return rows.groupBy("user_id").agg(ordered.alias("recs")).select(
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "movie_id", "title", "rating")))
+    return rows.groupBy("user_id").agg(ordered.alias("ranked")).select(
         "user_id",
         F.transform(
-            "recs",
+            "ranked",
             lambda r: F.struct(
-                r["movie_id"].alias("movie_id"),
-                r["title"].alias("title"),
-                exact_round(r["rating"], 4).alias("predicted_rating"),
+                r["movie_id"].alias("movie_id"), r["title"].alias("title"), r["rating"].alias("rating")
             ),
         ).alias("recommendations"),
-        score_text(F.col("recs"), "rating").alias("display"),
     )
 
 
@@ -87,25 +91,41 @@ def serve(
     users: DataFrame,
     recs: DataFrame,
     items: DataFrame,
-    popular: DataFrame,
+    fallback: Column,
     check: UserCheck | None = None,
 ) -> DataFrame:
     """One row per user: precomputed recommendations, or the popular list.
 
     The left side of a left join can't be broadcast, so the table is cut to
-    the wanted users first and only that is joined back.
+    the wanted users first and only that is joined back. It holds one row per
+    user, so what few users find is few rows too, and is broadcast in turn.
+    ``fallback`` is the popular list: ``popular_list(..).scalar()`` or
+    ``pinned_list(..)``.
     """
     users = users.select("user_id").distinct()
-    found = titled_recommendations(find_recommendations(users, recs, check), items)
-    fallback = popular_list(popular).scalar()
-    missing = F.col("found.recommendations").isNull()
-    return users.alias("u").join(
-        found.alias("found"), F.col("u.user_id") == F.col("found.user_id"), "left"
-    ).select(
-        "u.user_id",
-        F.coalesce("found.recommendations", fallback["recommendations"]).alias("recommendations"),
-        F.when(missing, POPULAR_NOTE).otherwise(PRECOMPUTED_SOURCE).alias("source"),
-        F.coalesce("found.display", fallback["display"]).alias("display"),
+    found = find_recommendations(users, recs, check)
+    if not is_titled(recs):
+        found = titled_recommendations(found, items)
+    found = found.select("user_id", "recommendations", F.lit(True).alias("is_found"))
+    if check is not None and check.few:
+        found = F.broadcast(found)
+    rounded = F.transform(
+        "recommendations",
+        lambda r: F.struct(
+            r["movie_id"].alias("movie_id"),
+            r["title"].alias("title"),
+            exact_round(r["rating"], 4).alias("predicted_rating"),
+        ),
+    )
+    return users.join(found, "user_id", "left").select(
+        "user_id",
+        F.when(F.col("is_found"), rounded)
+        .otherwise(fallback["recommendations"])
+        .alias("recommendations"),
+        F.when(F.col("is_found"), PRECOMPUTED_SOURCE).otherwise(POPULAR_NOTE).alias("source"),
+        F.when(F.col("is_found"), score_text(F.col("recommendations"), "rating"))
+        .otherwise(fallback["display"])
+        .alias("display"),
     )
 
 

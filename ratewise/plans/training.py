@@ -18,6 +18,7 @@ from ratewise.operators.factors import (
 )
 from ratewise.operators.popularity import popular_items
 from ratewise.operators.recommending import recommend, recommend_all
+from ratewise.operators.serving import titled_recommendations
 from ratewise.session import scratch_path
 from ratewise.settings import DEFAULTS, Settings
 from ratewise.sinks import write_recommendations
@@ -30,21 +31,23 @@ class TrainedModel:
     summary: DataFrame
 
 
+def written_part(part: DataFrame, path: str) -> DataFrame:
+    """The rating triples of a split, written once and read back."""
+    part.select("user_id", "movie_id", "rating").write.parquet(path)
+    return part.sparkSession.read.parquet(path)
+
+
 def train_model(
-    ratings: DataFrame, model_path: str, settings: Settings = DEFAULTS, blocks: int = 10
+    ratings: DataFrame, model_path: str, settings: Settings = DEFAULTS, blocks: int | None = None
 ) -> TrainedModel:
     """Split, fit, measure, tune if the error is too high, and save the model.
 
     The split is written to the shared folder once; every fit of the tuning
     reads it from there instead of running the cleaning again.
     """
-    spark = ratings.sparkSession
-    path = scratch_path(spark, "split")
-    parts = []
-    for name, part in zip(("train", "test"), hash_split(ratings, round(settings.train_fraction * 100))):
-        part.select("user_id", "movie_id", "rating").write.parquet(f"{path}/{name}")
-        parts.append(spark.read.parquet(f"{path}/{name}"))
-    train, test = parts
+    path = scratch_path(ratings.sparkSession, "split")
+    parts = hash_split(ratings, round(settings.train_fraction * 100))
+    train, test = (written_part(p, f"{path}/{n}") for p, n in zip(parts, ("train", "test")))
     options = {"max_iter": settings.max_iter, "seed": settings.seed, "blocks": blocks}
     first = train_and_score(train, test, settings.rank, settings.reg, **options)
     best = tune(first, train, test, threshold=settings.rmse_threshold, **options)
@@ -55,19 +58,20 @@ def train_model(
 def train_from_files(
     spark: SparkSession,
     ratings_path: str,
+    items_path: str,
     model_path: str,
     recs_path: str,
     settings: Settings = DEFAULTS,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Read, clean, train, and write model and recommendation table; returns the summary."""
     clean = clean_ratings(
         read_ratings(spark, ratings_path), settings.rating_low, settings.rating_high
     )
     trained = train_model(clean, model_path, settings, blocks)
-    write_recommendations(
-        recommend_all(load_model(model_path), settings.top_n), recs_path, settings.user_buckets
-    )
+    recs = recommend_all(load_model(model_path), settings.top_n)
+    items = distinct_items(read_items(spark, items_path))
+    write_recommendations(titled_recommendations(recs, items), recs_path, settings.user_buckets)
     return trained.summary
 
 

@@ -32,7 +32,7 @@ class Settings:
 
     # Ours: what a micro-batch may broadcast, and how many directories the
     # recommendation table is laid out in.
-    max_broadcast_users: int = 500_000
+    max_broadcast_users: int = 100_000
     user_buckets: int = 64
 
 

@@ -1,11 +1,12 @@
 from ratewise.streaming.events import encode_events, parse_events
-from ratewise.streaming.replay import write_replay
+from ratewise.streaming.replay import replay_slices, write_replay
 from ratewise.streaming.runner import Outputs, run_until_stopped, start_queries, stop_all
 
 __all__ = [
     "Outputs",
     "encode_events",
     "parse_events",
+    "replay_slices",
     "run_until_stopped",
     "start_queries",
     "stop_all",

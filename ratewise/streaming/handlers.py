@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.operators.alerts import item_alerts, user_alerts
@@ -77,7 +77,7 @@ def recommendation_handler(
     path: str,
     recs: DataFrame,
     items: DataFrame,
-    popular: DataFrame,
+    fallback: Column,
     settings: Settings = DEFAULTS,
 ) -> Handler:
     """Look up and write recommendations of every user in the batch.
@@ -91,7 +91,7 @@ def recommendation_handler(
             check = check_users(users, settings.user_buckets, settings.max_broadcast_users)
             if not check.n_users:
                 return
-            with _kept(serve(users, recs, items, popular, check)) as served:
+            with _kept(serve(users, recs, items, fallback, check)) as served:
                 served.count()
                 latency_ms = (time.monotonic() - started) * 1000
                 write_served(served, path, batch_id, latency_ms)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,13 +11,11 @@ from ratewise.session import scratch_path
 from ratewise.streaming.events import encode_events
 
 
-def write_replay(ratings: DataFrame, path: str, slices: int) -> None:
-    """Write the events of ``slices`` time ranges one after the other.
+def replay_slices(ratings: DataFrame, slices: int) -> Iterator[DataFrame]:
+    """Encoded events of ``slices`` equal time ranges, oldest range first.
 
-    A file stream takes files by their modification time, so a slice is only
-    written once the one before is complete; no event is then older than one
-    of an earlier slice. The ratings are read once and staged by slice in the
-    shared folder, and each slice reads only its own directory.
+    The ratings are read once and staged by slice in the shared folder, and
+    each slice reads only its own directory.
     """
     spark = ratings.sparkSession
     staged = scratch_path(spark, "replay")
@@ -24,7 +24,19 @@ def write_replay(ratings: DataFrame, path: str, slices: int) -> None:
         return
     width = (bounds["hi"] - bounds["lo"]) // slices + 1
     number = F.floor((F.col("timestamp") - bounds["lo"]) / width).cast("int")
-    ratings.withColumn("slice", number).write.partitionBy("slice").parquet(staged)
-    table = spark.read.schema(ratings.withColumn("slice", number).schema).parquet(staged)
+    numbered = ratings.withColumn("slice", number)
+    numbered.write.partitionBy("slice").parquet(staged)
+    table = spark.read.schema(numbered.schema).parquet(staged)
     for i in range(slices):
-        encode_events(table.filter(F.col("slice") == i)).write.mode("append").parquet(path)
+        yield encode_events(table.filter(F.col("slice") == i))
+
+
+def write_replay(ratings: DataFrame, path: str, slices: int) -> None:
+    """Write the slices one after the other into one folder.
+
+    A file stream takes files by their modification time, so a slice is only
+    written once the one before is complete; no event is then older than one
+    of an earlier slice.
+    """
+    for events in replay_slices(ratings, slices):
+        events.write.mode("append").parquet(path)

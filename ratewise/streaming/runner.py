@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ratewise.operators.popularity import pinned_list
 from ratewise.operators.windows import item_windows, user_windows
 from ratewise.settings import DEFAULTS, Settings
 from ratewise.streaming.handlers import item_handler, recommendation_handler, user_handler
@@ -72,9 +73,7 @@ def start_queries(
     can't be started the others are stopped.
     """
     trigger = trigger or {"processingTime": settings.trigger}
-    # At most n rows by its limit; as a local relation it isn't aggregated
-    # from all ratings again by every micro-batch.
-    popular = events.sparkSession.createDataFrame(popular.collect(), popular.schema)
+    fallback = pinned_list(popular)
     bounds = (settings.window, settings.slide, settings.watermark)
     plans = {
         "item_windows": (
@@ -90,7 +89,7 @@ def start_queries(
         "recommendations": (
             events,
             "append",
-            recommendation_handler(out.served, recs, items, popular, settings),
+            recommendation_handler(out.served, recs, items, fallback, settings),
         ),
     }
     started: dict[str, StreamingQuery] = {}
