@@ -1,10 +1,12 @@
 """Column expressions shared by the operators; all run inside the JVM."""
 
-from ratewise.functions.hashing import split_bucket, user_bucket
+from ratewise.functions.hashing import bucket_column, bucket_count, split_bucket, user_bucket
 from ratewise.functions.numbers import exact_round, fixed_text, score_text
 from ratewise.functions.times import epoch_to_iso, epoch_to_time, iso_to_time
 
 __all__ = [
+    "bucket_column",
+    "bucket_count",
     "epoch_to_iso",
     "epoch_to_time",
     "exact_round",

@@ -47,9 +47,9 @@ def unseen(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
     """Candidates the user hasn't rated.
 
     The key is the (user, item) pair, which hashes evenly however much one
-    user or one item holds.
+    user or one item holds; repeated ratings of a pair go before the shuffle.
     """
-    seen = ratings.select("user_id", "movie_id")
+    seen = ratings.select("user_id", "movie_id").distinct()
     return candidates.join(seen, ["user_id", "movie_id"], "left_anti")
 
 
@@ -73,7 +73,8 @@ def recommend_subset(
     """
     spark = users.sparkSession
     known = known_users(users, model)
-    seen = ratings.select("user_id", "movie_id").join(known, "user_id", "left_semi").distinct()
+    # Distinct first: what one user holds is then at most the number of items.
+    seen = ratings.select("user_id", "movie_id").distinct().join(known, "user_id", "left_semi")
     per_user = seen.groupBy("user_id").agg(F.count("*").alias("n_seen"))
     # The smallest level with n_seen <= 4**level; -1 for nothing seen. The
     # margin keeps exact powers of four from rounding up.

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions import exact_round, score_text, user_bucket
+from ratewise.functions import bucket_column, bucket_count, exact_round, score_text, user_bucket
 from ratewise.operators.cleaning import keep_latest
 from ratewise.operators.popularity import POPULAR_NOTE
 from ratewise.operators.recommending import recommendation_rows
@@ -27,7 +27,7 @@ class UserCheck:
 
     n_users: int
     buckets: list[int]
-    limit: int = DEFAULTS.max_broadcast_users
+    limit: int
 
     @property
     def few(self) -> bool:
@@ -35,14 +35,14 @@ class UserCheck:
 
 
 def check_users(
-    users: DataFrame,
-    n_buckets: int = DEFAULTS.user_buckets,
-    limit: int = DEFAULTS.max_broadcast_users,
+    users: DataFrame, recs: DataFrame, limit: int = DEFAULTS.max_broadcast_users
 ) -> UserCheck:
-    """Count the users and the table directories they touch (at most ``n_buckets``)."""
+    """Count the users and list the directories of ``recs`` they touch, at most all."""
     row = users.agg(
         F.count("*").alias("n"),
-        F.collect_set(user_bucket(F.col("user_id"), n_buckets)).alias("buckets"),
+        F.collect_set(
+            user_bucket(F.col("user_id"), bucket_count(recs.columns) or 1)
+        ).alias("buckets"),
     ).first()
     return UserCheck(row["n"], sorted(row["buckets"]), limit)
 
@@ -57,8 +57,9 @@ def find_recommendations(
     """
     if check is None or not check.few:
         return recs.join(users, "user_id", "left_semi")
-    if "user_bucket" in recs.columns:
-        recs = recs.filter(F.col("user_bucket").isin(check.buckets))
+    n_buckets = bucket_count(recs.columns)
+    if n_buckets:
+        recs = recs.filter(F.col(bucket_column(n_buckets)).isin(check.buckets))
     return recs.join(F.broadcast(users), "user_id", "left_semi")
 
 

@@ -14,8 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rating per event: item from ``props``, no rating for errors."""
+def event_ratings(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
+    """One rating per event: item from ``props``, no rating for errors.
+
+    ``others`` are columns of the events to keep as they are.
+    """
     value_class = (F.floor(F.col("value") / 25) + 1).cast("float")
     event_time = F.col("ts").cast("timestamp")
     return table(spark, sf_dir, "events").select(
@@ -25,6 +28,7 @@ def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") != "error", value_class).alias("rating"),
         F.unix_timestamp(event_time).alias("timestamp"),
         event_time.alias("event_time"),
+        *others,
     )
 
 

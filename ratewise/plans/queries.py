@@ -9,6 +9,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratewise.functions import bucket_column
 from ratewise.operators import alerts as al
 from ratewise.operators import factors, popularity, profiling, ranking, recommending, serving
 from ratewise.operators import windows as win
@@ -530,7 +531,9 @@ def _table(spark: SparkSession, sf: str) -> DataFrame:
 def recommendation_table(spark, sf):
     """What the stored table holds per user, and its directories."""
     return _table(spark, sf).select(
-        "user_id", F.size("recommendations").alias("n_items"), F.col("user_bucket").isNotNull().alias("bucketed")
+        "user_id",
+        F.size("recommendations").alias("n_items"),
+        F.col(bucket_column(DEFAULTS.user_buckets)).isNotNull().alias("bucketed"),
     )
 
 
@@ -539,7 +542,7 @@ def _served_now(spark, sf):
     users = frames.customers(spark, sf)
     fallback = popularity.popular_list(_popular(spark, sf)).scalar()
     return serving.serve(
-        users, recs, frames.small_part_items(spark, sf), fallback, serving.check_users(users)
+        users, recs, frames.small_part_items(spark, sf), fallback, serving.check_users(users, recs)
     )
 
 
@@ -565,9 +568,7 @@ def serve_batch_sources(spark, sf):
 
 def _served(spark, sf):
     """Every event stands for one served record."""
-    return frames.event_ratings(spark, sf).join(
-        frames.table(spark, sf, "events").select("event_id", "value"), "event_id"
-    ).select(
+    return frames.event_ratings(spark, sf, "value").select(
         "user_id",
         "movie_id",
         F.round("value", 2).alias("latency_ms"),

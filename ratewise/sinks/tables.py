@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions import user_bucket
+from ratewise.functions import bucket_column, user_bucket
 from ratewise.schemas import ALERT_TIME_FORMAT
 from ratewise.settings import DEFAULTS
 
@@ -24,10 +24,11 @@ def write_recommendations(
     has one row per user, so hashed buckets can't be skewed; raise ``buckets``
     with the number of users.
     """
-    bucketed = recs.withColumn("user_bucket", user_bucket(F.col("user_id"), buckets))
-    bucketed.repartition("user_bucket").sortWithinPartitions("user_bucket", "user_id").write.mode(
+    bucket = bucket_column(buckets)
+    bucketed = recs.withColumn(bucket, user_bucket(F.col("user_id"), buckets))
+    bucketed.repartition(bucket).sortWithinPartitions(bucket, "user_id").write.mode(
         "overwrite"
-    ).partitionBy("user_bucket").parquet(path)
+    ).partitionBy(bucket).parquet(path)
 
 
 def write_served(served: DataFrame, path: str, batch_id: int, latency_ms: float) -> None:

@@ -60,7 +60,7 @@ def distinct_items(items: DataFrame) -> DataFrame:
 
 
 def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    """The precomputed table; keeps its ``user_bucket`` directory column if it has one."""
+    """The precomputed table; keeps its directory column if it has one."""
     return spark.read.parquet(path)
 
 

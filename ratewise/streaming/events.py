@@ -28,7 +28,11 @@ def parse_events(records: DataFrame, value: str = "value") -> DataFrame:
 def encode_events(
     ratings: DataFrame, partitions: int = DEFAULTS.topic_partitions, item_col: str = "movie_id"
 ) -> DataFrame:
-    """Ratings as records in time order: key and partition by item, value as JSON."""
+    """Ratings as records in time order: key and partition by item, value as JSON.
+
+    The row number as last sort key lets the range partitioner split a run of
+    equal rows.
+    """
     partition = F.pmod(F.col(item_col), F.lit(partitions)).cast("int")
     event = F.struct(
         "user_id",
@@ -36,7 +40,9 @@ def encode_events(
         "rating",
         epoch_to_iso(F.col("timestamp")).alias("timestamp"),
     )
-    return ratings.orderBy("timestamp", "user_id", item_col, "rating").select(
+    return ratings.orderBy(
+        "timestamp", "user_id", item_col, F.monotonically_increasing_id()
+    ).select(
         partition.cast("string").cast("binary").alias("key"),
         F.to_json(event).cast("binary").alias("value"),
         partition.alias("partition"),

@@ -88,7 +88,7 @@ def recommendation_handler(
     def handle(batch: DataFrame, batch_id: int) -> None:
         with _kept(batch_users(batch)) as users:
             started = time.monotonic()
-            check = check_users(users, settings.user_buckets, settings.max_broadcast_users)
+            check = check_users(users, recs, settings.max_broadcast_users)
             if not check.n_users:
                 return
             with _kept(serve(users, recs, items, fallback, check)) as served:
