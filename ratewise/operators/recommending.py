@@ -61,45 +61,65 @@ def ranked(candidates: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _fetch(level: int) -> int:
+    """Largest number of seen items on a level; nothing seen is level -1."""
+    return 4**level if level >= 0 else 0
+
+
+def fetch_groups(users_per_level: dict[int, int], slack: float = 0.1) -> list[list[int]]:
+    """Levels to score together, each group with the fetch size of its last level.
+
+    A level joins the next one if scoring its users at that size adds at most
+    ``slack`` to the total, as every group scans all items once more.
+    """
+    levels = sorted(users_per_level)
+    total = sum(users_per_level[level] * _fetch(level) for level in levels)
+    groups: list[list[int]] = []
+    for level in levels:
+        carried = sum(users_per_level[small] for small in groups[-1]) if groups else 0
+        if groups and carried * _fetch(level) <= slack * total:
+            groups[-1].append(level)
+        else:
+            groups.append([level])
+    return groups
+
+
 def recommend_subset(
     model: ALSModel, users: DataFrame, ratings: DataFrame, n: int = DEFAULTS.top_n
 ) -> DataFrame:
     """Top n unseen items of the given users that the model knows.
 
-    A user with s seen items needs the top n + s. Users are put in levels of
-    s <= 4**level and each level is scored once, so what is fetched stays
-    below n + 4s per user; one list sized for the heaviest user isn't made for
-    all. The levels are at most log4 of the number of items.
+    A user with s seen items needs the top n + s. Users are put on levels of
+    s <= 4**level, at most log4 of the number of items, so that one list sized
+    for the heaviest user isn't made for all.
     """
     spark = users.sparkSession
     known = known_users(users, model)
     # Distinct first: what one user holds is then at most the number of items.
     seen = ratings.select("user_id", "movie_id").distinct().join(known, "user_id", "left_semi")
     per_user = seen.groupBy("user_id").agg(F.count("*").alias("n_seen"))
-    # The smallest level with n_seen <= 4**level; -1 for nothing seen. The
-    # margin keeps exact powers of four from rounding up.
+    # The margin keeps exact powers of four from rounding up.
     level = F.when(F.col("n_seen").isNull(), -1).otherwise(
         F.ceil(F.log(4.0, F.col("n_seen").cast("double")) - 1e-9)
     )
-    # A written table: every level reads only its own directory, and a lost
+    # A written table: every group reads only its own directories, and a lost
     # executor costs no second pass over the ratings.
     path = scratch_path(spark, "seen-levels")
     known.join(per_user, "user_id", "left").select(
         "user_id", level.cast("int").alias("level")
     ).write.partitionBy("level").parquet(path)
     leveled = spark.read.schema("user_id int, level int").parquet(path)
+    counts = {r["level"]: r["count"] for r in leveled.groupBy("level").count().collect()}
     n_items = model.itemFactors.count()
     fetched = [
         recommendation_rows(
             model.recommendForUserSubset(
-                leveled.filter(F.col("level") == row["level"]).select("user_id"),
-                min(n_items, n + (4 ** row["level"] if row["level"] >= 0 else 0)),
+                leveled.filter(F.col("level").isin(group)).select("user_id"),
+                min(n_items, n + _fetch(group[-1])),
             )
         )
-        for row in leveled.select("level").distinct().orderBy("level").collect()
+        for group in fetch_groups(counts) or [[-1]]
     ]
-    if not fetched:
-        fetched = [recommendation_rows(model.recommendForUserSubset(known, n))]
     candidates = reduce(DataFrame.unionByName, fetched).drop("rank")
     return ranked(unseen(candidates, seen), n).select("user_id", "rank", "movie_id", "rating")
 

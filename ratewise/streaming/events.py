@@ -18,8 +18,10 @@ def parse_events(records: DataFrame, value: str = "value") -> DataFrame:
     text only has to be there: text that isn't a time gives a null
     ``event_time``, which windows skip and the recommendation query keeps.
     """
+    # Generated columns: a filter on the fields of a plain struct column would
+    # be moved below it and parse the text once more for each field.
     event = F.from_json(F.col(value).cast("string"), EVENTS)
-    fields = records.select(event.alias("event")).select("event.*")
+    fields = records.select(F.inline(F.array(event)))
     return complete(fields, EVENTS.names).withColumn(
         "event_time", iso_to_time(F.col("timestamp"))
     )

@@ -41,7 +41,9 @@ def _flat(windows: DataFrame) -> DataFrame:
 def _window_handler(path: str, alerts_path: str, alerts_of: Callable[[DataFrame], DataFrame]):
     def handle(batch: DataFrame, batch_id: int) -> None:
         with _kept(batch) as windows:
-            if windows.isEmpty():
+            # A count fills the cache in one parallel job; isEmpty() would run
+            # the first state partition alone.
+            if not windows.count():
                 return
             write_batch(_flat(windows), path, batch_id)
             write_alerts(alerts_of(windows), alerts_path, batch_id)

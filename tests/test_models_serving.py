@@ -13,6 +13,7 @@ from ratewise.operators.popularity import (
 )
 from ratewise.operators.recommending import (
     cold_users,
+    fetch_groups,
     known_users,
     recommend,
     recommend_all,
@@ -170,6 +171,21 @@ def test_subset_gives_the_best_unseen_items(spark, model, ratings, n):
     assert not [r for r in rows if r["user_id"] == 999]
 
 
+def test_small_levels_join_the_next(spark):
+    assert fetch_groups({}) == []
+    assert fetch_groups({3: 5}) == [[3]]
+    assert fetch_groups({0: 1, 1: 7, 2: 507, 3: 13765, 4: 718}) == [[0, 1, 2, 3], [4]]
+    assert fetch_groups({-1: 1000, 2: 1000}) == [[-1], [2]]
+    for counts in ({-1: 10**6, 0: 10**5, 3: 10**4, 9: 3}, {0: 1, 8: 1}):
+        groups = fetch_groups(counts)
+        assert sorted(level for group in groups for level in group) == sorted(counts)
+
+
+def test_subset_of_unknown_users_is_empty(spark, model, ratings):
+    users = spark.createDataFrame([(999,)], "user_id int")
+    assert recommend_subset(model, users, ratings).count() == 0
+
+
 def test_known_and_cold_users(spark, model):
     users = spark.createDataFrame([(1,), (1,), (999,), (5,)], "user_id int")
     known = known_users(users, model)
