@@ -135,10 +135,13 @@ def latest_served(served: DataFrame) -> DataFrame:
     return keep_latest(served, ["user_id"], "batch_id")
 
 
-def serving_metrics(served: DataFrame, alerts: DataFrame) -> DataFrame:
-    """One row: served records, their mean latency and the number of alerts."""
+def serving_metrics(
+    served: DataFrame, alerts: DataFrame, target_ms: float = DEFAULTS.latency_target_ms
+) -> DataFrame:
+    """One row: served records, mean latency, records not below the target, and alerts."""
     n_alerts = alerts.agg(F.count("*").alias("n_alerts"))
     return served.agg(
         F.count("*").alias("n_served"),
         exact_round(F.avg("latency_ms"), 1).alias("avg_latency_ms"),
-    ).select("n_served", "avg_latency_ms", n_alerts.scalar().alias("n_alerts"))
+        F.count_if(F.col("latency_ms") >= target_ms).alias("n_over_target"),
+    ).select("n_served", "avg_latency_ms", "n_over_target", n_alerts.scalar().alias("n_alerts"))

@@ -111,7 +111,7 @@ _CTES = {
             JOIN slw w ON w.window_start = v.window_start AND w.item_id = v.item_id AND w.slice <= v.slice
             GROUP BY ALL)""",
     "uv": """
-        SELECT v.slice, v.window_start, v.user_id, count(*) AS n
+        SELECT v.slice, v.window_start, v.user_id, count(*) AS n, round(avg(w.rating), 4) AS user_avg_rating
         FROM (SELECT DISTINCT slice, window_start, user_id FROM slw) v
         JOIN slw w ON w.window_start = v.window_start AND w.user_id = v.user_id AND w.slice <= v.slice
         GROUP BY ALL""",
@@ -408,6 +408,7 @@ _sql(
 _sql(
     "serving_metrics",
     """SELECT count(*) AS n_served, CAST(printf('%.1f', avg(latency_ms)) AS DOUBLE) AS avg_latency_ms,
+              count(*) FILTER (latency_ms >= 50) AS n_over_target,
               (SELECT count(*) FROM al) AS n_alerts FROM served""",
     *_AL,
     "served",
@@ -436,6 +437,28 @@ _sql(
     "ms",
     "sia",
 )
+_sql(
+    "stream_trending",
+    """SELECT nth_batch, window_start, window_end, item_id, avg_rating, interaction_count, trending_score,
+              substr(coalesce(title, 'Unknown'), 1, 35) AS title FROM (
+           SELECT *, CAST(slice + 1 AS INTEGER) AS nth_batch, window_start + INTERVAL 7 DAY AS window_end,
+                  row_number() OVER (PARTITION BY slice
+                      ORDER BY trending_score DESC, window_start DESC, item_id) AS nth FROM iv)
+       LEFT JOIN ms ON item_id = movie_id WHERE nth <= 10""",
+    *_STREAM,
+    "iv",
+    "ms",
+)
+_sql(
+    "stream_active_users",
+    """SELECT CAST(slice + 1 AS INTEGER) AS nth_batch, window_start,
+              window_start + INTERVAL 7 DAY AS window_end, user_id, n AS user_interaction_count,
+              user_avg_rating FROM (
+           SELECT *, row_number() OVER (PARTITION BY slice
+               ORDER BY n DESC, window_start DESC, user_id) AS nth FROM uv) WHERE nth <= 5""",
+    *_STREAM,
+    "uv",
+)
 _sql(
     "stream_recommendations",
     f"""SELECT user_id, source, count(*) AS n_served, CAST(sum(n) AS BIGINT) AS n_items FROM (

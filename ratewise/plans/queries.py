@@ -589,7 +589,7 @@ def served_newest_batches(spark, sf):
 
 @query
 def serving_metrics(spark, sf):
-    return serving.serving_metrics(_served(spark, sf), _all_alerts(spark, sf))
+    return serving.serving_metrics(_served(spark, sf), _all_alerts(spark, sf), target_ms=50)
 
 
 # ---- streams ------------------------------------------------------------------
@@ -646,6 +646,16 @@ def stream_user_windows(spark, sf):
     )
 
 
+def _numbered_batches(df: DataFrame) -> DataFrame:
+    """Batches numbered from 1: empty micro-batches leave gaps between the ids.
+
+    The ranking window has no partition, but sees one row per batch.
+    """
+    nth = F.row_number().over(Window.orderBy("batch_id"))
+    numbers = df.select("batch_id").distinct().withColumn("nth_batch", nth)
+    return df.join(numbers, "batch_id").drop("batch_id")
+
+
 def _stream_alerts(spark, sf):
     out = _stream(spark, sf)
     return spark.read.parquet(out.item_alerts).unionByName(spark.read.parquet(out.user_alerts))
@@ -662,9 +672,19 @@ def stream_alerts(spark, sf):
 def stream_alerts_per_batch(spark, sf):
     """Rule hits per micro-batch of the item query; batches numbered from 1 (a row each)."""
     written = spark.read.parquet(_stream(spark, sf).item_alerts)
-    counts = al.alerts_per_batch(written)
-    nth = F.row_number().over(Window.orderBy("batch_id"))
-    return counts.select(nth.alias("nth_batch"), "n_alerts")
+    return _numbered_batches(al.alerts_per_batch(written))
+
+
+@query
+def stream_trending(spark, sf):
+    """The top ten of each micro-batch."""
+    return _plain_times(_numbered_batches(spark.read.parquet(_stream(spark, sf).trending)))
+
+
+@query
+def stream_active_users(spark, sf):
+    """The five most active users of each micro-batch."""
+    return _plain_times(_numbered_batches(spark.read.parquet(_stream(spark, sf).active_users)))
 
 
 @query

@@ -29,6 +29,7 @@ class Settings:
     recent_alerts: int = 50
     newest_batches: int = 10
     trigger: str = "10 seconds"
+    latency_target_ms: float = 5000
 
     # Ours: what a micro-batch may broadcast, and how many directories the
     # recommendation table is laid out in.

@@ -59,9 +59,16 @@ def distinct_items(items: DataFrame) -> DataFrame:
     ).select("movie_id", "item.title", "item.genres")
 
 
-def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
-    """The precomputed table; keeps its directory column if it has one."""
-    return spark.read.parquet(path)
+def read_recommendations(spark: SparkSession, path: str, warm: bool = False) -> DataFrame:
+    """The precomputed table; keeps its directory column if it has one.
+
+    ``warm`` loads it into the cluster's cache at once, which suits a table
+    that fits; else each lookup reads the directories it needs.
+    """
+    table = spark.read.parquet(path)
+    if warm:
+        table.persist().count()
+    return table
 
 
 def read_records(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -11,9 +11,19 @@ from ratewise.settings import DEFAULTS
 
 
 def read_served(spark: SparkSession, path: str) -> DataFrame:
-    """All served records with their ``batch_id`` directory; bad lines are left out."""
+    """All served records with their ``batch_id``; bad lines are left out.
+
+    The batch is the ``batch_id=`` directory, or the number in the name of a
+    ``batch_<id>.json`` file.
+    """
     schema = T.StructType([*SERVED.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).json(path).filter(F.col("user_id").isNotNull())
+    in_name = F.regexp_extract("_metadata.file_name", r"^batch_(\d+)", 1).try_cast("bigint")
+    return (
+        spark.read.schema(schema)
+        .json(path)
+        .withColumn("batch_id", F.coalesce("batch_id", in_name))
+        .filter(F.col("user_id").isNotNull())
+    )
 
 
 def newest_batches(served: DataFrame, n: int = DEFAULTS.newest_batches) -> DataFrame:

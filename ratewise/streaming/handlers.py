@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.operators.alerts import item_alerts, user_alerts
+from ratewise.operators.ranking import top_trending, top_users
 from ratewise.operators.serving import batch_users, check_users, serve
+from ratewise.operators.titles import with_title
 from ratewise.settings import DEFAULTS, Settings
 from ratewise.sinks import write_alerts, write_batch, write_served
 
 Handler = Callable[[DataFrame, int], None]
 
+TITLE_WIDTH = 35  # Fixed value: width of a title in the trending table.
+
 
 @contextmanager
 def _kept(batch: DataFrame):
@@ -38,40 +42,57 @@ def _flat(windows: DataFrame) -> DataFrame:
     )
 
 
-def _window_handler(path: str, alerts_path: str, alerts_of: Callable[[DataFrame], DataFrame]):
+Derive = Callable[[DataFrame], DataFrame]
+
+
+def _window_handler(
+    windows_path: str, alerts_path: str, top_path: str, alerts_of: Derive, top_of: Derive
+) -> Handler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         with _kept(batch) as windows:
             # A count fills the cache in one parallel job; isEmpty() would run
             # the first state partition alone.
             if not windows.count():
                 return
-            write_batch(_flat(windows), path, batch_id)
+            write_batch(_flat(windows), windows_path, batch_id)
             write_alerts(alerts_of(windows), alerts_path, batch_id)
+            write_batch(_flat(top_of(windows)), top_path, batch_id)
 
     return handle
 
 
 def item_handler(
-    path: str,
+    windows_path: str,
     alerts_path: str,
+    trending_path: str,
     items: DataFrame,
     settings: Settings = DEFAULTS,
     top_n: int | None = None,
 ) -> Handler:
-    """Write the updated item windows and their alerts."""
+    """Write the updated item windows, their alerts, and the batch's top trending items."""
     return _window_handler(
-        path,
+        windows_path,
         alerts_path,
+        trending_path,
         lambda windows: item_alerts(
             windows, items, settings.alert_rating, settings.alert_score, top_n=top_n
         ),
+        lambda windows: with_title(
+            top_trending(windows, settings.trending_n), items, "item_id", max_len=TITLE_WIDTH
+        ),
     )
 
 
-def user_handler(path: str, alerts_path: str, settings: Settings = DEFAULTS) -> Handler:
-    """Write the updated user windows and their alerts."""
+def user_handler(
+    windows_path: str, alerts_path: str, active_path: str, settings: Settings = DEFAULTS
+) -> Handler:
+    """Write the updated user windows, their alerts, and the batch's most active users."""
     return _window_handler(
-        path, alerts_path, lambda windows: user_alerts(windows, settings.alert_interactions)
+        windows_path,
+        alerts_path,
+        active_path,
+        lambda windows: user_alerts(windows, settings.alert_interactions),
+        lambda windows: top_users(windows, settings.top_n),
     )
 
 

@@ -36,6 +36,14 @@ class Outputs:
     def user_alerts(self) -> str:
         return f"{self.root}/alerts/users"
 
+    @property
+    def trending(self) -> str:
+        return f"{self.root}/trending"
+
+    @property
+    def active_users(self) -> str:
+        return f"{self.root}/active_users"
+
     @property
     def served(self) -> str:
         return f"{self.root}/recommendations"
@@ -79,12 +87,14 @@ def start_queries(
         "item_windows": (
             item_windows(events, *bounds),
             "update",
-            item_handler(out.item_windows, out.item_alerts, items, settings, alert_top_n),
+            item_handler(
+                out.item_windows, out.item_alerts, out.trending, items, settings, alert_top_n
+            ),
         ),
         "user_windows": (
             user_windows(events, *bounds),
             "update",
-            user_handler(out.user_windows, out.user_alerts, settings),
+            user_handler(out.user_windows, out.user_alerts, out.active_users, settings),
         ),
         "recommendations": (
             events,

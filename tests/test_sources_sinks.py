@@ -14,6 +14,7 @@ from ratewise.sources import (
     read_items,
     read_rating_lines,
     read_ratings,
+    read_recommendations,
     read_served,
 )
 
@@ -123,6 +124,21 @@ def test_served_round_trip_skips_bad_lines_and_overwrites(spark, tmp_path):
     }
 
 
+def test_served_files_named_by_batch(spark, tmp_path):
+    record = '{"user_id": 4, "recommendations": [], "latency_ms": 1.0, "source": "s"}\n'
+    for batch_id in (7, 12):
+        (tmp_path / f"batch_{batch_id}.json").write_text(record)
+    assert sorted(r["batch_id"] for r in read_served(spark, str(tmp_path)).collect()) == [7, 12]
+
+
+def test_warm_table_is_cached(spark, tmp_path):
+    path = str(tmp_path / "recs")
+    spark.range(3).write.parquet(path)
+    table = read_recommendations(spark, path, warm=True)
+    assert table.is_cached and table.count() == 3
+    table.unpersist()
+
+
 def test_alert_log_round_trip(spark, tmp_path):
     messages = [
         "🔴 ALERT [RATING SPIKE] Item 1 (Trending [TRENDING]) avg_rating=5.00 > 4.5",

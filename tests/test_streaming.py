@@ -208,6 +208,11 @@ def test_alerts_and_served_records(spark, sides, tmp_path):
     assert {r["title"] for r in alerts.collect()} == {"One"}
     users = spark.read.parquet(out.user_alerts).collect()
     assert {(r["entity_id"], r["metric"]) for r in users} == {(1, 13.0)}
+    top = spark.read.parquet(out.trending)
+    best = top.filter("batch_id = 1").orderBy(F.desc("trending_score"), F.desc("window_start")).first()
+    assert (best["item_id"], best["title"], best["trending_score"]) == (1, "One", 41.0)
+    active = spark.read.parquet(out.active_users).filter("batch_id = 0")
+    assert {r["user_id"] for r in active.collect()} == {1, 9}
     served = read_served(spark, out.served)
     got = {(r["batch_id"], r["user_id"]): r for r in served.collect()}
     assert set(got) == {(0, 1), (0, 9), (1, 1), (1, 4)}
