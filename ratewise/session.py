@@ -28,6 +28,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     if master:

@@ -11,7 +11,16 @@ from ratewise.schemas import ALERT_TIME_FORMAT
 from ratewise.settings import DEFAULTS
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, format: str = "parquet") -> None:
+ROWS_PER_FILE = 250_000
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, format: str = "parquet", rows: int | None = None
+) -> None:
+    """Write one micro-batch. ``rows``, if the caller has counted them, sets the
+    number of files; else there is one per (state) partition every trigger."""
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_PER_FILE + 1)
     df.write.mode("overwrite").format(format).save(f"{path}/batch_id={batch_id}")
 
 
@@ -22,21 +31,24 @@ def write_recommendations(
 
     A micro-batch then reads only the directories of its own users. The table
     has one row per user, so hashed buckets can't be skewed; raise ``buckets``
-    with the number of users.
+    with the number of users. ``rebalance`` lets AQE write a large bucket with
+    many tasks and many small ones with one.
     """
     bucket = bucket_column(buckets)
     bucketed = recs.withColumn(bucket, user_bucket(F.col("user_id"), buckets))
-    bucketed.repartition(bucket).sortWithinPartitions(bucket, "user_id").write.mode(
+    bucketed.hint("rebalance", bucket).sortWithinPartitions(bucket, "user_id").write.mode(
         "overwrite"
     ).partitionBy(bucket).parquet(path)
 
 
-def write_served(served: DataFrame, path: str, batch_id: int, latency_ms: float) -> None:
+def write_served(
+    served: DataFrame, path: str, batch_id: int, latency_ms: float, n_rows: int | None = None
+) -> None:
     """JSON lines of one batch, each with the time its lookup took."""
-    rows = served.select(
+    records = served.select(
         "user_id", "recommendations", F.lit(round(latency_ms, 2)).alias("latency_ms"), "source"
     )
-    write_batch(rows, path, batch_id, "json")
+    write_batch(records, path, batch_id, "json", n_rows)
 
 
 def _line(alert_time: Column, message: Column) -> Column:
@@ -48,6 +60,7 @@ def alert_lines(alerts: DataFrame) -> DataFrame:
     return alerts.select(_line(F.col("alert_time"), F.col("message")).alias("value"))
 
 
-def write_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
+def write_alerts(alerts: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:
     """Typed alerts of one batch with the time they were raised."""
-    write_batch(alerts.withColumn("alert_time", F.current_timestamp()), path, batch_id)
+    timed = alerts.withColumn("alert_time", F.current_timestamp())
+    write_batch(timed, path, batch_id, rows=rows)

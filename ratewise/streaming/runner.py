@@ -52,14 +52,22 @@ class Outputs:
 def _start(
     df: DataFrame, name: str, mode: str, handler, checkpoint: str, trigger: Mapping[str, object]
 ) -> StreamingQuery:
-    return (
-        df.writeStream.queryName(name)
-        .outputMode(mode)
-        .foreachBatch(handler)
-        .option("checkpointLocation", f"{checkpoint}/{name}")
-        .trigger(**trigger)
-        .start()
-    )
+    # A query keeps the pool it is started in. Under the FAIR scheduler the
+    # short lookups then don't wait behind the window queries' jobs.
+    context = df.sparkSession.sparkContext
+    pool = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return (
+            df.writeStream.queryName(name)
+            .outputMode(mode)
+            .foreachBatch(handler)
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+            .trigger(**trigger)
+            .start()
+        )
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", pool)
 
 
 def start_queries(
