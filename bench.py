@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ratewise.operators import factors, popularity, recommending, serving
 from ratewise.plans import frames
 from ratewise.plans.queries import QUERIES
-from ratewise.plans.training import written_part
 from ratewise.session import build_session, scratch_path
 from ratewise.sinks import write_recommendations
 from ratewise.sources import read_recommendations, read_served
@@ -97,11 +96,10 @@ def main() -> None:
 
 def model_queries(spark: SparkSession, sf_dir: str, timed, extra: dict[str, float]) -> None:
     """Training, precomputing and serving on the orders: 600,000 lines at sf0.1."""
-    path = scratch_path(spark, "bench-ratings")
-    ratings = written_part(frames.clean_order_ratings(spark, sf_dir), f"{path}/clean")
-    train, test = (
-        written_part(part, f"{path}/{i}") for i, part in enumerate(factors.hash_split(ratings))
-    )
+    stored = scratch_path(spark, "bench-ratings")
+    frames.clean_order_ratings(spark, sf_dir).write.parquet(stored)
+    ratings = spark.read.parquet(stored)
+    train, test = factors.written_split(ratings, scratch_path(spark, "bench-split"))
     training = timed("als_train_and_rmse", lambda: factors.train_and_score(train, test))
     extra["rmse"] = round(training.rmse, 4)
     extra["train_rows"] = train.count()

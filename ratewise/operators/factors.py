@@ -23,10 +23,32 @@ def random_split(
     return left, right
 
 
-def hash_split(df: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Split by (user, item) hash: the same on every layout, and with no shuffle."""
+def tag_split(df: DataFrame, train_percent: int = 80) -> DataFrame:
+    """Add ``part``, train or test, by (user, item) hash: the same on every layout."""
     bucket = split_bucket(F.col("user_id"), F.col("movie_id"))
-    return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
+    return df.withColumn("part", F.when(bucket < train_percent, "train").otherwise("test"))
+
+
+def hash_split(df: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Both parts as frames, with no shuffle; each one runs ``df`` when used."""
+    tagged = tag_split(df, train_percent)
+    return (
+        tagged.filter("part = 'train'").drop("part"),
+        tagged.filter("part = 'test'").drop("part"),
+    )
+
+
+def written_split(
+    df: DataFrame, path: str, train_percent: int = 80
+) -> tuple[DataFrame, DataFrame]:
+    """Write the rating triples of both parts in one pass over ``df`` and read them back."""
+    triples = df.select("user_id", "movie_id", "rating")
+    tag_split(triples, train_percent).write.partitionBy("part").parquet(path)
+    stored = df.sparkSession.read.schema(tag_split(triples).schema).parquet(path)
+    return (
+        stored.filter("part = 'train'").drop("part"),
+        stored.filter("part = 'test'").drop("part"),
+    )
 
 
 def fit_als(

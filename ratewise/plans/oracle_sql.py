@@ -331,7 +331,7 @@ _sql(
     *_POP,
 )
 _sql("rating_split", "SELECT user_id, movie_id, rating, part FROM sp", *_RC, "sp")
-_sql("split_counts", "SELECT part AS frame, count(*) AS n_rows FROM sp GROUP BY 1", *_RC, "sp")
+_sql("split_counts", "SELECT part, count(*) AS n_rows FROM sp GROUP BY 1", *_RC, "sp")
 _sql("random_split_total", "SELECT user_id, movie_id, rating FROM rc", *_RC)
 _sql(
     "rmse_item_mean",

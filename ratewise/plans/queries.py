@@ -16,7 +16,7 @@ from ratewise.operators import windows as win
 from ratewise.operators.cleaning import valid_ratings
 from ratewise.operators.titles import numbered_title, with_title
 from ratewise.plans import frames
-from ratewise.plans.training import train_model, written_part
+from ratewise.plans.training import train_model
 from ratewise.session import pin_utc, scratch_path
 from ratewise.settings import DEFAULTS
 from ratewise.sinks import alert_lines, write_recommendations
@@ -348,17 +348,14 @@ def _split(spark, sf):
 
 @query
 def rating_split(spark, sf):
-    train, test = _split(spark, sf)
-    keep = ("user_id", "movie_id", "rating")
-    return train.select(*keep, F.lit("train").alias("part")).unionByName(
-        test.select(*keep, F.lit("test").alias("part"))
-    )
+    tagged = factors.tag_split(frames.clean_event_ratings(spark, sf))
+    return tagged.select("user_id", "movie_id", "rating", "part")
 
 
 @query
 def split_counts(spark, sf):
-    train, test = _split(spark, sf)
-    return profiling.row_counts(train=train, test=test)
+    tagged = factors.tag_split(frames.clean_event_ratings(spark, sf))
+    return tagged.groupBy("part").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -401,9 +398,8 @@ def als_rmse(spark, sf):
 @query
 def als_rmse_orders(spark, sf):
     """Sizes and error on the wide id space of the orders, from a written split."""
-    path = scratch_path(spark, "orders-split")
-    parts = factors.hash_split(frames.clean_order_ratings(spark, sf))
-    train, test = (written_part(part, f"{path}/{i}") for i, part in enumerate(parts))
+    clean = frames.clean_order_ratings(spark, sf)
+    train, test = factors.written_split(clean, scratch_path(spark, "orders-split"))
     trained = factors.train_and_score(train, test)
     return factors.training_summary(trained, train, test).drop("seconds")
 
@@ -425,8 +421,8 @@ def als_predicted_pairs(spark, sf):
 @query
 def als_tune(spark, sf):
     """All settings tried, with the limit set so low that tuning starts."""
-    path = scratch_path(spark, "tune-split")
-    train, test = (written_part(p, f"{path}/{i}") for i, p in enumerate(_split(spark, sf)))
+    clean = frames.clean_event_ratings(spark, sf)
+    train, test = factors.written_split(clean, scratch_path(spark, "tune-split"))
     first = factors.train_and_score(train, test)
     return factors.trial_table(spark, factors.tune(first, train, test, threshold=0.5))
 

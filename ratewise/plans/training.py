@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ratewise.operators.cleaning import clean_ratings
 from ratewise.operators.factors import (
     Training,
-    hash_split,
     load_model,
     save_model,
     train_and_score,
     training_summary,
     tune,
+    written_split,
 )
 from ratewise.operators.popularity import popular_items
 from ratewise.operators.recommending import recommend, recommend_all
@@ -31,12 +31,6 @@ class TrainedModel:
     summary: DataFrame
 
 
-def written_part(part: DataFrame, path: str) -> DataFrame:
-    """The rating triples of a split, written once and read back."""
-    part.select("user_id", "movie_id", "rating").write.parquet(path)
-    return part.sparkSession.read.parquet(path)
-
-
 def train_model(
     ratings: DataFrame, model_path: str, settings: Settings = DEFAULTS, blocks: int | None = None
 ) -> TrainedModel:
@@ -46,8 +40,7 @@ def train_model(
     reads it from there instead of running the cleaning again.
     """
     path = scratch_path(ratings.sparkSession, "split")
-    parts = hash_split(ratings, round(settings.train_fraction * 100))
-    train, test = (written_part(p, f"{path}/{n}") for p, n in zip(parts, ("train", "test")))
+    train, test = written_split(ratings, path, round(settings.train_fraction * 100))
     options = {"max_iter": settings.max_iter, "seed": settings.seed, "blocks": blocks}
     first = train_and_score(train, test, settings.rank, settings.reg, **options)
     best = tune(first, train, test, threshold=settings.rmse_threshold, **options)

@@ -30,6 +30,7 @@ from ratewise.operators.serving import (
     titled_recommendations,
 )
 from ratewise.plans.training import recommend_from_files, train_from_files, train_model
+from ratewise.session import scratch_path
 from ratewise.settings import Settings
 from ratewise.sinks import write_recommendations
 from ratewise.sources import read_recommendations
@@ -110,6 +111,10 @@ def test_splits(spark, ratings):
     other, _ = factors.hash_split(ratings.repartition(7))
     assert sorted(map(tuple, other.collect())) == sorted(map(tuple, train.collect()))
     assert "Exchange" not in plan_of(train)
+    stored = factors.written_split(ratings, scratch_path(spark, "split"))
+    keep = ("user_id", "movie_id", "rating")
+    for got, want in zip(stored, (train, test)):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*keep).collect()))
     left, right = factors.random_split(ratings)
     assert left.count() + right.count() == ratings.count()
 
