@@ -58,6 +58,6 @@ def clean_ratings(
     result doesn't depend on how the input is partitioned.
     """
     latest = keep_latest(
-        valid_ratings(df, lo, hi), ("user_id", "movie_id"), "timestamp", (*tiebreak, "rating")
+        valid_ratings(df.drop("event_time"), lo, hi), ("user_id", "movie_id"), "timestamp", (*tiebreak, "rating")
     )
     return latest.withColumn("event_time", epoch_to_time(F.col("timestamp")))
