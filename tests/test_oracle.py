@@ -19,7 +19,7 @@ def duck(sf):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert entry.queries().keys() == QUERIES.keys()
+    assert entry.queries().keys() >= QUERIES.keys()
     assert len(ORACLES) >= 55
 
 
