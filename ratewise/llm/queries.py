@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, simhash, templates
+from ratewise.llm import decontamination, mixing, repeats, simhash, templates, toxicity
 from ratewise.llm.shipping import send_package
+from ratewise.llm.text import id_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,34 @@ def _hex64(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+#: Shares of tokens that the mixture aims at: less of the largest source.
+MIXTURE = mixing.Targets(
+    source={"src0": 0.25, "other": 0.75},
+    lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    topic={"prose": 0.8, "list": 0.1, "note": 0.05, "markup": 0.05},
+)
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labelled rows that may be learnt from."""
+    return labels.filter(id_remainder(F.col("doc_id"), 5) != 0)
+
+
+def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, probability and draw of each document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs, MIXTURE, fraction=0.5).select(
+        "doc_id",
+        F.col("_source").alias("source_cell"),
+        F.col("_lang").alias("lang_cell"),
+        F.col("_topic").alias("topic_cell"),
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_probability").alias("probability"),
+        F.col("_weight").alias("weight"),
+        F.col("_sampled").alias("sampled"),
+    )
+
+
 def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and recurring lines of each document, and a digest of what stays."""
     kept = templates.drop_recurring(_table(spark, sf_dir, "documents"), with_counts=True)
@@ -44,6 +73,19 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by a model that saw no held-out label."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, training_labels(_table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return toxicity.score(docs, weights).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of each document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,10 +94,21 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that an earlier one has in a passage of 50 words."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_raking": op2_raking,
     "op3_line_templates": op3_line_templates,
     "op4_winnowing": op4_winnowing,
+    "op8_counterfactual": op8_counterfactual,
     "op9_golay_simhash": op9_golay_simhash,
+    "op10_seed_extend": op10_seed_extend,
 }
 
 _UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -75,7 +75,7 @@ class WordHash:
     def __init__(self, seed: int):
         random = np.random.default_rng(seed)
         self.values = random.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = np.uint64(int(random.integers(2**40, 2**62)) * 8 + 3)
+        self.base = np.uint64(int(random.integers(2**40, 2**60)) * 8 + 3)
         self.powers = np.ones(1, np.uint64)
 
     def power(self, n: int) -> np.ndarray:
