@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, mixing, repeats, simhash, templates, toxicity
+from ratewise.llm import decontamination, mixing, perplexity, repeats, simhash, templates, toxicity
 from ratewise.llm.shipping import send_package
 from ratewise.llm.text import id_remainder
 
@@ -73,6 +73,22 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity band of each document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return perplexity.assess(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "log_perplexity",
+    )
+
+
 def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document by a model that saw no held-out label."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +122,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_raking": op2_raking,
     "op3_line_templates": op3_line_templates,
     "op4_winnowing": op4_winnowing,
+    "op5_kneser_ney": op5_kneser_ney,
     "op8_counterfactual": op8_counterfactual,
     "op9_golay_simhash": op9_golay_simhash,
     "op10_seed_extend": op10_seed_extend,

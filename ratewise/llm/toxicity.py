@@ -53,14 +53,15 @@ _SWAPS = {
 class Training:
     """Bounds and strengths of the fit."""
 
-    max_rows: int = 10_000  # labelled rows it is fitted on, the first by hash of their id
-    bits: int = 18  # 2 ** bits weights
+    max_rows: int = 12_000  # labelled rows it is fitted on, the first by hash of their id
+    bits: int = 20  # 2 ** bits weights
     beginnings: tuple[int, ...] = (4, 5, 6)  # bytes of a word's start that are features
     min_texts: int = 3  # labelled texts a feature must be in
+    min_evidence: float = 12.0  # its log-likelihood ratio (G squared) against the labels
     epochs: int = 12
     batch: int = 256
     rate: float = 0.5
-    shrink: float = 1e-5
+    shrink: float = 1e-4
     swap_penalty: float = 0.1
 
 
@@ -99,11 +100,29 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def evidence(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """Log-likelihood ratio of each feature: does having it say something on the label?"""
+    every = np.concatenate(rows)
+    toxic = np.concatenate([r for r, y in zip(rows, labels) if y] or [every[:0]])
+    with_, toxic_with = np.bincount(every, minlength=size), np.bincount(toxic, minlength=size)
+    n, positive = len(rows), labels.sum()
+    total = np.zeros(size)
+    for here, among in (
+        (toxic_with, with_),
+        (positive - toxic_with, n - with_),
+    ):
+        for share, part in ((positive / n, here), (1 - positive / n, among - here)):
+            expected = among * share
+            ratio = np.divide(part, expected, out=np.ones(size), where=(expected > 0) & (part > 0))
+            total += 2 * part * np.log(ratio)
+    return total
+
+
 def _fit(labels: np.ndarray, rows: list[np.ndarray], swapped: list, options: Training):
     """Weights (the last is the bias) by AdaGrad over batches of texts."""
     size = 1 << options.bits
-    seen = np.bincount(np.concatenate(rows), minlength=size) if rows else np.zeros(size)
-    usable = seen >= options.min_texts
+    seen = np.bincount(np.concatenate(rows), minlength=size)
+    usable = (seen >= options.min_texts) & (evidence(rows, labels, size) >= options.min_evidence)
     rows = [r[usable[r]] for r in rows]
     weights, squares = np.zeros(size + 1), np.full(size + 1, 1e-6)
     weights[size] = np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))
