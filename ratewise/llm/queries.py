@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, mixing, perplexity, repeats, simhash, templates, toxicity
+from ratewise.llm import decontamination, maxent, mixing, perplexity, repeats, rollups, simhash
+from ratewise.llm import templates, toxicity, warc
 from ratewise.llm.shipping import send_package
-from ratewise.llm.text import id_remainder
+from ratewise.llm.text import id_remainder, words
+from ratewise.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,12 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return labels.filter(id_remainder(F.col("doc_id"), 5) != 0)
 
 
+def op1_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document by a model of those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return maxent.score(docs, id_remainder(F.col("doc_id"), 7) == 2)
+
+
 def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell, probability and draw of each document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
@@ -89,6 +97,46 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read back from them."""
+    folder = scratch_path(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.pages_of(warc.read_archives(spark, folder))
+
+
+def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a feed of changes: all documents come, under two versions of the
+    tokenizer; some are counted anew without bare marks, some go; one batch comes twice."""
+    docs = _table(spark, sf_dir, "documents")
+    text = words(F.col("text"))
+    counted = docs.select(
+        "doc_id",
+        "source",
+        "lang",
+        F.size(text).cast("bigint").alias("whole"),
+        F.size(decontamination.item_words(F.col("text"))).cast("bigint").alias("bare"),
+    )
+    path = scratch_path(spark, "counted-documents")
+    counted.write.parquet(path)
+    counted = spark.read.parquet(path)
+
+    def changes(op: str, tokenizer: str, count: str) -> DataFrame:
+        return counted.select(
+            F.lit(op).alias("op"), F.lit(0).cast("bigint").alias("seq"), "doc_id", "source",
+            "lang", F.lit(tokenizer).alias("tokenizer"), F.col(count).alias("n_tokens"),
+        )
+
+    store = rollups.RollupStore(spark, scratch_path(spark, "rollups"))
+    part = id_remainder(F.col("doc_id"), 10)
+    revised = changes("revise", "words@1", "bare").filter(part == 3)
+    store.commit(1, changes("insert", "words@1", "whole"))
+    store.commit(2, changes("insert", "words@2", "bare"))
+    store.commit(3, revised)
+    store.commit(3, revised)
+    store.commit(4, changes("delete", "words@1", "whole").filter(part == 4))
+    return store.totals()
+
+
 def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document by a model that saw no held-out label."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,10 +167,13 @@ def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hashed_maxent": op1_hashed_maxent,
     "op2_raking": op2_raking,
     "op3_line_templates": op3_line_templates,
     "op4_winnowing": op4_winnowing,
     "op5_kneser_ney": op5_kneser_ney,
+    "op6_salvage": op6_salvage,
+    "op7_rollups": op7_rollups,
     "op8_counterfactual": op8_counterfactual,
     "op9_golay_simhash": op9_golay_simhash,
     "op10_seed_extend": op10_seed_extend,
@@ -131,6 +182,35 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 LLM_ORACLES: dict[str, str] = {
+    "op6_salvage": """
+WITH p AS (
+  SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages
+), s AS (
+  SELECT page_id, octet_length(payload) AS size, sha256(payload) AS digest FROM p
+), f AS (
+  SELECT digest, min(page_id) AS first FROM s WHERE size >= 100 GROUP BY digest
+)
+SELECT s.page_id, size AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first IS NULL OR first = s.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> s.page_id THEN first END AS refers_to
+FROM s LEFT JOIN f ON f.digest = s.digest AND size >= 100
+""",
+    "op7_rollups": rf"""
+WITH d AS (
+  SELECT doc_id, source, lang,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS whole,
+    len(regexp_extract_all(translate(coalesce(text, ''), {_UPPER_TO_LOWER}),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS bare
+  FROM documents
+), t AS (
+  SELECT source, lang, 'words@1' AS tokenizer,
+    CASE WHEN crc32(CAST(doc_id AS VARCHAR)) % 10 = 3 THEN bare ELSE whole END AS n
+  FROM d WHERE crc32(CAST(doc_id AS VARCHAR)) % 10 <> 4
+  UNION ALL SELECT source, lang, 'words@2', bare FROM d
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM t GROUP BY ALL
+""",
     "op3_line_templates": r"""
 WITH split AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
