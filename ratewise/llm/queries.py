@@ -127,7 +127,7 @@ def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     store = rollups.RollupStore(spark, scratch_path(spark, "rollups"))
-    part = id_remainder(F.col("doc_id"), 10)
+    part = F.pmod(F.col("doc_id"), F.lit(10))
     revised = changes("revise", "words@1", "bare").filter(part == 3)
     store.commit(1, changes("insert", "words@1", "whole"))
     store.commit(2, changes("insert", "words@2", "bare"))
@@ -190,7 +190,7 @@ WITH p AS (
 ), f AS (
   SELECT digest, min(page_id) AS first FROM s WHERE size >= 100 GROUP BY digest
 )
-SELECT s.page_id, size AS payload_bytes, digest AS payload_digest,
+SELECT s.page_id, size AS payload_bytes, s.digest AS payload_digest,
   CASE WHEN first IS NULL OR first = s.page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> s.page_id THEN first END AS refers_to
 FROM s LEFT JOIN f ON f.digest = s.digest AND size >= 100
@@ -204,8 +204,8 @@ WITH d AS (
   FROM documents
 ), t AS (
   SELECT source, lang, 'words@1' AS tokenizer,
-    CASE WHEN crc32(CAST(doc_id AS VARCHAR)) % 10 = 3 THEN bare ELSE whole END AS n
-  FROM d WHERE crc32(CAST(doc_id AS VARCHAR)) % 10 <> 4
+    CASE WHEN doc_id % 10 = 3 THEN bare ELSE whole END AS n
+  FROM d WHERE doc_id % 10 <> 4
   UNION ALL SELECT source, lang, 'words@2', bare FROM d
 )
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
