@@ -1,7 +1,7 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 A token's class is predicted from hashed features of the tokens before it: the
-last one, the last two together, the last but one and the last but two (skips).
+last one, the last two together, and the last but one alone (a skip).
 The ``head`` most frequent tokens have classes of ``slots`` by frequency and are
 predicted within their class from hashed features of class and last token. Any
 other token belongs to a class by its surface (length, last byte, bytes above
@@ -49,12 +49,12 @@ class Shape:
     """Sizes and steps; none depends on the documents."""
 
     slots: int = 32
-    head_classes: int = 32
-    tail_classes: int = 24
+    head_classes: int = 16
+    tail_classes: int = 16
     bits: int = 14  # 2 ** bits rows of class weights, and as many within classes
     rounds: int = 2
     batch: int = 2048
-    rate: float = 1.0
+    rate: float = 2.0
 
     @property
     def head(self) -> int:
@@ -81,7 +81,7 @@ def surface_class(words: Words, n: int) -> np.ndarray:
     last = words.data[words.first + words.length - 1]
     mark = (last < 48) | ((last > 57) & (last < 97))
     wide = np.maximum.reduceat(words.data, words.first) > 127
-    size = np.digitize(words.length, (4, 6, 8, 11, 15))
+    size = np.digitize(words.length, (5, 8, 12))
     return (size * 4 + mark * 2 + wide) % n
 
 
@@ -103,16 +103,15 @@ def _rows(t: Tokens, shape: Shape) -> list[np.ndarray]:
     starts = np.repeat(t.bounds[:-1], np.diff(t.bounds))
     place = np.arange(len(t.hashes)) - starts
     before = []
-    for k in (1, 2, 3):
+    for k in (1, 2):
         h = np.full(len(t.hashes), _START, np.uint64)
         h[k:] = t.hashes[:-k] if k < len(h) else h[k:]
         h[place < k] = _START
         before.append(h)
-    last, second, third = before
+    last, second = before
     kinds = (
         last,
         finish(second + np.uint64(2)),
-        finish(third + np.uint64(3)),
         finish(last * np.uint64(0x9E3779B97F4A7C15) + second),
     )
     return [(finish(h) >> np.uint64(64 - shape.bits)).astype(np.int64) for h in kinds]
