@@ -52,8 +52,8 @@ class Shape:
     head_classes: int = 16
     tail_classes: int = 16
     bits: int = 14  # 2 ** bits rows of class weights, and as many within classes
-    rounds: int = 2
-    batch: int = 2048
+    rounds: int = 1
+    batch: int = 16384
     rate: float = 2.0
 
     @property
@@ -199,16 +199,17 @@ def log10_scores(model: Model, t: Tokens, counts: np.ndarray, step: int = 16384)
     return out / np.log(10)
 
 
-def _add(table: np.ndarray, rows: np.ndarray, values: np.ndarray, seen: np.ndarray) -> None:
-    """Add the mean step of a batch to each row, and count the tokens of a row."""
-    order = np.argsort(rows, kind="stable")
-    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-    at = rows[order][first]
-    n = np.diff(np.append(first, len(order)))
-    step = np.add.reduceat(values[order], first, axis=0)
-    seen[at] += n
+def _add(table: np.ndarray, rows: list[np.ndarray], steps: np.ndarray, seen: np.ndarray) -> None:
+    """Take a batch's steps off the rows of its features, and count their tokens."""
+    n, width = table.shape
+    column = np.arange(width)
+    cells = np.concatenate([(r[:, None] * width + column).ravel() for r in rows])
+    total = np.bincount(cells, np.tile(steps.ravel(), len(rows)), n * width).reshape(n, width)
+    times = np.bincount(np.concatenate(rows), minlength=n)
+    at = np.flatnonzero(times)
+    seen[at] += times[at]
     # AdaGrad's shape without its table: steps shrink with what a row has seen.
-    table[at] -= step / np.sqrt(n * seen[at])[:, None]
+    table[at] -= total[at] / np.sqrt(times[at] * seen[at])[:, None]
 
 
 def learn(model: Model, texts: list[bytes], seen: np.ndarray, slot_seen: np.ndarray) -> None:
@@ -224,14 +225,13 @@ def learn(model: Model, texts: list[bytes], seen: np.ndarray, slot_seen: np.ndar
         g = _softmax(_class_scores(model, own))
         g[np.arange(len(g)), cls[part]] -= 1
         g *= rate / len(own)
-        for r in own:
-            _add(model.weights, r, g, seen)
+        _add(model.weights, own, g, seen)
         head = np.flatnonzero(rank[part] >= 0)
         if len(head):
             c, r = cls[part][head], slot_row[part][head]
             g = _softmax(model.slot_bias[c] + model.slot_weights[r])
             g[np.arange(len(g)), rank[part][head] % shape.slots] -= 1
-            _add(model.slot_weights, r, g * rate, slot_seen)
+            _add(model.slot_weights, [r], g * rate, slot_seen)
 
 
 def count_tokens(docs: DataFrame, shape: Shape) -> DataFrame:
