@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.llm.decontamination import fingerprint_filter
 from ratewise.llm.text import (
     WordHash,
     block_count,
@@ -256,6 +257,9 @@ def remove_repeats(docs: DataFrame, sizes: Lengths = Lengths()) -> DataFrame:
         .filter("low < high")
         .select("seed")
     )
+    path = scratch_path(spark, "shared-seeds")
+    shared.write.parquet(path)
+    shared = spark.read.parquet(path)
     path = scratch_path(spark, "shared-contexts")
     contexts.join(shared, "seed").write.parquet(path)
     contexts = spark.read.parquet(path)
@@ -271,12 +275,21 @@ def remove_repeats(docs: DataFrame, sizes: Lengths = Lengths()) -> DataFrame:
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
     wanted = kinds.join(several, "seed").select("block", "key", "key2", "least")
 
+    path = scratch_path(spark, "wanted-contexts")
+    wanted.write.parquet(path)
+    wanted = spark.read.parquet(path)
+    # Few documents hold them; a bit map of fixed size passes over most others.
+    holder = fingerprint_filter(wanted.select(F.xxhash64("least").alias("fp")))
     path = scratch_path(spark, "context-windows")
-    _extended(rows, wanted, sizes).write.parquet(path)
+    _extended(rows.filter(holder(F.xxhash64("doc_id"))), wanted, sizes).write.parquet(path)
     windows = spark.read.parquet(path)
     known = windows.groupBy("w1", "w2").agg(
         F.min("least").alias("first"), F.max("least").alias("last")
     ).filter("first < last")
+    # Written, so that the join starts from plain rows and a frequent window can be split.
+    path = scratch_path(spark, "known-windows")
+    known.write.parquet(path)
+    known = spark.read.parquet(path)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("offset"))
     masks = (
         windows.join(known, ["w1", "w2"])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[ \t\n\x0B\f\r]+"
 #: Text bytes that one block of documents aims at.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 
 _GAPS = np.zeros(256, bool)
 _GAPS[[9, 10, 11, 12, 13, 32]] = True
