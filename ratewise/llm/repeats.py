@@ -162,10 +162,11 @@ class _Table:
 
 
 def _extended(docs: DataFrame, wanted: DataFrame, sizes: Lengths) -> DataFrame:
-    """Windows (w1, w2) of the wanted contexts (block, key, key2, least), by their offset."""
+    """Windows (w1, w2) of the wanted (block, context, key, key2, least), by their offset."""
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         table, least = _Table(right), right.column("least").to_numpy()
+        context = right.column("context").to_numpy()
         texts = text_bytes(left.column("text"))
         out, done = [], np.zeros(right.num_rows, bool)
         for a, b in groups_of(texts):
@@ -188,18 +189,14 @@ def _extended(docs: DataFrame, wanted: DataFrame, sizes: Lengths) -> DataFrame:
                         "w1": _signed(w1),
                         "w2": _signed(w2),
                         "least": pa.array(least[row[which]], pa.int64()),
-                        "key": _signed(table_key(right, "key")[row[which]]),
-                        "key2": _signed(table_key(right, "key2")[row[which]]),
+                        "context": pa.array(context[row[which]], pa.int64()),
                         "offset": pa.array(offset.astype(np.int32)),
                     }
                 )
             )
         return pa.concat_tables(out) if out else schema.empty_table()
 
-    def table_key(table: pa.Table, name: str) -> np.ndarray:
-        return table.column(name).to_numpy().astype(np.int64).view(np.uint64)
-
-    names = ["w1", "w2", "least", "key", "key2"]
+    names = ["w1", "w2", "least", "context"]
     schema = pa.schema([(n, pa.int64()) for n in names] + [("offset", pa.int32())])
     return (
         docs.groupBy("block")
@@ -269,11 +266,12 @@ def remove_repeats(docs: DataFrame, sizes: Lengths = Lengths()) -> DataFrame:
     )
     path = scratch_path(spark, "distinct-contexts")
     kinds.select(
+        F.monotonically_increasing_id().alias("context"),  # holds once it is written
         "seed", "key", "key2", F.col("holder.doc_id").alias("least"), "holder.block", "high"
     ).write.parquet(path)
     kinds = spark.read.parquet(path)
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    wanted = kinds.join(several, "seed").select("block", "key", "key2", "least")
+    wanted = kinds.join(several, "seed").select("block", "context", "key", "key2", "least")
 
     path = scratch_path(spark, "wanted-contexts")
     wanted.write.parquet(path)
@@ -294,11 +292,11 @@ def remove_repeats(docs: DataFrame, sizes: Lengths = Lengths()) -> DataFrame:
     masks = (
         windows.join(known, ["w1", "w2"])
         .filter("first < least")
-        .groupBy("key", "key2")
+        .groupBy("context")
         .agg(F.bit_or(bit).alias("mask"))
     )
     verdicts = (
-        kinds.join(masks, ["key", "key2"], "left")
+        kinds.join(masks, "context", "left")
         .withColumn("mask", F.coalesce("mask", F.lit(0).cast("bigint")))
         .filter("mask <> 0 or high > least")
         .select("seed", "key", "key2", "least", "mask")

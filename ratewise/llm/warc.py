@@ -27,6 +27,7 @@ from ratewise.session import scratch_path
 FILE_BYTES = 32 << 20
 # Profile of a revisit, magic number of a gzip member, names of our own fields.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_STEP = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
 PAGE_FIELD, REFERS_FIELD = "X-Page-Id", "X-Refers-To-Page-Id"
 _NEXT = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
@@ -103,18 +104,21 @@ def _unit(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
     if not data.startswith(MAGIC, at):
         fields, block, end = _record(data, at)
         return [(fields, block)], end
-    member = zlib.decompressobj(31)
+    member, parts, place = zlib.decompressobj(31), [], at
     try:
-        content = member.decompress(memoryview(data)[at:])
+        while not member.eof and place < len(data):  # in steps: what is unused is copied
+            parts.append(member.decompress(data[place : place + _STEP]))
+            place += _STEP
     except zlib.error as error:
         raise Damaged(f"bad member: {error}") from error
     if not member.eof:
         raise Damaged("the member is cut off")
+    content, end = b"".join(parts), min(place, len(data)) - len(member.unused_data)
     found, place = [], 0
     while place < len(content):
         fields, block, place = _record(content, place)
         found.append((fields, block))
-    return found, len(data) - len(member.unused_data)
+    return found, end
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
@@ -159,7 +163,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 100) -> DataF
         payload.alias("payload"),
         F.sha2(payload, 256).alias("digest"),
         F.octet_length(payload).cast("bigint").alias("size"),
-    ).write.parquet(path)  # the numbers hold from here
+    ).write.option("compression", "zstd").parquet(path)  # the numbers hold from here
     rows = spark.read.parquet(path)
     large = rows.filter(F.col("size") >= min_bytes)
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
@@ -176,28 +180,36 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 100) -> DataF
         .filter("row <> first_row")
         .select("row", "first_row", "first_page")
     )
-    files = int((rows.agg(F.sum("size")).first()[0] or 0) // FILE_BYTES) + 1
-    placed = rows.join(again, "row", "left").repartition(files, "row")
+    placed = rows.join(again, "row", "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         system, base = arrow_fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
-        name = f"{base}/pages-{task.partitionId():06d}.warc.gz"
         trial = f"{base}/.trial-{task.taskAttemptId()}"
-        count = 0
-        with system.open_output_stream(trial, compression=None) as out:
-            for batch in batches:
-                for r in batch.to_pylist():
-                    kind = "response" if r["first_row"] is None else "revisit"
-                    record = build_record(
-                        kind, r["row"], r["url"] or "", r["digest"], r["payload"], r["page_id"],
-                        r["first_row"], r["first_page"],
-                    )
+        records = (
+            build_record(
+                "response" if r["first_row"] is None else "revisit",
+                r["row"], r["url"] or "", r["digest"], r["payload"], r["page_id"],
+                r["first_row"], r["first_page"],
+            )
+            for batch in batches
+            for r in batch.to_pylist()
+        )
+        record, part = next(records, None), 0
+        while record is not None:
+            name = f"{base}/pages-{task.partitionId():06d}-{part:04d}.warc.gz"
+            count, size = 0, 0
+            with system.open_output_stream(trial, compression=None) as out:
+                while record is not None and size < FILE_BYTES:
                     out.write(gzip.compress(record, 6, mtime=0))
-                    count += 1
-        system.move(trial, name)
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count])], ["file", "records"])
+                    count, size = count + 1, size + len(record)
+                    record = next(records, None)
+            system.move(trial, name)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([count])], ["file", "records"]
+            )
+            part += 1
 
     path = scratch_path(spark, "archive-manifest")
     placed.mapInArrow(write, "file string, records bigint").write.parquet(path)
