@@ -223,7 +223,7 @@ WITH split AS (
       lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
   FROM listed
 ), long AS (
-  SELECT *, row(len(tokens), tokens[1], tokens[2]) AS leaf FROM lines WHERE len(tokens) >= 3
+  SELECT *, row(len(tokens), tokens[1], tokens[2], tokens[3]) AS leaf FROM lines WHERE len(tokens) >= 3
 ), kinds AS (
   SELECT leaf, tokens, count(DISTINCT row(doc_id, text)) AS n_docs FROM long GROUP BY ALL
 ), mixed AS (
@@ -233,7 +233,7 @@ WITH split AS (
 ), placed AS (
   SELECT leaf, n_docs, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM members
 ), votes AS (
-  SELECT leaf, place, token, sum(n_docs) AS n FROM placed WHERE place > 2 GROUP BY ALL
+  SELECT leaf, place, token, sum(n_docs) AS n FROM placed WHERE place > 3 GROUP BY ALL
 ), constants AS (
   SELECT leaf, place, token FROM (
     SELECT *, sum(n) OVER (PARTITION BY leaf, place) AS total FROM votes) WHERE n * 2 > total
@@ -244,7 +244,7 @@ WITH split AS (
   LEFT JOIN constants c ON c.leaf = p.leaf AND c.place = p.place AND c.token = p.token
   GROUP BY ALL
 ), following AS (
-  SELECT leaf, tokens FROM agreement WHERE same >= 0.5 * (len(tokens) - 2)
+  SELECT leaf, tokens FROM agreement WHERE len(tokens) > 3 AND same >= 0.5 * (len(tokens) - 3)
 ), named AS (
   SELECT l.doc_id, l.text, l.line_no,
     row(l.leaf, CASE WHEN f.leaf IS NULL THEN l.tokens END) AS template

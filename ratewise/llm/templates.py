@@ -1,7 +1,7 @@
 """Lines that recur across documents, by a tree of line templates.
 
 All of it is built-in functions. A line is parsed in fixed depth: by its number
-of tokens, then by its first two, where tokens with a digit count as a variable
+of tokens, then by its first three, where tokens with a digit count as a variable
 field. The lines of such a leaf share one template: at each further place the
 token that more than half of the leaf's documents have there, or else a variable
 field. A line follows the template if at least half of these places agree with
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.llm.decontamination import fingerprint_filter
 from ratewise.llm.text import SPACE, let
 from ratewise.session import scratch_path
 
@@ -22,18 +23,20 @@ _WITH_DIGIT = r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r0-9]*+[0-9][^ \t\n\x0B\f\r]*
 
 def masked_tokens(line: Column) -> Column:
     """Tokens of a line; those with a digit become a variable field."""
-    return F.array_remove(F.split(F.regexp_replace(line, _WITH_DIGIT, FIELD), SPACE), "")
+    # Most lines have no digit and no blank but the plain one.
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, FIELD)).otherwise(line)
+    plain = F.when(
+        line.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(masked, SPACE, " ")
+    ).otherwise(masked)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _lines(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """(doc_id, text_hash, line_no, tokens) of the lines that are long enough."""
+    """(doc_id, text_hash, line_no, tokens, leaf, line_hash) of lines that are long enough."""
+    tokens = F.transform(F.split("text", "\n"), masked_tokens)
     return (
-        docs.select(
-            "doc_id",
-            F.xxhash64("text").alias("text_hash"),
-            F.posexplode(F.split("text", "\n")).alias("line_no", "line"),
-        )
-        .select("doc_id", "text_hash", "line_no", masked_tokens(F.col("line")).alias("tokens"))
+        docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(tokens))
+        .withColumnsRenamed({"pos": "line_no", "col": "tokens"})
         .filter(F.size("tokens") >= max(min_tokens, depth))
         .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)))
         .withColumn("line_hash", F.xxhash64("tokens"))
@@ -60,7 +63,7 @@ def leaf_templates(lines: DataFrame, depth: int) -> DataFrame:
 
 
 def recurring_lines(
-    docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 2, similarity: float = 0.5
+    docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 3, similarity: float = 0.5
 ) -> DataFrame:
     """(doc_id, text_hash, line_no, template) of lines to drop.
 
@@ -69,16 +72,17 @@ def recurring_lines(
     that no content is lost.
     """
     spark = docs.sparkSession
+    every = _lines(docs, min_tokens, depth)
     path = scratch_path(spark, "lines")
-    _lines(docs, min_tokens, depth).write.parquet(path)
+    every.drop("tokens").write.parquet(path)  # hashes alone; few lines are needed again
     lines = spark.read.parquet(path)
 
     # A line counts once a document, and copies of a line are one row from here.
     distinct = (
-        lines.groupBy("leaf", "line_hash", "doc_id", "text_hash")
-        .agg(F.first("tokens").alias("tokens"))
+        lines.select("leaf", "line_hash", "doc_id", "text_hash")
+        .distinct()
         .groupBy("leaf", "line_hash")
-        .agg(F.first("tokens").alias("tokens"), F.count("*").alias("n_docs"))
+        .agg(F.count("*").alias("n_docs"))
     )
     path = scratch_path(spark, "distinct-lines")
     distinct.write.parquet(path)
@@ -90,8 +94,20 @@ def recurring_lines(
         .filter((F.col("kinds") > 1) & (F.col("n") >= min_docs))
         .select("leaf")
     )
+    path = scratch_path(spark, "mixed-leaves")
+    mixed.write.parquet(path)
+    mixed = spark.read.parquet(path)
+    maybe = fingerprint_filter(mixed.select(F.col("leaf").alias("fp")))
     path = scratch_path(spark, "mixed-lines")
-    distinct.filter(F.size("tokens") > depth).join(mixed, "leaf").write.parquet(path)
+    (
+        every.filter(F.size("tokens") > depth)
+        .filter(maybe(F.col("leaf")))
+        .join(mixed, "leaf")
+        .groupBy("leaf", "line_hash")
+        .agg(F.first("tokens").alias("tokens"))
+        .join(distinct, ["leaf", "line_hash"])
+        .write.parquet(path)
+    )
     members = spark.read.parquet(path)
     fitted = members.join(leaf_templates(members, depth), "leaf")
     agreeing = F.size(
