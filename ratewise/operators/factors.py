@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -23,10 +24,23 @@ def random_split(
     return left, right
 
 
-def tag_split(df: DataFrame, train_percent: int = 80) -> DataFrame:
-    """Add ``part``, train or test, by (user, item) hash: the same on every layout."""
-    bucket = split_bucket(F.col("user_id"), F.col("movie_id"))
-    return df.withColumn("part", F.when(bucket < train_percent, "train").otherwise("test"))
+def tag_split(df: DataFrame, train_parts: int = 80, parts: int = 100) -> DataFrame:
+    """Add ``part``, train or test, by (user, item) hash: the same on every layout.
+
+    ``train_parts`` of ``parts`` buckets are for training; neither side may be empty.
+    """
+    if not 0 < train_parts < parts:
+        raise ValueError(f"{train_parts} of {parts} parts leave no training or no test rows")
+    bucket = split_bucket(F.col("user_id"), F.col("movie_id"), parts)
+    return df.withColumn("part", F.when(bucket < train_parts, "train").otherwise("test"))
+
+
+def split_parts(fraction: float) -> tuple[int, int]:
+    """A fraction as parts of 100, or of 1,000 and more where it has more digits."""
+    parts = 100
+    while parts < 1_000_000 and abs(fraction * parts - round(fraction * parts)) > 1e-9 * parts:
+        parts *= 10
+    return round(fraction * parts), parts
 
 
 def hash_split(df: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -39,11 +53,11 @@ def hash_split(df: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataF
 
 
 def written_split(
-    df: DataFrame, path: str, train_percent: int = 80
+    df: DataFrame, path: str, train_parts: int = 80, parts: int = 100
 ) -> tuple[DataFrame, DataFrame]:
     """Write the rating triples of both parts in one pass over ``df`` and read them back."""
     triples = df.select("user_id", "movie_id", "rating")
-    tag_split(triples, train_percent).write.partitionBy("part").parquet(path)
+    tag_split(triples, train_parts, parts).write.partitionBy("part").parquet(path)
     stored = df.sparkSession.read.schema(tag_split(triples).schema).parquet(path)
     return (
         stored.filter("part = 'train'").drop("part"),
@@ -62,8 +76,8 @@ def fit_als(
     """Explicit, non-negative ALS; unknown ids get no prediction.
 
     ``blocks`` is the number of user and of item blocks and so the parallelism
-    of a fit; it follows the cluster's cores unless given. Another number of
-    blocks starts from other random factors. ALS cuts its lineage every ten
+    of a fit. Another number of blocks starts from other random factors, so it is
+    a setting and never taken from the cluster: raise it for large data. ALS cuts its lineage every ten
     iterations in the shared checkpoint folder.
     """
     spark = train.sparkSession
@@ -79,7 +93,7 @@ def fit_als(
         regParam=reg,
         maxIter=max_iter,
     )
-    als.setNumBlocks(blocks or max(10, spark.sparkContext.defaultParallelism))
+    als.setNumBlocks(blocks or DEFAULTS.als_blocks)
     return als.fit(train.select("user_id", "movie_id", "rating"))
 
 
@@ -94,7 +108,9 @@ def rmse(predictions: DataFrame) -> DataFrame:
 
 
 def evaluate(model: ALSModel, test: DataFrame) -> float:
-    return rmse(predict(model, test)).first()["rmse"]
+    """The error on ``test``; infinite, so the worst, if no row gets a prediction."""
+    error = rmse(predict(model, test)).first()["rmse"]
+    return math.inf if error is None else error
 
 
 @dataclass

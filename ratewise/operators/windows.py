@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.operators.cleaning import keep_latest
@@ -13,7 +12,10 @@ from ratewise.settings import DEFAULTS
 
 
 def _micros(duration: str) -> int:
-    return pd.Timedelta(duration).value // 1000
+    """Microseconds of a duration as ``F.window`` takes it, parsed by Spark."""
+    epoch = F.timestamp_seconds(F.lit(0))
+    length = F.unix_micros(epoch + F.lit(duration).cast("interval"))
+    return SparkSession.active().range(1).select(length).first()[0]
 
 
 def _start(time: str, length: str, slide: str | None = None) -> Column:

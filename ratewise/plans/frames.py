@@ -77,9 +77,9 @@ def part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_items(table(spark, sf_dir, "part"))
 
 
-def small_part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only parts of size below 25, so that some rated items have no title."""
-    return _as_items(table(spark, sf_dir, "part").filter("p_size < 25"))
+def moved_part_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts under ids higher by 50, so that the lowest rated ids have no title."""
+    return part_items(spark, sf_dir).withColumn("movie_id", F.col("movie_id") + 50)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

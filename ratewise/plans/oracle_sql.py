@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ratewise.plans.queries import MIN_RATINGS, SLICES
+from ratewise.settings import DEFAULTS, TUNING_GRID
 
 ORACLES: dict[str, str] = {}
 
@@ -36,8 +37,6 @@ _CTES = {
             WHERE rating BETWEEN 1 AND 5 AND user_id > 0 AND movie_id > 0
               AND "timestamp" IS NOT NULL) WHERE nth = 1""",
     "m": "SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS title, p_type AS genres FROM part",
-    "ms": """
-        SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS title FROM part WHERE p_size < 25""",
     "e": """
         SELECT user_id, movie_id AS item_id, rating, ts, "timestamp" FROM r
         WHERE rating IS NOT NULL AND user_id IS NOT NULL AND movie_id IS NOT NULL""",
@@ -58,13 +57,13 @@ _CTES = {
                coalesce(title, 'Unknown') AS title, avg_rating AS metric, CAST(4.5 AS DOUBLE) AS threshold,
                printf('🔴 ALERT [RATING SPIKE] Item %d (%s) avg_rating=%.2f > 4.5',
                       item_id, coalesce(title, 'Unknown'), avg_rating) AS message, interaction_count
-        FROM iw LEFT JOIN ms ON item_id = movie_id WHERE avg_rating >= 4.5
+        FROM iw LEFT JOIN m ON item_id = movie_id WHERE avg_rating >= 4.5
         UNION ALL
         SELECT 'TRENDING', window_start, window_end, item_id, coalesce(title, 'Unknown'),
                trending_score, CAST(30 AS DOUBLE),
                printf('🔥 ALERT [TRENDING] Item %d (%s) trending_score=%.2f > 30',
                       item_id, coalesce(title, 'Unknown'), trending_score), interaction_count
-        FROM iw LEFT JOIN ms ON item_id = movie_id WHERE trending_score >= 30""",
+        FROM iw LEFT JOIN m ON item_id = movie_id WHERE trending_score >= 30""",
     "ua": """
         SELECT 'USER SPIKE' AS alert_type, window_start, window_end, user_id AS entity_id,
                CAST(NULL AS VARCHAR) AS title, CAST(user_interaction_count AS DOUBLE) AS metric,
@@ -81,7 +80,7 @@ _CTES = {
                CAST(printf('%.4f', raw) AS DOUBLE) AS avg_rating, num_ratings, '{_POPULAR_NOTE}' AS note
         FROM (SELECT item_id AS movie_id, avg(rating) AS raw, count(*) AS num_ratings FROM e GROUP BY 1
               HAVING count(*) >= {MIN_RATINGS} ORDER BY raw DESC, num_ratings DESC, movie_id LIMIT 5) p
-        LEFT JOIN ms ON p.movie_id = ms.movie_id""",
+        LEFT JOIN m ON p.movie_id = m.movie_id""",
     "sp": """
         SELECT *, CASE WHEN CAST('0x' || substr(md5(user_id || ':' || movie_id), 1, 8) AS BIGINT) % 100 < 80
                        THEN 'train' ELSE 'test' END AS part FROM rc""",
@@ -120,13 +119,13 @@ _CTES = {
                coalesce(title, 'Unknown') AS title, avg_rating AS metric, CAST(4.5 AS DOUBLE) AS threshold,
                printf('🔴 ALERT [RATING SPIKE] Item %d (%s) avg_rating=%.2f > 4.5',
                       item_id, coalesce(title, 'Unknown'), avg_rating) AS message
-        FROM iv LEFT JOIN ms ON item_id = movie_id WHERE avg_rating >= 4.5
+        FROM iv LEFT JOIN m ON item_id = movie_id WHERE avg_rating >= 4.5
         UNION ALL
         SELECT slice, 'TRENDING', window_start, item_id, coalesce(title, 'Unknown'),
                trending_score, CAST(30 AS DOUBLE),
                printf('🔥 ALERT [TRENDING] Item %d (%s) trending_score=%.2f > 30',
                       item_id, coalesce(title, 'Unknown'), trending_score)
-        FROM iv LEFT JOIN ms ON item_id = movie_id WHERE trending_score >= 30""",
+        FROM iv LEFT JOIN m ON item_id = movie_id WHERE trending_score >= 30""",
     "sua": """
         SELECT slice, 'USER SPIKE' AS alert_type, window_start, user_id AS entity_id,
                CAST(NULL AS VARCHAR) AS title, CAST(n AS DOUBLE) AS metric, CAST(10 AS DOUBLE) AS threshold,
@@ -144,9 +143,9 @@ def _sql(name: str, select: str, *needs: str) -> None:
 _RC = ("r", "valid", "rc")
 _IW = ("r", "e", "ew", "iw")
 _UW = ("r", "e", "ew", "uw")
-_IA = (*_IW, "ms", "ia")
+_IA = (*_IW, "m", "ia")
 _AL = (*_IA, "uw", "ua", "al")
-_POP = ("r", "e", "ms", "pop")
+_POP = ("r", "e", "m", "pop")
 _TR = (*_RC, "sp", "tr")
 _KNOWN = (*_TR, "cu", "known")
 _STREAM = ("r", "e", "sl", "slw")
@@ -230,10 +229,10 @@ _sql(
 _sql(
     "trending_top10",
     """SELECT iw.*, substr(coalesce(title, 'Unknown'), 1, 35) AS title
-       FROM iw LEFT JOIN ms ON item_id = movie_id
+       FROM iw LEFT JOIN m ON item_id = movie_id
        ORDER BY trending_score DESC, window_start DESC, item_id LIMIT 10""",
     *_IW,
-    "ms",
+    "m",
 )
 _RANKED = """
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_start
@@ -262,10 +261,18 @@ _sql(
 _sql(
     "numbered_titles",
     """SELECT item_id, coalesce(title, 'Movie ' || item_id) AS title
-       FROM (SELECT DISTINCT item_id FROM e) LEFT JOIN ms ON item_id = movie_id""",
+       FROM (SELECT DISTINCT item_id FROM e) LEFT JOIN m ON item_id = movie_id + 50""",
+    "r",
+    "e",
+    "m",
+)
+_sql(
+    "unknown_titles",
+    """SELECT item_id, coalesce(title, 'Unknown') AS title
+       FROM (SELECT DISTINCT item_id FROM e) LEFT JOIN m ON item_id = movie_id + 50""",
     "r",
     "e",
-    "ms",
+    "m",
 )
 _sql(
     "alerts_rating_spike",
@@ -333,6 +340,48 @@ _sql(
 _sql("rating_split", "SELECT user_id, movie_id, rating, part FROM sp", *_RC, "sp")
 _sql("split_counts", "SELECT part, count(*) AS n_rows FROM sp GROUP BY 1", *_RC, "sp")
 _sql("random_split_total", "SELECT user_id, movie_id, rating FROM rc", *_RC)
+_SIZES = """(SELECT count(*) FROM sp WHERE part = 'train') AS n_train,
+       (SELECT count(*) FROM sp WHERE part = 'test') AS n_test"""
+_sql(
+    "als_predictions",
+    """SELECT user_id, movie_id, rating, true AS agrees FROM te
+       WHERE user_id IN (SELECT user_id FROM tr) AND movie_id IN (SELECT movie_id FROM tr)""",
+    *_TR,
+    "te",
+)
+_sql(
+    "als_rmse",
+    """SELECT count(*) AS n_predicted, true AS agrees FROM te
+       WHERE user_id IN (SELECT user_id FROM tr) AND movie_id IN (SELECT movie_id FROM tr)""",
+    *_TR,
+    "te",
+)
+_sql(
+    "training_summary",
+    f"SELECT 'ALS' AS algorithm, CAST({DEFAULTS.max_iter} AS INTEGER) AS max_iter, {_SIZES}",
+    *_RC,
+    "sp",
+)
+_sql(
+    "als_tune",
+    "SELECT CAST(trial AS INTEGER) AS trial, CAST(rank AS INTEGER) AS rank, "
+    "CAST(reg AS DOUBLE) AS reg, true AS scored FROM (VALUES "
+    + ", ".join(
+        f"({i}, {rank}, {reg})"
+        for i, (rank, reg) in enumerate([(DEFAULTS.rank, DEFAULTS.reg), *TUNING_GRID])
+    )
+    + ") AS t(trial, rank, reg)",
+)
+_sql(
+    "als_rmse_orders",
+    f"""SELECT 'ALS' AS algorithm, CAST({DEFAULTS.rank} AS INTEGER) AS rank,
+               CAST({DEFAULTS.reg} AS DOUBLE) AS reg, CAST({DEFAULTS.max_iter} AS INTEGER) AS max_iter,
+               count(*) FILTER (bucket < 80) AS n_train, count(*) FILTER (bucket >= 80) AS n_test,
+               false AS tuned
+        FROM (SELECT CAST('0x' || substr(md5(user_id || ':' || movie_id), 1, 8) AS BIGINT) % 100
+              AS bucket FROM rl)""",
+    "rl",
+)
 _sql(
     "rmse_item_mean",
     """SELECT round(sqrt(avg((rating - prediction) ** 2)), 8) AS rmse FROM te
@@ -425,7 +474,7 @@ _sql(
     *_STREAM,
     "iv",
     "uv",
-    "ms",
+    "m",
     "sia",
     "sua",
 )
@@ -434,7 +483,7 @@ _sql(
     """SELECT CAST(slice + 1 AS INTEGER) AS nth_batch, count(*) AS n_alerts FROM sia GROUP BY 1""",
     *_STREAM,
     "iv",
-    "ms",
+    "m",
     "sia",
 )
 _sql(
@@ -444,10 +493,10 @@ _sql(
            SELECT *, CAST(slice + 1 AS INTEGER) AS nth_batch, window_start + INTERVAL 7 DAY AS window_end,
                   row_number() OVER (PARTITION BY slice
                       ORDER BY trending_score DESC, window_start DESC, item_id) AS nth FROM iv)
-       LEFT JOIN ms ON item_id = movie_id WHERE nth <= 10""",
+       LEFT JOIN m ON item_id = movie_id WHERE nth <= 10""",
     *_STREAM,
     "iv",
-    "ms",
+    "m",
 )
 _sql(
     "stream_active_users",

@@ -197,7 +197,7 @@ def item_windows_tumbling(spark, sf):
 @query
 def trending_top10(spark, sf):
     top = ranking.top_trending(_items(spark, sf))
-    return _flat(with_title(top, frames.small_part_items(spark, sf), "item_id", max_len=35))
+    return _flat(with_title(top, frames.part_items(spark, sf), "item_id", max_len=35))
 
 
 @query
@@ -232,15 +232,21 @@ def current_window_users(spark, sf):
 def numbered_titles(spark, sf):
     rated = frames.rated_events(spark, sf).select("item_id").distinct()
     return with_title(
-        rated, frames.small_part_items(spark, sf), "item_id", numbered_title("item_id")
+        rated, frames.moved_part_items(spark, sf), "item_id", numbered_title("item_id")
     )
 
 
+@query
+def unknown_titles(spark, sf):
+    rated = frames.rated_events(spark, sf).select("item_id").distinct()
+    return with_title(rated, frames.moved_part_items(spark, sf), "item_id")
+
+
 # ---- alerts -------------------------------------------------------------------
 
 
 def _item_alerts(spark, sf, **options):
-    return al.item_alerts(_items(spark, sf), frames.small_part_items(spark, sf), **options)
+    return al.item_alerts(_items(spark, sf), frames.part_items(spark, sf), **options)
 
 
 def _all_alerts(spark, sf):
@@ -302,7 +308,7 @@ def alert_log_scan(spark, sf):
 def _popular(spark, sf):
     ratings = frames.rated_events(spark, sf).withColumnRenamed("item_id", "movie_id")
     return popularity.popular_items(
-        ratings, frames.small_part_items(spark, sf), min_ratings=MIN_RATINGS
+        ratings, frames.part_items(spark, sf), min_ratings=MIN_RATINGS
     )
 
 
@@ -389,10 +395,31 @@ def _model(spark: SparkSession, sf: str) -> ALSModel:
     return factors.load_model(_models[key])
 
 
+def _with_products(model: ALSModel, ratings: DataFrame) -> DataFrame:
+    """Predictions beside the products of the saved factors, each computed by itself."""
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("movie_id"), F.col("features").alias("i"))
+    product = F.aggregate(
+        F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x
+    )
+    scored = factors.predict(model, ratings)
+    return (
+        scored.join(users, "user_id")
+        .join(items, "movie_id")
+        .select("user_id", "movie_id", "rating", "prediction", product.alias("product"))
+    )
+
+
 @query
 def als_rmse(spark, sf):
+    """Predictions of the test part, and whether their error is that of the factors' products."""
     _, test = _split(spark, sf)
-    return factors.rmse(factors.predict(_model(spark, sf), test))
+    scored = _with_products(_model(spark, sf), test)
+    product_error = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("product"), 2)))
+    error = F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)))
+    return scored.agg(
+        F.count("*").alias("n_predicted"), (F.abs(error - product_error) < 1e-4).alias("agrees")
+    )
 
 
 @query
@@ -401,14 +428,15 @@ def als_rmse_orders(spark, sf):
     clean = frames.clean_order_ratings(spark, sf)
     train, test = factors.written_split(clean, scratch_path(spark, "orders-split"))
     trained = factors.train_and_score(train, test)
-    return factors.training_summary(trained, train, test).drop("seconds")
+    return factors.training_summary(trained, train, test).drop("seconds", "rmse")
 
 
 @query
 def als_predictions(spark, sf):
     _, test = _split(spark, sf)
-    return factors.predict(_model(spark, sf), test).select(
-        "user_id", "movie_id", "rating", "prediction"
+    agrees = F.abs(F.col("prediction") - F.col("product")) < 1e-4
+    return _with_products(_model(spark, sf), test).select(
+        "user_id", "movie_id", "rating", agrees.alias("agrees")
     )
 
 
@@ -424,7 +452,8 @@ def als_tune(spark, sf):
     clean = frames.clean_event_ratings(spark, sf)
     train, test = factors.written_split(clean, scratch_path(spark, "tune-split"))
     first = factors.train_and_score(train, test)
-    return factors.trial_table(spark, factors.tune(first, train, test, threshold=0.5))
+    tried = factors.trial_table(spark, factors.tune(first, train, test, threshold=0.0))
+    return tried.select("trial", "rank", "reg", (F.col("rmse") > 0).alias("scored"))
 
 
 @query
@@ -432,7 +461,8 @@ def training_summary(spark, sf):
     trained = train_model(
         frames.clean_event_ratings(spark, sf), scratch_path(spark, "summary-model")
     )
-    return trained.summary
+    # Which setting won depends on the errors, which SQL can't give.
+    return trained.summary.select("algorithm", "max_iter", "n_train", "n_test")
 
 
 # ---- recommendations ----------------------------------------------------------
@@ -494,7 +524,7 @@ def recommend_with_fallback(spark, sf):
         _model(spark, sf),
         frames.customers(spark, sf),
         frames.event_ratings(spark, sf),
-        frames.small_part_items(spark, sf),
+        frames.part_items(spark, sf),
         _popular(spark, sf),
     )
 
@@ -517,7 +547,7 @@ def _table(spark: SparkSession, sf: str) -> DataFrame:
         path = scratch_path(spark, "recommendations")
         recs = recommending.recommend_all(_model(spark, sf))
         write_recommendations(
-            serving.titled_recommendations(recs, frames.small_part_items(spark, sf)), path
+            serving.titled_recommendations(recs, frames.part_items(spark, sf)), path
         )
         _tables[key] = path
     return read_recommendations(spark, _tables[key])
@@ -538,7 +568,7 @@ def _served_now(spark, sf):
     users = frames.customers(spark, sf)
     fallback = popularity.popular_list(_popular(spark, sf)).scalar()
     return serving.serve(
-        users, recs, frames.small_part_items(spark, sf), fallback, serving.check_users(users, recs)
+        users, recs, frames.part_items(spark, sf), fallback, serving.check_users(users, recs)
     )
 
 
@@ -614,7 +644,7 @@ def _stream(spark: SparkSession, sf: str) -> Outputs:
                 start_queries(
                     parse_events(read_records(spark, records)),
                     recs,
-                    frames.small_part_items(spark, sf),
+                    frames.part_items(spark, sf),
                     popular,
                     out,
                     checkpoint,

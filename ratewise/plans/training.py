@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratewise.operators.cleaning import clean_ratings
 from ratewise.operators.factors import (
+    split_parts,
     Training,
     load_model,
     save_model,
@@ -40,7 +41,7 @@ def train_model(
     reads it from there instead of running the cleaning again.
     """
     path = scratch_path(ratings.sparkSession, "split")
-    train, test = written_split(ratings, path, round(settings.train_fraction * 100))
+    train, test = written_split(ratings, path, *split_parts(settings.train_fraction))
     options = {"max_iter": settings.max_iter, "seed": settings.seed, "blocks": blocks}
     first = train_and_score(train, test, settings.rank, settings.reg, **options)
     best = tune(first, train, test, threshold=settings.rmse_threshold, **options)

@@ -13,6 +13,7 @@ class Settings:
     reg: float = 0.1
     train_fraction: float = 0.8
     seed: int = 42
+    als_blocks: int = 10
     rmse_threshold: float = 1.5
     rating_low: float = 1.0
     rating_high: float = 5.0

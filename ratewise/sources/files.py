@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ratewise.schemas import ITEMS, RATINGS, RECORDS
 
 
+def _literal(sep: str) -> str:
+    """A separator as a pattern that means just these characters."""
+    return f"\\Q{sep}\\E"
+
+
 def read_ratings(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
     """Headerless delimited ratings; a malformed field becomes null."""
     return spark.read.csv(path, schema=RATINGS, sep=sep, header=False, mode="PERMISSIVE")
@@ -15,7 +20,7 @@ def read_ratings(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
 
 def read_rating_lines(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
     """Only the lines of exactly four fields that all parse."""
-    parts = F.split(F.trim("value"), sep)
+    parts = F.split(F.trim("value"), _literal(sep))
     fields = [
         parts.getItem(i).try_cast(field.dataType).alias(field.name)
         for i, field in enumerate(RATINGS)
@@ -44,7 +49,7 @@ def read_items(
         return spark.read.csv(path, schema=ITEMS, sep=sep, header=False, encoding=encoding)
     # One column of whole lines: a separator that can't occur in a line.
     lines = spark.read.csv(path, schema="line string", sep="\u0001", quote="", encoding=encoding)
-    parts = F.split(F.trim("line"), sep)
+    parts = F.split(F.trim("line"), _literal(sep))
     return lines.filter(F.size(parts) == 3).select(
         parts.getItem(0).try_cast("int").alias("movie_id"),
         parts.getItem(1).alias("title"),

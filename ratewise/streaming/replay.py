@@ -15,9 +15,11 @@ def replay_slices(ratings: DataFrame, slices: int) -> Iterator[DataFrame]:
     """Encoded events of ``slices`` equal time ranges, oldest range first.
 
     The ratings are read once and staged by slice in the shared folder, and
-    each slice reads only its own directory.
+    each slice reads only its own directory. Ratings without a time have no
+    place in the order and are left out.
     """
     spark = ratings.sparkSession
+    ratings = ratings.filter("timestamp is not null")
     staged = scratch_path(spark, "replay")
     bounds = ratings.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     if bounds["lo"] is None:

@@ -121,8 +121,15 @@ def start_queries(
 
 
 def stop_all(queries: Mapping[str, StreamingQuery]) -> None:
+    """Stop every query; if some fail to stop, raise the first error after the last."""
+    errors = []
     for query in queries.values():
-        query.stop()
+        try:
+            query.stop()
+        except Exception as error:  # the others still have to stop
+            errors.append(error)
+    if errors:
+        raise errors[0]
 
 
 def run_until_stopped(queries: Mapping[str, StreamingQuery]) -> None:

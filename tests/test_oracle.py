@@ -8,9 +8,6 @@ from conftest import plan_of
 from ratewise.plans.oracle_sql import ORACLES
 from ratewise.plans.queries import QUERIES
 
-# Several model fits; run by check_oracle.py.
-SLOW = {"als_tune", "als_rmse_orders", "training_summary"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -23,7 +20,7 @@ def test_every_oracle_has_a_query():
     assert len(ORACLES) >= 55
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf, duck, name):
     df = QUERIES[name](spark, sf)
     plan = plan_of(df)
