@@ -136,7 +136,7 @@ def _fit(labels: np.ndarray, rows: list[np.ndarray], swapped: list, options: Tra
             owner = np.repeat(np.arange(len(batch)), lengths)
             z = np.bincount(owner, weights[index], len(batch)) + weights[size]
             error = _sigmoid(z) - labels[batch]
-            gradient = np.bincount(index, error[owner], size + 1)
+            gradient = np.bincount(index, error[owner], size + 1).astype(float)
             gradient[size] = error.sum()
             for i in batch:  # the swapped text should score like the text
                 gone, came = swapped[i]
