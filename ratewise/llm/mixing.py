@@ -105,7 +105,7 @@ def mix(
 ) -> DataFrame:
     """``docs`` with _source, _lang, _topic, _tokens, _probability, _weight and _sampled.
 
-    ``_weight`` is one over the probability. A row is sampled if a hash of its
+    ``_weight`` is one over the probability, null where that is zero. A row is sampled if a hash of its
     doc_id and text lies below the probability, so equal rows are drawn
     together and a repeated run draws the same. Defined results: null source or
     lang is ``other``; null and empty texts have no tokens; a cell without
@@ -124,7 +124,7 @@ def mix(
     cells = spark.createDataFrame(rows, schema)
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(2.0**53)
     mixed = marked.join(F.broadcast(cells), names).withColumns(
-        {"_weight": 1 / F.col("_probability"), "_sampled": place < F.col("_probability")}
+        {"_weight": F.try_divide(F.lit(1.0), "_probability"), "_sampled": place < F.col("_probability")}
     )
     added = [*names, "_tokens", "_probability", "_weight", "_sampled"]
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], *added)
