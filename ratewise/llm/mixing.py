@@ -36,9 +36,13 @@ class Targets:
 
 def surface_topic(text: Column) -> Column:
     """A topic from the surface of a text: markup, note, list or prose."""
-    size = F.char_length(F.coalesce(text, F.lit("")))
-    marks = size - F.char_length(F.translate(F.coalesce(text, F.lit("")), "#*$%&|<>", ""))
-    lines = size - F.char_length(F.translate(F.coalesce(text, F.lit("")), "\n", "")) + 1
+    whole = F.coalesce(text, F.lit(""))
+    size = F.octet_length(whole)
+    bare = whole
+    for mark in "#*$%&|<>":
+        bare = F.replace(bare, F.lit(mark), F.lit(""))
+    marks = size - F.octet_length(bare)
+    lines = size - F.octet_length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
     return (
         F.when(marks * 50 > size, "markup")
         .when(size < 500, "note")

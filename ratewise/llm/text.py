@@ -30,7 +30,10 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text; none for null."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
+    line = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+    rare = r"[\t\x0B\f\r]"  # most texts have none; a split at one character needs no pattern
+    plain = F.when(line.rlike(rare), F.regexp_replace(line, rare, " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
