@@ -145,6 +145,10 @@ def recurring_lines(
         .agg(F.count("*").alias("n"), F.min(where).alias("first"))
         .filter(F.col("n") >= min_docs)
     )
+    path = scratch_path(spark, "recurring-templates")
+    recurring.select("template", "first").write.parquet(path)
+    # Read anew, so that the join starts from plain rows and a frequent one can be split.
+    recurring = spark.read.parquet(path)
     return (
         placed.join(recurring, "template")
         .filter(~where.eqNullSafe(F.col("first")))
