@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ratewise.llm import decontamination, mixing, simhash, templates, toxicity
 from ratewise.llm.queries import MIXTURE, training_labels
 from ratewise.llm.shipping import send_package
+from ratewise.llm.text import free_prefix
 from ratewise.session import scratch_path
 
 
@@ -35,12 +36,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn towards the target shares, with their probability and weight."""
-    mixed = mixing.mix(docs, MIXTURE, fraction=0.8).filter("_sampled")
+    """Documents drawn towards the target shares, with their probability and weight.
+
+    These two take the place of columns of the same name.
+    """
+    own = free_prefix(docs.columns)
+    mixed = mixing.mix(docs, MIXTURE, fraction=0.8, prefix=own).filter(F.col(f"{own}sampled"))
+    added = ("probability", "weight")
     return mixed.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_probability").alias("probability"),
-        F.col("_weight").alias("weight"),
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added],
+        *[F.col(f"{own}{c}").alias(c) for c in added],
     )
 
 

@@ -57,10 +57,10 @@ def _category(value: Column, listed: dict[str, float]) -> Column:
 
 
 def categories(targets: Targets, topic: Column | None = None) -> dict[str, Column]:
-    """The cell of a document: columns _source, _lang and _topic."""
+    """The cell of a document: expressions of its source, lang and topic."""
     values = {"source": F.col("source"), "lang": F.col("lang")}
     values["topic"] = surface_topic(F.col("text")) if topic is None else topic
-    return {f"_{k}": _category(values[k], t) for k, t in targets.margins().items()}
+    return {k: _category(values[k], t) for k, t in targets.margins().items()}
 
 
 def rake(
@@ -105,30 +105,38 @@ def rake(
 
 def mix(
     docs: DataFrame, targets: Targets, fraction: float = 0.5, seed: int = 0,
-    topic: Column | None = None,
+    topic: Column | None = None, prefix: str = "_",
 ) -> DataFrame:
     """``docs`` with _source, _lang, _topic, _tokens, _probability, _weight and _sampled.
 
-    ``_weight`` is one over the probability, null where that is zero. A row is sampled if a hash of its
-    doc_id and text lies below the probability, so equal rows are drawn
-    together and a repeated run draws the same. Defined results: null source or
+    ``_weight`` is one over the probability, null where that is zero. A row is
+    sampled if a hash of its doc_id and text lies below the probability, so equal
+    rows are drawn together and a repeated run draws the same. The added columns
+    begin with ``prefix`` and take the place of any of the same name. Defined results: null source or
     lang is ``other``; null and empty texts have no tokens; a cell without
     tokens is drawn with the plain fraction; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    names = ["_source", "_lang", "_topic"]
-    marked = docs.withColumns(categories(targets, topic)).withColumn(
-        "_tokens", F.size(words(F.col("text"))).cast("bigint")
+    cell_of = {f"{prefix}{k}": c for k, c in categories(targets, topic).items()}
+    names = list(cell_of)
+    tokens, probability, weight, sampled = (
+        f"{prefix}{k}" for k in ("tokens", "probability", "weight", "sampled")
+    )
+    added = [*names, tokens, probability, weight, sampled]
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in map(str.lower, added)]
+    marked = docs.select(
+        *others,
+        *[c.alias(n) for n, c in cell_of.items()],
+        F.size(words(F.col("text"))).cast("bigint").alias(tokens),
     )
     # One row for each product of listed categories.
-    held = marked.groupBy(*names).agg(F.sum("_tokens").alias("n")).collect()
+    held = marked.groupBy(*names).agg(F.sum(tokens).alias("n")).collect()
     found = rake({tuple(r[:3]): float(r[3]) for r in held}, targets, fraction)
     rows = [(*cell, float(p)) for cell, p in found.items()]
-    schema = "_source string, _lang string, _topic string, _probability double"
+    schema = ", ".join([*(f"{n} string" for n in names), f"{probability} double"])
     cells = spark.createDataFrame(rows, schema)
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(2.0**53)
     mixed = marked.join(F.broadcast(cells), names).withColumns(
-        {"_weight": F.try_divide(F.lit(1.0), "_probability"), "_sampled": place < F.col("_probability")}
+        {weight: F.try_divide(F.lit(1.0), probability), sampled: place < F.col(probability)}
     )
-    added = [*names, "_tokens", "_probability", "_weight", "_sampled"]
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], *added)
+    return mixed.select(*others, *added)

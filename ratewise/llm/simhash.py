@@ -251,9 +251,6 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     rank = F.struct(*[F.col(f"`{c}`") for c in sorted(names)])
     repeated = kept.groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(rank).alias("_least"))
     first = repeated.filter("_n > 1")
-    single = kept.join(
-        first.select(F.col("doc_id").alias("_id")), kept["doc_id"].eqNullSafe(F.col("_id")), "left_anti"
-    )
-    return single.select(*names).unionByName(
-        first.select(*[F.col("_least").getField(c).alias(c) for c in names])
-    )
+    several = first.select(F.col("doc_id").alias("_id"))
+    single = kept.join(several, kept["doc_id"].eqNullSafe(several["_id"]), "left_anti")
+    return single.unionByName(first.select(*[F.col("_least").getField(c).alias(c) for c in names]))

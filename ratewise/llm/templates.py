@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.decontamination import fingerprint_filter
-from ratewise.llm.text import SPACE, let
+from ratewise.llm.text import SPACE, free_prefix, let
 from ratewise.session import scratch_path
 
 FIELD = "<*>"
@@ -182,33 +182,37 @@ def drop_recurring(docs: DataFrame, with_counts: bool = False, **limits) -> Data
     lines; an empty one has one empty line, which stays; rows that share a
     doc_id are told apart by their text, and equal rows are treated alike, as
     one document; lines of fewer than ``min_tokens`` tokens stay; other columns
-    are passed through, whatever their names.
+    are passed through, whatever their names, but for n_lines and n_dropped, which
+    ``with_counts`` replaces.
     """
+    own = free_prefix(docs.columns)
+    drop_id, drop_hash, places = f"{own}id", f"{own}hash", f"{own}dropped"
+    dropped = F.col(places)
     drops = (
         recurring_lines(docs.select("doc_id", "text"), **limits)
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("line_no").alias("_dropped"))
-        .withColumnsRenamed({"doc_id": "_drop_id", "text_hash": "_drop_hash"})
+        .agg(F.collect_set("line_no").alias(places))
+        .withColumnsRenamed({"doc_id": drop_id, "text_hash": drop_hash})
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_drop_id")) & (
-        F.xxhash64(docs["text"]) == F.col("_drop_hash")
+    same = docs["doc_id"].eqNullSafe(F.col(drop_id)) & (
+        F.xxhash64(docs["text"]) == F.col(drop_hash)
     )
     joined = docs.join(drops, same, "left")
     kept = let(
         F.split("text", "\n"),
-        lambda lines: F.array_join(_without(lines, F.col("_dropped")), "\n"),
+        lambda lines: F.array_join(_without(lines, dropped), "\n"),
     )
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept)
+    text = F.when(dropped.isNull(), F.col("text")).otherwise(kept)
     out = {c: F.col(f"`{c}`") for c in docs.columns}
     out["text"] = text
     if "n_chars" in out:
-        out["n_chars"] = F.when(F.col("_dropped").isNull(), F.col("n_chars")).otherwise(
+        out["n_chars"] = F.when(dropped.isNull(), F.col("n_chars")).otherwise(
             F.char_length(text).cast("bigint")
         )
     if with_counts:
         out["n_lines"] = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")
         out["n_lines"] = F.when(F.col("text").isNull(), 0).otherwise(out["n_lines"])
-        out["n_dropped"] = F.when(F.col("_dropped").isNull(), 0).otherwise(
-            F.size("_dropped")
+        out["n_dropped"] = F.when(dropped.isNull(), 0).otherwise(
+            F.size(dropped)
         ).cast("bigint")
     return joined.select(*[c.alias(n) for n, c in out.items()])

@@ -24,6 +24,14 @@ _GAPS = np.zeros(256, bool)
 _GAPS[[9, 10, 11, 12, 13, 32]] = True
 
 
+def free_prefix(columns: list[str]) -> str:
+    """Underscores that no column's name begins with, for columns of an operator's own."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.text import WordHash, groups_of, split_words, text_bytes
+from ratewise.llm.text import WordHash, free_prefix, groups_of, split_words, text_bytes
 from ratewise.session import scratch_path
 
 #: Words of one row can take each other's place.
@@ -231,10 +231,13 @@ def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) ->
     return weights
 
 
-def score(docs: DataFrame, weights: np.ndarray, options: Training = Training()) -> DataFrame:
-    """All columns of ``docs`` and its ``toxicity`` from 0 to 1, of the whole text.
+def score(
+    docs: DataFrame, weights: np.ndarray, options: Training = Training(), name: str = "toxicity"
+) -> DataFrame:
+    """All columns of ``docs`` and its toxicity from 0 to 1, of the whole text.
 
-    Null and empty texts have no features and get the bias alone.
+    Null and empty texts have no features and get the bias alone. The score is
+    the column ``name``, which takes the place of one that is called so already.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     bits, beginnings = options.bits, options.beginnings
@@ -249,10 +252,11 @@ def score(docs: DataFrame, weights: np.ndarray, options: Training = Training())
             out[a:b] = _sigmoid(np.bincount(owner, w[found], b - a) + w[-1])
         return texts.__class__(out, index=texts.index)
 
-    return docs.withColumn("toxicity", toxicity(F.col("text")))
+    return docs.withColumn(name, toxicity(F.col("text")))
 
 
 def reject(docs: DataFrame, labels: DataFrame, options: Training = Training()) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with their columns."""
-    scored = score(docs.select("*"), train(docs, labels, options), options)
-    return scored.filter("toxicity < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that score below 0.5, with their columns, whatever their names."""
+    name = free_prefix(docs.columns) + "toxicity"
+    scored = score(docs, train(docs, labels, options), options, name)
+    return scored.filter(F.col(name) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])

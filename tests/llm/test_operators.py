@@ -469,6 +469,30 @@ def test_filters_keep_columns_and_odd_rows(spark, odd):
     assert templates.drop_recurring(odd).columns == odd.columns
 
 
+def test_columns_of_any_name_pass(spark, odd):
+    import corpus_pipeline as pipeline
+
+    names = ["toxicity", "_id", "_hash", "_dropped", "_source", "_sampled", "_least", "a.b", "_Tokens"]
+    docs = odd.withColumns({n: F.lit("mine") for n in names})
+    empty = spark.createDataFrame([], "doc_id bigint, toxic int")
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    for kept in (
+        toxicity.reject(docs, empty),
+        templates.drop_recurring(docs),
+        simhash.keep_one(docs),
+        decontamination.clean(docs, bench),
+    ):
+        assert kept.columns == docs.columns
+        mine = F.array_distinct(F.array(*[F.col(f"`{n}`") for n in names])).alias("x")
+        assert {tuple(r.x) for r in kept.select(mine).collect()} == {("mine",)}
+    drawn = pipeline.sample_mixture(spark, docs.withColumn("Weight", F.lit("mine")), "")
+    assert drawn.columns == [*docs.columns, "probability", "weight"]
+    assert {r._source for r in drawn.collect()} == {"mine"}
+    assert drawn.schema["weight"].dataType.simpleString() == "double"
+    twice = mixing.mix(mixing.mix(odd, mixing.Targets()), mixing.Targets())
+    assert len(set(twice.columns)) == len(twice.columns) and twice.count() == odd.count()
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as pipeline
 
