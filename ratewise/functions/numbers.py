@@ -14,10 +14,11 @@ _GRID = float(2**20)
 
 
 def exact_round(x: Column, digits: int) -> Column:
-    """Round a double (below 2**22 in size) on its exact value, ties to even.
+    """Round a double on its exact value, ties to even.
 
     ``x`` is split into a part on a 2**-20 grid and a rest, so that both times
-    10**digits are exact and the distance to the tie has the right sign.
+    10**digits are exact and the distance to the tie has the right sign. That
+    holds below 2**22 in size; beyond, the shortest decimal text is rounded.
     """
     x = x.cast("double")
     scale = float(10**digits)
@@ -26,7 +27,8 @@ def exact_round(x: Column, digits: int) -> Column:
     below = F.floor(x * scale).cast("double")
     past_tie = (coarse * scale - below - 0.5) + rest * scale
     up = (past_tie > 0) | ((past_tie == 0) & (below % 2 != 0))
-    return (below + F.when(up, 1.0).otherwise(0.0)) / scale
+    exact = (below + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.when(F.abs(x) < 2.0**22, exact).otherwise(F.bround(x, digits))
 
 
 def fixed_text(x: Column, digits: int = 2) -> Column:

@@ -40,7 +40,18 @@ def top_k_per_window(
     return windows.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
+def newest_events(events: DataFrame, slide: str = DEFAULTS.slide) -> DataFrame:
+    """Events that the window which starts last can hold.
+
+    The last event alone says when that window starts, so the windows of all
+    the events before needn't be made.
+    """
+    last = events.agg(F.max("event_time").alias("last"))
+    start = last.select(F.window("last", slide).getField("start").alias("start"))
+    return events.filter(F.col("event_time") >= start.scalar())
+
+
 def current_window(windows: DataFrame) -> DataFrame:
-    """Rows of the newest window of the table."""
+    """Rows of the newest window of the table; ``newest_events`` can go before the windows."""
     newest = windows.agg(F.max("window.start").alias("start"))
     return windows.filter(F.col("window.start") == newest.scalar())

@@ -52,15 +52,14 @@ def find_recommendations(
 ) -> DataFrame:
     """Rows of the precomputed table for the given users.
 
-    Few users, as counted by ``check``, are sent to the table, of which only
-    their directories are read in place. Else both sides are shuffled.
+    Only the directories that ``check`` lists are read. Few users, as counted by
+    it, are sent to the table; with more, Spark chooses the join by size.
     """
-    if check is None or not check.few:
-        return recs.join(users, "user_id", "left_semi")
     n_buckets = bucket_count(recs.columns)
-    if n_buckets:
+    if check is not None and n_buckets:
         recs = recs.filter(F.col(bucket_column(n_buckets)).isin(check.buckets))
-    return recs.join(F.broadcast(users), "user_id", "left_semi")
+    few = check is not None and check.few  # one integer a user
+    return recs.join(F.broadcast(users) if few else users, "user_id", "left_semi")
 
 
 def is_titled(recs: DataFrame) -> bool:
@@ -98,8 +97,8 @@ def serve(
     """One row per user: precomputed recommendations, or the popular list.
 
     The left side of a left join can't be broadcast, so the table is cut to
-    the wanted users first and only that is joined back. It holds one row per
-    user, so what few users find is few rows too, and is broadcast in turn.
+    the wanted users first and only that is joined back, by a join that Spark
+    chooses by the bytes found.
     ``fallback`` is the popular list: ``popular_list(..).scalar()`` or
     ``pinned_list(..)``.
     """
@@ -108,8 +107,6 @@ def serve(
     if not is_titled(recs):
         found = titled_recommendations(found, items)
     found = found.select("user_id", "recommendations", F.lit(True).alias("is_found"))
-    if check is not None and check.few:
-        found = F.broadcast(found)
     rounded = F.transform(
         "recommendations",
         lambda r: F.struct(

@@ -522,3 +522,16 @@ _sql(
     *_POP,
     *_STREAM,
 )
+_sql(
+    "stream_served_newest",
+    f"""SELECT DISTINCT user_id,
+            CASE WHEN user_id IN (SELECT user_id FROM tr) THEN '{_PRECOMPUTED}'
+                 ELSE '{_POPULAR_NOTE}' END AS source,
+            CAST(CASE WHEN user_id IN (SELECT user_id FROM tr)
+                 THEN (SELECT least(5, count(DISTINCT movie_id)) FROM tr)
+                 ELSE (SELECT count(*) FROM pop) END AS INTEGER) AS n_items
+        FROM sl WHERE slice = (SELECT max(slice) FROM sl)""",
+    *_TR,
+    *_POP,
+    *_STREAM,
+)

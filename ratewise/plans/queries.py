@@ -25,6 +25,7 @@ from ratewise.sources import (
     newest_batches,
     read_alert_lines,
     read_items,
+    read_newest,
     read_rating_lines,
     read_ratings,
     read_records,
@@ -217,14 +218,16 @@ def active_users_top5(spark, sf):
 
 @query
 def current_window_trending(spark, sf):
-    current = ranking.current_window(_items(spark, sf))
+    newest = ranking.newest_events(frames.rated_events(spark, sf), SLIDE)
+    current = ranking.current_window(win.item_windows(newest, LENGTH, SLIDE))
     top = ranking.top_k_per_window(current, k=5)
     return _flat(with_title(top, frames.part_items(spark, sf), "item_id", max_len=45))
 
 
 @query
 def current_window_users(spark, sf):
-    current = ranking.current_window(_users(spark, sf))
+    newest = ranking.newest_events(frames.rated_events(spark, sf), SLIDE)
+    current = ranking.current_window(win.user_windows(newest, LENGTH, SLIDE))
     return _flat(ranking.top_k_per_window(current, ranking.ACTIVITY_ORDER, 8))
 
 
@@ -723,6 +726,13 @@ def stream_recommendations(spark, sf):
     )
 
 
+@query
+def stream_served_newest(spark, sf):
+    """What the newest micro-batch served, read from its directory alone."""
+    served = read_newest(spark, _stream(spark, sf).served, 1)
+    return served.select("user_id", "source", F.size("recommendations").alias("n_items"))
+
+
 @query
 def stream_served_latest(spark, sf):
     served = serving.latest_served(read_served(spark, _stream(spark, sf).served))

@@ -1,5 +1,6 @@
 """File sinks. Everything written per micro-batch goes to its own ``batch_id``
-directory in overwrite mode, so a batch that runs again leaves the same table."""
+directory in overwrite mode, so a batch that runs again replaces its own rows.
+They are the same but for ``alert_time`` and ``latency_ms``, the times of the run."""
 
 from __future__ import annotations
 
@@ -11,17 +12,10 @@ from ratewise.schemas import ALERT_TIME_FORMAT
 from ratewise.settings import DEFAULTS
 
 
-ROWS_PER_FILE = 250_000
-
-
-def write_batch(
-    df: DataFrame, path: str, batch_id: int, format: str = "parquet", rows: int | None = None
-) -> None:
-    """Write one micro-batch. ``rows``, if the caller has counted them, sets the
-    number of files; else there is one per (state) partition every trigger."""
-    if rows is not None:
-        df = df.coalesce(rows // ROWS_PER_FILE + 1)
-    df.write.mode("overwrite").format(format).save(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, format: str = "parquet") -> None:
+    """Write one micro-batch. ``rebalance`` lets AQE set the number of files by bytes;
+    what makes the rows keeps its own parallelism."""
+    df.hint("rebalance").write.mode("overwrite").format(format).save(f"{path}/batch_id={batch_id}")
 
 
 def write_recommendations(
@@ -41,14 +35,12 @@ def write_recommendations(
     ).partitionBy(bucket).parquet(path)
 
 
-def write_served(
-    served: DataFrame, path: str, batch_id: int, latency_ms: float, n_rows: int | None = None
-) -> None:
+def write_served(served: DataFrame, path: str, batch_id: int, latency_ms: float) -> None:
     """JSON lines of one batch, each with the time its lookup took."""
     records = served.select(
         "user_id", "recommendations", F.lit(round(latency_ms, 2)).alias("latency_ms"), "source"
     )
-    write_batch(records, path, batch_id, "json", n_rows)
+    write_batch(records, path, batch_id, "json")
 
 
 def _line(alert_time: Column, message: Column) -> Column:
@@ -60,7 +52,7 @@ def alert_lines(alerts: DataFrame) -> DataFrame:
     return alerts.select(_line(F.col("alert_time"), F.col("message")).alias("value"))
 
 
-def write_alerts(alerts: DataFrame, path: str, batch_id: int, rows: int | None = None) -> None:
+def write_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
     """Typed alerts of one batch with the time they were raised."""
     timed = alerts.withColumn("alert_time", F.current_timestamp())
-    write_batch(timed, path, batch_id, rows=rows)
+    write_batch(timed, path, batch_id)

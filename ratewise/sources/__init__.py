@@ -1,4 +1,4 @@
-from ratewise.sources.alert_log import read_alert_lines, read_alerts
+from ratewise.sources.alert_log import read_alert_lines
 from ratewise.sources.files import (
     distinct_items,
     read_items,
@@ -8,7 +8,12 @@ from ratewise.sources.files import (
     read_records,
 )
 from ratewise.sources.kafka import kafka_records, kafka_source_options
-from ratewise.sources.served import newest_batches, read_served
+from ratewise.sources.served import (
+    newest_batches,
+    read_newest,
+    read_served,
+    read_served_files,
+)
 
 __all__ = [
     "distinct_items",
@@ -16,11 +21,12 @@ __all__ = [
     "kafka_source_options",
     "newest_batches",
     "read_alert_lines",
-    "read_alerts",
     "read_items",
+    "read_newest",
     "read_rating_lines",
     "read_ratings",
     "read_recommendations",
     "read_records",
     "read_served",
+    "read_served_files",
 ]

@@ -1,4 +1,4 @@
-"""Alert tables and plain-text alert logs."""
+"""Plain-text alert logs."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ratewise.schemas import ALERT_TIME_FORMAT
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_alert_lines(spark: SparkSession, path: str) -> DataFrame:
     """``[time] message`` lines as time, type and message; blank lines are left out.
 

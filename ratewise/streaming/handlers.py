@@ -52,11 +52,10 @@ def _window_handler(
         with _kept(batch) as windows:
             # A count fills the cache in one parallel job; isEmpty() would run
             # the first state partition alone.
-            rows = windows.count()
-            if not rows:
+            if not windows.count():
                 return
-            write_batch(_flat(windows), windows_path, batch_id, rows=rows)
-            write_alerts(alerts_of(windows), alerts_path, batch_id, rows)
+            write_batch(_flat(windows), windows_path, batch_id)
+            write_alerts(alerts_of(windows), alerts_path, batch_id)
             write_batch(_flat(top_of(windows)), top_path, batch_id)
 
     return handle
@@ -116,8 +115,8 @@ def recommendation_handler(
             if not check.n_users:
                 return
             with _kept(serve(users, recs, items, fallback, check)) as served:
-                rows = served.count()
+                served.count()
                 latency_ms = (time.monotonic() - started) * 1000
-                write_served(served, path, batch_id, latency_ms, rows)
+                write_served(served, path, batch_id, latency_ms)
 
     return handle

@@ -45,6 +45,12 @@ def test_exact_round_on_any_double(spark, values):
     assert all(row["r"] == round(row["x"], 4) for row in rows)
 
 
+def test_exact_round_of_large_values_rounds_their_text(spark):
+    df = spark.createDataFrame([(x,) for x in (5_000_000.125, -5_000_000.375, 1e300)], "x double")
+    got = [r[0] for r in df.select(exact_round(F.col("x"), 2)).collect()]
+    assert got == [5_000_000.12, -5_000_000.38, 1e300]
+
+
 def test_exact_round_of_null_is_null(spark):
     df = spark.range(1).select(exact_round(F.lit(None).cast("double"), 2).alias("r"))
     assert df.first()["r"] is None

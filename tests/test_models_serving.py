@@ -29,11 +29,13 @@ from ratewise.operators.serving import (
     serving_metrics,
     titled_recommendations,
 )
+from ratewise.plans.streams import start_from_files
 from ratewise.plans.training import recommend_from_files, train_from_files, train_model
 from ratewise.session import scratch_path
 from ratewise.settings import Settings
 from ratewise.sinks import write_recommendations
-from ratewise.sources import read_recommendations
+from ratewise.sources import read_recommendations, read_records, read_served
+from ratewise.streaming import Outputs, encode_events, run_until_stopped
 
 N_USERS, N_ITEMS = 30, 20
 
@@ -311,3 +313,16 @@ def test_from_files_to_recommendations(spark, tmp_path):
     users = spark.createDataFrame([(1,), (9999,)], "user_id int")
     rows = recommend_from_files(users, str(tmp_path / "model"), str(ratings), str(movies), settings)
     assert {r["user_id"] for r in rows.filter(F.col("note").isNotNull()).collect()} == {9999}
+    records, out = str(tmp_path / "records"), Outputs(str(tmp_path / "out"))
+    encode_events(spark.createDataFrame(
+        [(1, 1, 5.0, 1), (9999, 2, 4.0, 2)], "user_id int, movie_id int, rating float, timestamp long"
+    )).write.parquet(records)
+    run_until_stopped(
+        start_from_files(
+            read_records(spark, records), str(ratings), str(movies), str(tmp_path / "recs"), out,
+            str(tmp_path / "checkpoint"), {"availableNow": True}, settings,
+        )
+    )
+    served = {r["user_id"]: r["source"] for r in read_served(spark, out.served).collect()}
+    assert served == {1: PRECOMPUTED_SOURCE, 9999: POPULAR_NOTE}
+    assert spark.read.parquet(out.item_windows).count() == 6

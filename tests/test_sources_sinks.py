@@ -14,10 +14,14 @@ from ratewise.sources import (
     read_items,
     read_rating_lines,
     read_ratings,
+    read_newest,
     read_recommendations,
     read_served,
+    read_served_files,
 )
 
+from conftest import plan_of
+
 RATINGS = """1::1193::5::978300760
 x::2::3::978300760
 0::5::4::978300760
@@ -115,6 +119,10 @@ def test_served_round_trip_skips_bad_lines_and_overwrites(spark, tmp_path):
         (1, 2, 12.35),
     ]
     assert sorted(r["batch_id"] for r in newest_batches(got, 2).collect()) == [1, 2]
+    newest = read_newest(spark, path, 2)
+    assert sorted(r["batch_id"] for r in newest.collect()) == [1, 2]
+    text = plan_of(newest)
+    assert "batch_id" in text.split("PartitionFilters: [")[1].split("]")[0]
     files = (tmp_path / "served" / "batch_id=0").glob("part-*.json")
     assert json.loads("".join(f.read_text() for f in files)) == {
         "user_id": 1,
@@ -128,7 +136,7 @@ def test_served_files_named_by_batch(spark, tmp_path):
     record = '{"user_id": 4, "recommendations": [], "latency_ms": 1.0, "source": "s"}\n'
     for batch_id in (7, 12):
         (tmp_path / f"batch_{batch_id}.json").write_text(record)
-    assert sorted(r["batch_id"] for r in read_served(spark, str(tmp_path)).collect()) == [7, 12]
+    assert sorted(r["batch_id"] for r in read_served_files(spark, str(tmp_path)).collect()) == [7, 12]
 
 
 def test_warm_table_is_cached(spark, tmp_path):

@@ -9,6 +9,7 @@ from ratewise.operators import alerts as al
 from ratewise.operators.ranking import (
     ACTIVITY_ORDER,
     current_window,
+    newest_events,
     top_k_per_window,
     top_trending,
     top_users,
@@ -140,6 +141,18 @@ def test_top_k_per_window_of_users(spark):
     assert [(r["rank"], r["user_id"]) for r in top.orderBy("rank").collect()] == [(1, 2), (2, 3)]
 
 
+def test_newest_events_give_the_same_current_window(spark):
+    rated = events(spark, [(s, 1, s % 3, 3.0) for s in (0, 4, 11, 19, 20, 27, 29, 31, 38, 39)])
+
+    def current(df):
+        return sorted(map(tuple, current_window(item_windows(df, "30 seconds", "10 seconds")).collect()))
+
+    few = newest_events(rated, "10 seconds")
+    assert 0 < few.count() < rated.count()
+    assert current(few) == current(rated)
+    assert newest_events(rated.limit(0), "10 seconds").count() == 0
+
+
 def test_current_window(spark):
     df = windows(spark, [(0, 1, 5.0, 2, 10.0), (20, 2, 5.0, 2, 10.0), (20, 3, 1.0, 1, 1.0)])
     assert {r["item_id"] for r in current_window(df).collect()} == {2, 3}
