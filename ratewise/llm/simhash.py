@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.components import components
-from ratewise.llm.text import groups_of, text_bytes
+from ratewise.llm.text import free_prefix, groups_of, text_bytes
 from ratewise.session import scratch_path
 
 # Generator polynomial of the Golay code, segment widths.
@@ -133,18 +133,26 @@ def fingerprint(parts: list[bytes], step: int = 8192) -> int:
     return sum(1 << i for i in ones)
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) for each document; texts without words, null ones too, have fp 0."""
+def fingerprints(docs: DataFrame, words: int = 3, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) for each document; texts without words, null ones too, have fp 0.
+
+    With ``hashed`` also text_hash, which tells rows of one doc_id apart.
+    """
+    names = ["doc_id", "text_hash"] if hashed else ["doc_id"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_bytes(batch.column("text"))
             fps = [fingerprint(shingles(t, words)) for t in texts]
             signed = pa.array(np.array(fps, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), signed], ["doc_id", "fp"])
+            own = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*own, signed], [*names, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(compute, "doc_id bigint, fp bigint")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")
+    )
+    schema = ", ".join(f"{n} bigint" for n in [*names, "fp"])
+    return rows.select(*names, "text").mapInArrow(compute, schema)
 
 
 def _flips(fp: str):
@@ -206,20 +214,13 @@ def links(distinct: DataFrame, max_bits: int = 2, small_bucket: int = 32) -> Dat
     return pairs.union(hung).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, max_bits: int = 2, small_bucket: int = 32
+def _classes(
+    docs: DataFrame, words: int, max_bits: int, small_bucket: int = 32, hashed: bool = False
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of ``docs`` (doc_id, text).
-
-    Copies share a fingerprint and are one node of the search. The class of a
-    document is the smallest doc_id that links reach. Defined results: null and
-    empty texts have fingerprint 0 and link like others; repeated rows stay
-    repeated; a null doc_id is kept and never names a class unless the whole
-    class has none; an empty table gives an empty result.
-    """
+    """Rows of ``fingerprints`` with root, the fingerprint of their class, and its component_id."""
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
-    fingerprints(docs, words).write.parquet(path)
+    fingerprints(docs, words, hashed).write.parquet(path)
     marked = spark.read.parquet(path)
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     path = scratch_path(spark, "distinct-fingerprints")
@@ -231,26 +232,54 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     names = classed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = classed.join(names, "root").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = classed.join(names, "root").select("fp", "root", "component_id")
+    return marked.join(of_fp, "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 3, max_bits: int = 2, small_bucket: int = 32
+) -> DataFrame:
+    """(doc_id, fp, component_id) for each row of ``docs`` (doc_id, text).
+
+    Copies share a fingerprint and are one node of the search. The class of a
+    document is the smallest doc_id that links reach. Defined results: null and
+    empty texts have fingerprint 0 and link like others; repeated rows stay
+    repeated; a null doc_id is kept and never names a class unless the whole
+    class has none; an empty table gives an empty result.
+    """
+    return _classes(docs, words, max_bits, small_bucket).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay: of each class the one with the smallest doc_id.
 
-    Rows that repeat this doc_id are told apart by their whole content, and of
-    equal rows one stays. A class without any doc_id keeps its row with the
-    smallest content.
+    A class is told by its fingerprint, so classes without any doc_id, or of
+    different texts under one doc_id, keep a row each. Rows of a class that
+    repeat its doc_id, or that all have none, are told apart by their whole
+    content, of which the smallest stays.
     """
+    spark = docs.sparkSession
     names = docs.columns
-    classes = near_duplicates(docs, words, max_bits)
-    chosen = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("component_id").alias("_class")
-    ).distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
+    own = free_prefix(names)
+    id_, hash_, root, n, least = (f"{own}{c}" for c in ("id", "hash", "root", "n", "least"))
+    picked = (
+        _classes(docs, words, max_bits, hashed=True)
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "doc_id", "text_hash")
+        .agg(F.count("*").alias("n"))
+    )
+    sizes = picked.groupBy("root").agg(F.sum("n").alias(n))
+    path = scratch_path(spark, "chosen")
+    picked.drop("n").join(sizes, "root").withColumnsRenamed(
+        {"doc_id": id_, "text_hash": hash_, "root": root}
+    ).write.parquet(path)
+    chosen = spark.read.parquet(path)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(id_)) & (
+        F.xxhash64(docs["text"]) == F.col(hash_)
+    )
+    single = docs.join(chosen.filter(F.col(n) == 1), same, "left_semi")
     rank = F.struct(*[F.col(f"`{c}`") for c in sorted(names)])
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(rank).alias("_least"))
-    first = repeated.filter("_n > 1")
-    several = first.select(F.col("doc_id").alias("_id"))
-    single = kept.join(several, kept["doc_id"].eqNullSafe(several["_id"]), "left_anti")
-    return single.unionByName(first.select(*[F.col("_least").getField(c).alias(c) for c in names]))
+    first = docs.join(chosen.filter(F.col(n) > 1), same).groupBy(root).agg(F.min(rank).alias(least))
+    return single.unionByName(
+        first.select(*[F.col(least).getField(c).alias(c) for c in names])
+    )

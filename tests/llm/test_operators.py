@@ -469,6 +469,15 @@ def test_filters_keep_columns_and_odd_rows(spark, odd):
     assert templates.drop_recurring(odd).columns == odd.columns
 
 
+def test_every_class_keeps_a_row(spark):
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcde")
+    rows = [(None, a, "y"), (None, a, "x"), (None, b, "x"), (None, c, "x"), (3, c, "x"),
+            (7, d, "x"), (7, d, "x"), (7, e, "x"), (8, e, "x"), (None, None, "x"), (None, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {(r.doc_id, r.text, r.lang) for r in simhash.keep_one(docs).collect()}
+    assert kept == {(None, a, "x"), (None, b, "x"), (3, c, "x"), (7, d, "x"), (7, e, "x"), (None, None, "x")}
+
+
 def test_columns_of_any_name_pass(spark, odd):
     import corpus_pipeline as pipeline
 
