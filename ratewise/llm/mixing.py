@@ -22,8 +22,9 @@ OTHER = "other"
 class Targets:
     """Shares of tokens by margin; what isn't listed falls into ``other``.
 
-    ``other`` is listed too, or else keeps its share of the data. The cells are
-    the product of the lists, so their number doesn't grow with the documents.
+    ``other`` is listed too, or else keeps its share of the data, and the listed
+    shares are scaled to what it leaves. The cells are the product of the lists,
+    so their number doesn't grow with the documents.
     """
 
     source: dict[str, float] = field(default_factory=dict)
@@ -86,11 +87,13 @@ def rake(
         names = sorted({c[k] for c in cells})
         index = np.array([names.index(c[k]) for c in cells])
         held = np.bincount(index, size, len(names)) / total
-        rest = max(0.0, 1 - sum(v for n, v in listed.items() if n != OTHER))
-        share = np.array(
-            [listed.get(n, (rest if listed else h) if n == OTHER else 0) for n, h in zip(names, held)]
-        )
-        share = share / share.sum() if share.sum() else held
+        # An unlisted other keeps what it holds, and the listed ones share the rest.
+        kept = np.array([h if n == OTHER and n not in listed else 0.0 for n, h in zip(names, held)])
+        share = np.array([listed.get(n, 0.0) for n in names])
+        if share.sum():
+            share = kept + share / share.sum() * (1 - kept.sum())
+        else:
+            share = kept / kept.sum() if kept.sum() else held
         groups.append((index, share * total * fraction))
     for _ in range(sweeps):
         before = p

@@ -124,6 +124,23 @@ def test_draws_follow_probabilities(spark, sf):
     assert got[got.probability >= 1].sampled.all()
 
 
+def test_unlisted_categories_keep_their_share(spark):
+    langs = ["en", "de", "fr", "es", "en", "de", None, "ru", "", "other"]
+    rows = [(i, f"text {i} " + "word " * 50, langs[i % 10], f"src{i % 3}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = mixing.mix(docs, queries.MIXTURE, 0.5).collect()
+    rest = [r for r in got if r.lang not in ("en", "de", "fr", "es")]
+    assert all(r._weight is not None for r in got)
+    assert {r.lang for r in rest if r._sampled} == {None, "ru", "", "other"}
+    expected = sum(r._tokens * r._probability for r in got)
+    assert sum(r._tokens * r._probability for r in rest) == pytest.approx(0.4 * expected)
+    en = sum(r._tokens * r._probability for r in got if r.lang == "en")
+    assert en == pytest.approx(0.55 * 0.6 * expected, rel=1e-3)
+    cells = {("a", "x", "p"): 60.0, ("other", "x", "p"): 40.0}
+    p = mixing.rake(cells, mixing.Targets({"a": 1.0}), 0.5)
+    assert p == pytest.approx({c: 0.5 for c in cells})
+
+
 # ---- 3: line templates -----------------------------------------------------------
 
 
