@@ -156,6 +156,18 @@ def test_templates_generalise_and_keep_the_first(spark):
     assert all(got[20 + i].startswith("other") for i in range(1, 8))
 
 
+def test_third_token_varies_by_default(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(20 + i, f"User logged {w} from {v} at noon today again\nother {w} line {v} alone")
+            for i, (w, v) in enumerate(zip("abcdefgh", "stuvwxyz"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for kept in (templates.drop_recurring(docs), pipeline.drop_recurring_lines(spark, docs, "")):
+        got = {r.doc_id: r.text for r in kept.collect()}
+        assert got[20] == rows[0][1]
+        assert all(got[20 + i].startswith("other") for i in range(1, 8))
+
+
 def test_few_documents_keep_their_lines(spark):
     docs = spark.createDataFrame([(i, "a line that is shared\nb") for i in range(4)], "doc_id bigint, text string")
     assert {r.text for r in templates.drop_recurring(docs).collect()} == {"a line that is shared\nb"}
