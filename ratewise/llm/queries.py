@@ -60,8 +60,9 @@ def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and recurring lines of each document, and a digest of what stays."""
     docs = _table(spark, sf_dir, "documents")
-    # The SQL below has leaves of three leading tokens; the operator's own depth is two.
-    kept = templates.drop_recurring(docs, with_counts=True, depth=3)
+    # The SQL below has leaves of three leading tokens and one vote in each; the operator's
+    # own are of two tokens and vote in rounds.
+    kept = templates.drop_recurring(docs, with_counts=True, depth=3, rounds=False)
     return kept.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
     )

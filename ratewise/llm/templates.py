@@ -2,14 +2,19 @@
 
 All of it is built-in functions. A line is parsed in fixed depth: by its number
 of tokens, then by its first two, where tokens with a digit count as a variable
-field. The lines of such a leaf share one template: at each further place the
-token that more than half of the leaf's documents have there, or else a variable
-field. A line follows the template if at least half of these places agree with
-it; other lines stand for themselves, with their variable fields.
+field. The lines of a group, at first a leaf, share one template: at each further
+place the token that more than half of the group's documents have there, or else
+a variable field. A line follows the template if at least half of these places
+agree with it. Lines that don't are a group of their own and vote again, and a
+group without such a majority is split at the place of its most frequent token,
+until no group can hold a recurring template. Lines that follow none stand for
+themselves, with their variable fields.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,14 +67,133 @@ def leaf_templates(lines: DataFrame, depth: int) -> DataFrame:
     )
 
 
+def _agreeing(rest: Column, constants: Column) -> Column:
+    """Number of places at which a line has the token of the template."""
+    same = F.zip_with(rest, constants, lambda t, c: F.coalesce(t == c["token"], F.lit(False)))
+    return F.size(F.filter(same, lambda s: s))
+
+
+def _one_vote(members: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(line_hash, general) of the lines that follow the one template of their leaf."""
+    rest = F.slice("tokens", depth + 1, 2**30)
+    fitted = members.join(leaf_templates(members, depth), "leaf")
+    return fitted.filter(
+        _agreeing(rest, F.col("constants")) >= similarity * (F.size("tokens") - depth)
+    ).select("line_hash", F.xxhash64("leaf", F.col("constants.token")).alias("general"))
+
+
+def _votes_in_rounds(
+    members: DataFrame, depth: int, similarity: float, min_docs: int
+) -> DataFrame:
+    """(line_hash, general) of the lines that follow a template of a group of their leaf.
+
+    Each round settles a group, takes the followers of its template out of it
+    or splits it at one place: one group for each token of at least ``min_docs``
+    documents there, one for the other lines. A place at which a group was split
+    never splits its parts again, so the rounds end by themselves. A group goes on only
+    if ``similarity`` of its places have a token that could be a majority of
+    ``min_docs`` documents.
+    """
+    spark = members.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    rest = F.slice("tokens", depth + 1, 2**30).alias("rest")
+    active = members.select(F.col("leaf").alias("grp"), "line_hash", rest, "n_docs")
+    found = []
+    while True:
+        votes = written(
+            active.select("grp", "n_docs", F.posexplode("rest").alias("place", "token"))
+            .groupBy("grp", "place", "token")
+            .agg(F.sum("n_docs").alias("n")),
+            "line-votes",
+        )
+        best = votes.groupBy("grp", "place").agg(
+            F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("total")
+        )
+        n = F.col("top.n")
+        constant = F.struct("place", F.when(n * 2 > F.col("total"), F.col("top.token")).alias("token"))
+        split = F.when(
+            (n * 2 <= F.col("total")) & (n >= min_docs), F.struct(n, (-F.col("place")).alias("at"))
+        )
+        groups = (
+            best.groupBy("grp")
+            .agg(
+                F.max("total").alias("total"),
+                F.sort_array(F.collect_list(constant)).alias("constants"),
+                (-F.max(split)["at"]).alias("place"),
+                F.count_if(n * 2 > min_docs).alias("shared"),
+            )
+            .filter(
+                (F.col("total") >= min_docs)
+                & (F.col("shared") >= similarity * F.size("constants"))
+            )
+            .drop("shared")
+        )
+        agrees = _agreeing(F.col("rest"), F.col("constants")) >= similarity * F.size("rest")
+        fitted = written(
+            active.join(groups, "grp").select(
+                "grp", "line_hash", "rest", "n_docs", "total", "place", agrees.alias("follows"),
+                F.xxhash64("grp", F.col("constants.token")).alias("general"),
+            ),
+            "fitted-lines",
+        )
+        if fitted.isEmpty():
+            break
+        # A template is taken if it recurs and has a fair part of its group, or nothing splits it.
+        following = fitted.groupBy("grp").agg(
+            F.sum(F.when(F.col("follows"), F.col("n_docs"))).alias("n"),
+            F.first("total").alias("total"),
+            F.first("place").alias("place"),
+        )
+        taken = (F.col("n") >= min_docs) & (
+            (F.col("n") * 4 >= F.col("total")) | F.col("place").isNull()
+        )
+        verdict = written(
+            following.select("grp", "place", F.coalesce(taken, F.lit(False)).alias("taken")).filter(
+                F.col("taken") | F.col("place").isNotNull()
+            ),
+            "group-verdicts",
+        )
+        decided = fitted.drop("place", "total").join(verdict, "grp")
+        found.append(
+            written(
+                decided.filter("taken AND follows").select("line_hash", "general"), "followers"
+            )
+        )
+        others = decided.filter("taken AND NOT follows").select(
+            F.xxhash64("grp", F.lit(-1)).alias("grp"), "line_hash", "rest", "n_docs"
+        )
+        frequent = (
+            votes.filter(F.col("n") >= min_docs)
+            .join(verdict.filter("NOT taken"), ["grp", "place"])
+            .select("grp", F.col("token").alias("at"), F.xxhash64("token").alias("part"))
+        )
+        parts = (
+            decided.filter("NOT taken")
+            .withColumn("at", F.get("rest", "place"))
+            .join(frequent, ["grp", "at"], "left")
+            .select(F.xxhash64("grp", "place", "part").alias("grp"), "line_hash", "rest", "n_docs")
+        )
+        active = written(others.union(parts), "line-groups")
+    if not found:
+        return spark.createDataFrame([], "line_hash bigint, general bigint")
+    return reduce(DataFrame.union, found)
+
+
 def recurring_lines(
-    docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 2, similarity: float = 0.5
+    docs: DataFrame, min_docs: int = 5, min_tokens: int = 3, depth: int = 2, similarity: float = 0.5,
+    rounds: bool = True,
 ) -> DataFrame:
     """(doc_id, text_hash, line_no, template) of lines to drop.
 
     A template of at least ``min_docs`` documents recurs; it is dropped
     everywhere but at its first occurrence (smallest doc_id, text, line), so
-    that no content is lost.
+    that no content is lost. Without ``rounds`` a leaf votes once, for one
+    template.
     """
     spark = docs.sparkSession
     every = _lines(docs, min_tokens, depth)
@@ -109,20 +233,11 @@ def recurring_lines(
         .write.parquet(path)
     )
     members = spark.read.parquet(path)
-    fitted = members.join(leaf_templates(members, depth), "leaf")
-    agreeing = F.size(
-        F.filter(
-            F.zip_with(
-                F.slice("tokens", depth + 1, 2**30),
-                F.col("constants"),
-                lambda t, c: F.coalesce(t == c["token"], F.lit(False)),
-            ),
-            lambda same: same,
-        )
+    following = (
+        _votes_in_rounds(members, depth, similarity, min_docs)
+        if rounds
+        else _one_vote(members, depth, similarity)
     )
-    following = fitted.filter(
-        agreeing >= similarity * (F.size("tokens") - depth)
-    ).select("line_hash", F.xxhash64("leaf", F.col("constants.token")).alias("general"))
 
     template = F.coalesce("general", "line_hash")
     path = scratch_path(spark, "line-templates")

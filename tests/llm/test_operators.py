@@ -168,6 +168,17 @@ def test_third_token_varies_by_default(spark):
         assert all(got[20 + i].startswith("other") for i in range(1, 8))
 
 
+@pytest.mark.parametrize("parts", [(40, 35, 25), (60, 40)])
+def test_several_templates_of_a_leaf(spark, parts):
+    lines = ["of {} cats sat down by the old door", "of {} dogs ran over to their new home",
+             "of {} birds flew far from all warm trees"]
+    rows = [(100 * k + i, f"Here {lines[k].format(f'w{chr(97 + i % 26)}{chr(97 + i // 26)}')}\nown {k}x")
+            for k, n in enumerate(parts) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in templates.drop_recurring(docs).collect() if r.text.startswith("Here")}
+    assert kept == {100 * k for k in range(len(parts))}
+
+
 def test_few_documents_keep_their_lines(spark):
     docs = spark.createDataFrame([(i, "a line that is shared\nb") for i in range(4)], "doc_id bigint, text string")
     assert {r.text for r in templates.drop_recurring(docs).collect()} == {"a line that is shared\nb"}
