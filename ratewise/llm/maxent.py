@@ -1,7 +1,7 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 A token's class is predicted from hashed features of the tokens before it: the
-last one, the last two together, and the last but one alone (a skip).
+last one, the last two together, the last but one and the last but two (skips).
 The ``head`` most frequent tokens have classes of ``slots`` by frequency and are
 predicted within their class from hashed features of class and last token. Any
 other token belongs to a class by its surface (length, last byte, bytes above
@@ -49,11 +49,11 @@ class Shape:
     """Sizes and steps; none depends on the documents."""
 
     slots: int = 32
-    head_classes: int = 16
-    tail_classes: int = 16
+    head_classes: int = 32
+    tail_classes: int = 24
     bits: int = 14  # 2 ** bits rows of class weights, and as many within classes
-    rounds: int = 1
-    batch: int = 16384
+    rounds: int = 2
+    batch: int = 2048
     rate: float = 2.0
 
     @property
@@ -81,7 +81,7 @@ def surface_class(words: Words, n: int) -> np.ndarray:
     last = words.data[words.first + words.length - 1]
     mark = (last < 48) | ((last > 57) & (last < 97))
     wide = np.maximum.reduceat(words.data, words.first) > 127
-    size = np.digitize(words.length, (5, 8, 12))
+    size = np.digitize(words.length, (4, 6, 8, 11, 15))
     return (size * 4 + mark * 2 + wide) % n
 
 
@@ -103,15 +103,16 @@ def _rows(t: Tokens, shape: Shape) -> list[np.ndarray]:
     starts = np.repeat(t.bounds[:-1], np.diff(t.bounds))
     place = np.arange(len(t.hashes)) - starts
     before = []
-    for k in (1, 2):
+    for k in (1, 2, 3):
         h = np.full(len(t.hashes), _START, np.uint64)
         h[k:] = t.hashes[:-k] if k < len(h) else h[k:]
         h[place < k] = _START
         before.append(h)
-    last, second = before
+    last, second, third = before
     kinds = (
         last,
         finish(second + np.uint64(2)),
+        finish(third + np.uint64(3)),
         finish(last * np.uint64(0x9E3779B97F4A7C15) + second),
     )
     return [(finish(h) >> np.uint64(64 - shape.bits)).astype(np.int64) for h in kinds]
@@ -201,15 +202,14 @@ def log10_scores(model: Model, t: Tokens, counts: np.ndarray, step: int = 16384)
 
 def _add(table: np.ndarray, rows: list[np.ndarray], steps: np.ndarray, seen: np.ndarray) -> None:
     """Take a batch's steps off the rows of its features, and count their tokens."""
-    n, width = table.shape
-    column = np.arange(width)
-    cells = np.concatenate([(r[:, None] * width + column).ravel() for r in rows])
-    total = np.bincount(cells, np.tile(steps.ravel(), len(rows)), n * width).reshape(n, width)
-    times = np.bincount(np.concatenate(rows), minlength=n)
-    at = np.flatnonzero(times)
-    seen[at] += times[at]
+    width = table.shape[1]
+    at, place = np.unique(np.concatenate(rows), return_inverse=True)
+    cells = (place[:, None] * width + np.arange(width)).ravel()
+    total = np.bincount(cells, np.tile(steps.ravel(), len(rows)), len(at) * width)
+    times = np.bincount(place)
+    seen[at] += times
     # AdaGrad's shape without its table: steps shrink with what a row has seen.
-    table[at] -= total[at] / np.sqrt(times[at] * seen[at])[:, None]
+    table[at] -= total.reshape(-1, width) / np.sqrt(times * seen[at])[:, None]
 
 
 def learn(model: Model, texts: list[bytes], seen: np.ndarray, slot_seen: np.ndarray) -> None:

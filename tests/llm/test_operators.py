@@ -99,6 +99,23 @@ def test_model_probabilities_add_up():
     assert inside == pytest.approx(np.ones(shape.classes), abs=1e-5)
 
 
+def test_history_of_three_tokens_and_rounds_that_build_on_each_other(spark, monkeypatch):
+    shape = maxent.Shape()
+    one, other = (maxent._rows(maxent.tokens([t], shape), shape) for t in (b"a x y z", b"b x y z"))
+    assert sum(r[3] != o[3] for r, o in zip(one, other)) == 1
+    assert shape.head == 1024
+    starts, of = [], maxent.train_round
+
+    def seen(docs, shared, *rest):
+        starts.append(shared.value.weights.any())
+        return of(docs, shared, *rest)
+
+    monkeypatch.setattr(maxent, "train_round", seen)
+    docs = spark.createDataFrame([(i, f"some words of {i}") for i in range(40)], "doc_id bigint, text string")
+    maxent.score(docs, F.lit(False)).count()
+    assert starts[:2] == [False, True]
+
+
 # ---- 2: mixing -----------------------------------------------------------------
 
 
