@@ -26,8 +26,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def plan_of(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans_helper import plan_of
 from ratewise.operators import factors
 from ratewise.operators.popularity import (
     POPULAR_NOTE,

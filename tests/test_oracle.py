@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
-from conftest import plan_of
+from plans_helper import plan_of
 from ratewise.plans.oracle_sql import ORACLES
 from ratewise.plans.queries import QUERIES
 

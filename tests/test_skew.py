@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans_helper import plan_of
 from ratewise.operators.cleaning import clean_ratings
 from ratewise.operators.profiling import profile
 from ratewise.operators.recommending import unseen

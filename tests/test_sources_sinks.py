@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 
+from plans_helper import plan_of
 from ratewise.operators.cleaning import clean_ratings
 from ratewise.sinks import alert_lines, kafka_sink_options, write_batch, write_kafka, write_served
 from ratewise.sources import (
@@ -20,7 +21,6 @@ from ratewise.sources import (
     read_served_files,
 )
 
-from conftest import plan_of
 
 RATINGS = """1::1193::5::978300760
 x::2::3::978300760

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from plans_helper import plan_of
 from ratewise.operators import alerts as al
 from ratewise.operators.ranking import (
     ACTIVITY_ORDER,
@@ -17,7 +18,6 @@ from ratewise.operators.ranking import (
 from ratewise.operators.titles import numbered_title, with_title
 from ratewise.operators.windows import item_windows, latest_version, user_windows
 
-from conftest import plan_of
 
 EPOCH = datetime(1970, 1, 1)
 
