@@ -520,8 +520,9 @@ def test_filters_keep_columns_and_odd_rows(spark, odd):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    # Null, empty and blank texts are one class; repeated rows are one.
-    assert kept.count() == 7
+    # Null, empty and blank texts are one class; repeated rows are one;
+    # two texts under one doc_id are two.
+    assert kept.count() == 8
     assert decontamination.clean(odd, bench).count() == odd.count()
     assert templates.drop_recurring(odd).columns == odd.columns
 
