@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontamination, maxent, mixing, perplexity, repeats, rollups, simhash
-from ratewise.llm import templates, toxicity, warc
+from ratewise.llm import alignment, bpe, collocations, decontamination, maxent, mixing, perplexity
+from ratewise.llm import repeats, rollups, simhash, templates, toxicity, warc
 from ratewise.llm.shipping import send_package
 from ratewise.llm.text import id_remainder, words
 from ratewise.session import scratch_path
@@ -169,6 +169,50 @@ def op10_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    """Where the installed file of a public tokenizer is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of each document under two tokenizers."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text")
+    first = alignment.TokenizerFile.read(_tokenizer("byte_bpe_50k.json"), lead=" ")
+    second = alignment.TokenizerFile.read(_tokenizer("piece_bpe_32k.model"))
+    groups = F.col("_groups")
+    # The groups themselves aren't needed any further, nor are the texts.
+    digest = F.when(groups != "", F.sha2(groups, 256)).otherwise("").alias("groups_sha256")
+    aligned = alignment.align(docs, first, second).select("*", digest).drop("text", "_groups")
+    counted = alignment.link_counts(aligned)
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return counted.select("doc_id", *(F.col(f"_{c}").alias(c) for c in names), "groups_sha256")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two and three words of each language."""
+    docs = _table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs).select(
+        F.col("label").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score"
+    )
+
+
+def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and the text that they decode to."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = bpe.read_vocabulary(_tokenizer("byte_bpe_50k.json"))
+    encoded = bpe.encode(docs, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        "ids",
+    )
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hashed_maxent": op1_hashed_maxent,
     "op2_raking": op2_raking,
@@ -180,6 +224,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_counterfactual": op8_counterfactual,
     "op9_golay_simhash": op9_golay_simhash,
     "op10_seed_extend": op10_seed_extend,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_rank_bpe": op13_rank_bpe,
 }
 
 _UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -293,5 +340,44 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op12_collocations": rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), {_UPPER_TO_LOWER}) AS text FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
+), f AS (
+  SELECT lang, size, array_to_string(w[s : s + size - 1], ' ') AS phrase, count(*) AS f FROM (
+    SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS s
+    FROM p, (VALUES (1), (2), (3)) AS v(size) WHERE len(w) >= size)
+  GROUP BY ALL
+), c AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c
+), scores AS (
+  SELECT cuts.lang, cuts.phrase, cuts.size, a, k, l.f AS l, r.f AS r,
+    CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts
+  JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+  JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(w[k + 1 : cuts.size], ' ')
+), best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, a, array_to_string(w[i : i + 1], ' ') AS phrase FROM (
+    SELECT *, unnest([1, 2]) AS i FROM c WHERE size = 3)
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts x WHERE x.lang = b.lang AND x.phrase = b.phrase
+      AND 100 * x.a >= 50 * b.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000
 """,
 }
