@@ -22,7 +22,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -33,15 +33,16 @@ from pyspark.sql import types as T
 from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
-from ratewise.llm.text import groups_of, text_bytes
+from ratewise.llm.text import WordHash, groups_of, text_bytes
 
 #: Bytes of the longest piece that is joined by scanning.
 SHORT = 32
 #: Distinct pieces whose ids a task keeps.
-CACHED = 1 << 17
+CACHED = 1 << 18
 #: Pieces that are joined side by side.
 SIDE_BY_SIDE = 1 << 14
 
+_HASH = WordHash(1301)
 _NONE = np.int32(2**31 - 1)
 _LETTER, _NUMBER, _SPACE, _OTHER, _BREAK = range(5)
 # What is cut off after an apostrophe, by first and second letter.
@@ -297,54 +298,96 @@ def join_long(word: bytes, vocabulary: Vocabulary) -> np.ndarray:
     return token[np.frombuffer(gone, np.uint8) == 0]
 
 
-class Encoder:
-    """Encodes texts; keeps the ids of the pieces it has met, within a bound."""
+def take(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices of ``values`` that begin at ``first``, one after the other."""
+    before = np.cumsum(size) - size
+    return values[np.repeat(first - before, size) + np.arange(int(size.sum()))]
 
-    def __init__(self, vocabulary: Vocabulary, specials: bool = True, cached: int = CACHED):
-        self.vocabulary, self.cached = vocabulary, cached
-        strings = sorted(vocabulary.specials, key=lambda s: (-len(s), s)) if specials else []
-        self.special = re.compile(b"(" + b"|".join(map(re.escape, strings)) + b")") if strings else None
+
+def distinct(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words, slices of ``data``, are the first of their kind, and the kind of each.
+
+    Words are told apart by their 64-bit hashes, which are checked against their bytes.
+    """
+    before = np.cumsum(size) - size
+    held = take(data, first, size)
+    place = (np.arange(len(held)) - np.repeat(before, size)).astype(np.int32)
+    _, one, kind = np.unique(_HASH.of(held, place, before, size), return_index=True, return_inverse=True)
+    same = first[one][kind]
+    if (size[one][kind] == size).all() and (take(data, same, size) == held).all():
+        return one, kind
+    words = [data[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    kind = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return np.unique(kind, return_index=True)[1], kind
+
+
+class Memo:
+    """Ids of words, found once while they stay in a store of a bounded size."""
+
+    def __init__(
+        self, find: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = CACHED
+    ):
+        self.find, self.limit = find, limit
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.ids = np.empty(0, np.int32)
+        self.known = np.empty(0, np.int32)
         self.bounds = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of words that aren't known yet."""
-        words = sorted(words, key=len)
-        found, sizes = [self.ids], [np.diff(self.bounds)]
-        n_short = sum(len(w) <= SHORT for w in words)
-        for a in range(0, n_short, SIDE_BY_SIDE):
-            ids, count = join_short(words[a : min(a + SIDE_BY_SIDE, n_short)], self.vocabulary)
-            found.append(ids)
-            sizes.append(count)
-        for word in words[n_short:]:
-            ids = join_long(word, self.vocabulary)
-            found.append(ids)
-            sizes.append(np.array([len(ids)]))
-        first = len(self.number)
-        self.number.update((w, first + i) for i, w in enumerate(words))
-        self.ids = np.concatenate(found)
-        self.bounds = np.append(0, np.cumsum(np.concatenate(sizes)))
+    def ids(
+        self, whole: bytes, first: np.ndarray, size: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, slices of ``whole``, and where those of each word begin."""
+        one, kind = distinct(np.frombuffer(whole, np.uint8), first, size)
+        ends = (first + size)[one].tolist()
+        words = [whole[a:b] for a, b in zip(first[one].tolist(), ends, strict=True)]
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > self.limit:
+            self._forget()
+            new = words
+        if new:
+            new = sorted(new, key=len)
+            ids, count = self.find(new)
+            known = len(self.number)
+            self.number.update(zip(new, range(known, known + len(new)), strict=True))
+            self.known = np.append(self.known, ids)
+            self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(count))
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[kind]
+        count = (self.bounds[1:] - self.bounds[:-1])[number]
+        return take(self.known, self.bounds[number], count), np.append(0, np.cumsum(count))
+
+
+def join_parts(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the parts of words in the order of their lengths, and each one's number."""
+    short = sum(len(w) <= SHORT for w in words)
+    found = [
+        join_short(words[a : min(a + SIDE_BY_SIDE, short)], vocabulary)
+        for a in range(0, short, SIDE_BY_SIDE)
+    ]
+    for word in words[short:]:
+        ids = join_long(word, vocabulary)
+        found.append((ids, np.array([len(ids)])))
+    ids, count = zip(*found, strict=True)
+    return np.concatenate(ids), np.concatenate(count)
+
+
+class Encoder:
+    """Encodes texts; remembers the ids of pieces."""
+
+    def __init__(self, vocabulary: Vocabulary, specials: bool = True, cached: int = CACHED):
+        self.vocabulary = vocabulary
+        strings = sorted(vocabulary.specials, key=lambda s: (-len(s), s)) if specials else []
+        self.special = re.compile(b"(" + b"|".join(map(re.escape, strings)) + b")") if strings else None
+        self.memo = Memo(lambda words: join_parts(words, vocabulary), cached)
 
     def _encode_plain(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts without special tokens, one after the other, and their bounds."""
         whole, begin, stop = pieces(texts, self.vocabulary)
-        words = [whole[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
-        new = set(words) - self.number.keys()
-        if len(self.number) + len(new) > self.cached:
-            self._forget()
-            new = set(words)
-        if new:
-            self._learn(list(new))
-        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        size = np.diff(self.bounds)[number]
-        total = np.append(0, np.cumsum(size))
-        source = np.repeat(self.bounds[number] - total[:-1], size) + np.arange(total[-1])
+        ids, total = self.memo.ids(whole, begin, stop - begin)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-        return self.ids[source], total[np.searchsorted(begin, starts)]
+        return ids, total[np.searchsorted(begin, starts)]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after the other, and where each text's begin and end."""
@@ -368,23 +411,25 @@ class Encoder:
 
 
 class Decoder:
-    """Bytes of token ids; ids that the vocabulary doesn't have give none."""
+    """Bytes of token ids; ids that it doesn't have give none."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        top = max(vocabulary.token_bytes, default=-1) + 1
-        by_id = [vocabulary.token_bytes.get(i, b"") for i in range(top)]
+    def __init__(self, token_bytes: dict[int, bytes]):
+        top = max(token_bytes, default=-1) + 1
+        by_id = [token_bytes.get(i, b"") for i in range(top)]
         self.data = np.frombuffer(b"".join(by_id), np.uint8)
         self.bounds = np.append(0, np.cumsum([len(b) for b in by_id], dtype=np.int64))
 
-    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-        """Texts in UTF-8; bytes that aren't UTF-8 become U+FFFD."""
+    def spans(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids, and where each id's begin and end."""
         ids = np.asarray(ids, np.int64)
         real = (ids >= 0) & (ids < len(self.bounds) - 1)
         own = np.where(real, ids, 0)
         size = np.where(real, self.bounds[own + 1] - self.bounds[own], 0)
-        total = np.append(0, np.cumsum(size))
-        source = np.repeat(self.bounds[own] - total[:-1], size) + np.arange(total[-1])
-        whole = self.data[source].tobytes()
+        return take(self.data, self.bounds[own], size).tobytes(), np.append(0, np.cumsum(size))
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """Texts in UTF-8; bytes that aren't UTF-8 become U+FFFD."""
+        whole, total = self.spans(ids)
         at = total[bounds].tolist()
         return [_valid(whole[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
 
@@ -459,7 +504,7 @@ def decode(
     read = ids if ids in source.columns else f"{ids} before"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(shared.value.token_bytes)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)

@@ -179,8 +179,8 @@ def _tokenizer(name: str) -> str:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of each document under two tokenizers."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text")
-    first = alignment.TokenizerFile.read(_tokenizer("byte_bpe_50k.json"), lead=" ")
-    second = alignment.TokenizerFile.read(_tokenizer("piece_bpe_32k.model"))
+    first = alignment.read_tokenizer(_tokenizer("byte_bpe_50k.json"))
+    second = alignment.read_tokenizer(_tokenizer("piece_bpe_32k.model"))
     groups = F.col("_groups")
     # The groups themselves aren't needed any further, nor are the texts.
     digest = F.when(groups != "", F.sha2(groups, 256)).otherwise("").alias("groups_sha256")

@@ -41,7 +41,7 @@ def library():
 def same_as_library(texts, vocabulary, library, specials=True):
     library.encode_special_tokens = not specials
     ids, bounds = bpe.Encoder(vocabulary, specials).encode([t.encode() for t in texts])
-    decoded = bpe.Decoder(vocabulary).decode(ids, bounds)
+    decoded = bpe.Decoder(vocabulary.token_bytes).decode(ids, bounds)
     for i, text in enumerate(texts):
         want = library.encode(text, add_special_tokens=False).ids
         assert ids[bounds[i] : bounds[i + 1]].tolist() == want, text[:80]
@@ -81,7 +81,7 @@ def test_ids_of_any_text(vocabulary, library, texts):
 @settings(max_examples=100, deadline=None)
 @given(ids=st.lists(st.integers(0, 50400), max_size=12))
 def test_texts_of_any_ids(vocabulary, library, ids):
-    got = bpe.Decoder(vocabulary).decode(np.array(ids), np.array([0, len(ids)]))[0]
+    got = bpe.Decoder(vocabulary.token_bytes).decode(np.array(ids), np.array([0, len(ids)]))[0]
     assert got.decode() == library.decode(ids, skip_special_tokens=False)
 
 
@@ -203,8 +203,9 @@ def test_registered_alignment(spark, sf, tmp_path):
 
 def test_alignment_over_several_parts(spark, sf, monkeypatch):
     """The same counts however many documents share a list of pairs."""
-    a = alignment.TokenizerFile.read(BYTE_BPE, lead=" ")
-    b = alignment.TokenizerFile.read(PIECE_BPE)
+    a = alignment.read_tokenizer(BYTE_BPE)
+    b = alignment.read_tokenizer(PIECE_BPE)
+    monkeypatch.setattr(alignment, "PART_BYTES", 50_000)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     one = alignment.align_and_count(docs.coalesce(1), a, b).collect()
     many = alignment.align_and_count(docs.repartition(7), a, b)
@@ -213,9 +214,28 @@ def test_alignment_over_several_parts(spark, sf, monkeypatch):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_stretches_give_what_whole_texts_give(spark, sf):
+    whole = alignment.Aligner(*(alignment.read_tokenizer(f) for f in (BYTE_BPE, PIECE_BPE)))
+    parts = alignment.Aligner(*(alignment.read_tokenizer(f) for f in (BYTE_BPE, PIECE_BPE)))
+    assert whole.a.apart and whole.b.apart
+    whole.a.apart = False
+    a_lib, b_lib = Tokenizer.from_file(BYTE_BPE), SentencePieceProcessor(model_file=PIECE_BPE)
+    a_lib.encode_special_tokens = True
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts += ["a\n  b c　 d e  f \x85 g é  h! 's x ", "a ▁ b", "", "  ", "\t x", "<s> </s> <|endoftext|>", "x", " x", "x "]
+    data = [t.encode() for t in texts]
+    x, y = whole.align(data), parts.align(data)
+    assert x.groups == y.groups and (x.counts == y.counts).all()
+    assert (x.pairs == y.pairs).all() and (x.bounds == y.bounds).all()
+    for t, n in zip(texts, y.counts, strict=True):
+        if t and "▁" not in t:
+            own = len(a_lib.encode(" " + t, add_special_tokens=False).ids), len(b_lib.encode(t))
+            assert tuple(n[:2]) == own, t[:50]
+
+
 def test_alignment_of_odd_rows(spark, odd, none):
-    a = alignment.TokenizerFile.read(BYTE_BPE, lead=" ")
-    b = alignment.TokenizerFile.read(PIECE_BPE)
+    a = alignment.read_tokenizer(BYTE_BPE)
+    b = alignment.read_tokenizer(PIECE_BPE)
     clash = odd.withColumn("_n_a", F.lit("mine"))
     got = alignment.align_and_count(clash, a, b)
     rows = got.collect()
@@ -303,8 +323,7 @@ def test_trie_and_sieve_hold_all_and_only_theirs():
     other = words[rng.integers(0, 400, (50_000, 3))]
     assert ((walk(other) >= 0) == [tuple(r) in held for r in other.tolist()]).all()
     sieve = collocations.Sieve(np.zeros(collocations.Sieve.size(400) // 8, np.uint8))
-    byte, bit = sieve.place(words)
-    np.bitwise_or.at(sieve.bits, byte, bit)
+    sieve.add(words)
     assert sieve.has(words).all()
     assert sieve.has(rng.integers(0, 2**64, 10_000, dtype=np.uint64)).mean() < 0.1
 
