@@ -1,14 +1,15 @@
 """Phrase collocations: frequent word sequences and how much they exceed chance.
 
-Phrases grow level by level. Spark counts the words; a longer phrase is a candidate
-only if both its parts without the last and without the first word are frequent, and
-if an upper bound of its own count reaches the minimum: hashes of such phrases are
-summed by Spark over all texts, and phrases that share a hash only add up. No frequent
-phrase is lost by that.
+The texts are read once, into blocks that hold their distinct words and, for each
+position, the number of its word. Phrases then grow level by level. A phrase is a
+candidate only if both its parts without the last and without the first word are
+frequent, and if an upper bound of its own count reaches the minimum: the hashes of such
+phrases, cut to a few more bits than there are words, are summed over all blocks, and
+phrases that share a hash only add up. No frequent phrase is lost by that.
 
 The candidates of a level, split by hash into shards of a bounded size, become
-double-array tries: a node's children lie at its base plus their symbol, and hold the
-node as their parent. A shard's trie is broadcast; each task lets the states of all text
+double-array tries: a state's children lie at its base plus their symbol, and hold the
+state as their parent. A shard's trie is broadcast; each task lets the states of all
 positions advance at once, symbol by symbol, by numpy, and counts the accepting states
 it meets. These counts, exact ones of each phrase, are summed over the tasks.
 
@@ -20,11 +21,12 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +40,9 @@ SHARD = 1 << 20
 #: Bits of the largest map that keeps infrequent parts away (32 MB). It is sized by what
 #: it holds; beyond this it lets more pass, which costs rows, never a phrase.
 SIEVE_BITS = 1 << 28
-_GROUP_BYTES = 4 << 20
+#: Positions whose sums meet in one task at most.
+SUMMED = 1 << 20
+_BLOCK_BYTES = 1 << 20
 _SLICE = 1 << 16
 _WINDOW = 256
 
@@ -48,43 +52,49 @@ _GAPS[list(b" \t")] = True
 
 
 @dataclass
-class Positions:
-    """The words of several labelled texts, one after the other."""
-
-    data: np.ndarray  # the bytes of all words
-    first: np.ndarray  # where each word begins in data
-    length: np.ndarray
-    hashes: np.ndarray
-    piece: np.ndarray  # number of the piece of text that a word is in
-    label: np.ndarray  # hash of its text's label
-    text: np.ndarray  # number of its text
-
-    def phrase(self, at: int, n: int) -> bytes:
-        """The n words from a position on, parted by blanks."""
-        ends = (self.first[at : at + n] + self.length[at : at + n]).tolist()
-        return b" ".join(
-            self.data[a:b].tobytes() for a, b in zip(self.first[at : at + n].tolist(), ends, strict=True)
-        )
+class Block:
+    """The words of several labelled texts: positions refer to distinct labelled words."""
+
+    labels: list[str]
+    label: np.ndarray  # of each distinct labelled word: which label
+    word: pa.Array | None  # and its text, where that is of use
+    label_hash: np.ndarray
+    word_hash: np.ndarray
+    code: np.ndarray  # by position: which of them
+    piece: np.ndarray  # by position: number of the piece of text
 
     def starts(self, n: int) -> np.ndarray:
         """Positions from which n words of one piece follow."""
-        last = len(self.piece) - n + 1
-        return np.flatnonzero(self.piece[: max(last, 0)] == self.piece[n - 1 :])
+        last = max(len(self.piece) - n + 1, 0)
+        return np.flatnonzero(self.piece[:last] == self.piece[n - 1 :][:last])
 
     def keys(self, n: int) -> np.ndarray:
         """By position: hash of label and the n words from there, across pieces too."""
-        runs = _HASH.runs(self.hashes, n)
-        return finish(runs ^ self.label[: len(runs)])
+        runs = _HASH.runs(self.word_hash[self.code], n)
+        return finish(runs ^ self.label_hash[self.code[: len(runs)]])
+
+    def phrases(self, at: np.ndarray, n: int) -> list[pa.Array]:
+        """Labels and words, parted by blanks, of the phrases from some positions on."""
+        words = [self.word.take(pa.array(self.code[at + k])) for k in range(n)]
+        joined = pc.binary_join_element_wise(*words, " ") if n > 1 else words[0]
+        label = pa.array(self.labels, pa.string()).take(pa.array(self.label[self.code[at]]))
+        return [label, joined]
+
+
+def label_hashes(labels: list[str]) -> np.ndarray:
+    """Hash of each label; it ends in a byte that no word has."""
 
+    def of(label: str) -> np.uint64:
+        data = np.frombuffer(label.encode() + b"\n", np.uint8)
+        at = np.arange(len(data), dtype=np.int32)
+        return _HASH.of(data, at, np.array([0]), np.array([len(data)]))[0]
 
-def label_hash(label: str) -> np.uint64:
-    data = np.frombuffer(label.encode() + b"\n", np.uint8)
-    at = np.arange(len(data), dtype=np.int32)
-    return _HASH.of(data, at, np.array([0]), np.array([len(data)]))[0]
+    known = {label: of(label) for label in set(labels)}
+    return np.array([known[x] for x in labels], np.uint64)
 
 
-def positions(texts: list[bytes], labels: list[str]) -> Positions:
-    """Lower-cased words of the texts, with the piece each is in."""
+def block_of_texts(texts: list[bytes], labels: list[str]) -> Block:
+    """The lower-cased words of the texts."""
     whole = np.frombuffer(b"\n".join(t.lower() for t in texts), np.uint8)
     breaks = _BREAKS[whole]
     inside = ~(_GAPS[whole] | breaks)
@@ -94,40 +104,151 @@ def positions(texts: list[bytes], labels: list[str]) -> Positions:
     first = np.cumsum(length) - length
     data = whole[inside]
     at = (np.arange(len(data)) - np.repeat(first, length)).astype(np.int32)
+    hashes = _HASH.of(data, at, first, length)
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
-    text = np.searchsorted(bounds, starts, "right") - 1
-    of = {label: label_hash(label) for label in set(labels)}
-    return Positions(
-        data, first, length, _HASH.of(data, at, first, length),
+    every, of_text = np.unique(np.array(labels, object), return_inverse=True)
+    label = np.repeat(of_text, np.diff(np.searchsorted(starts, bounds))).astype(np.int32)
+    label_hash = label_hashes(every.tolist())
+    _, place, code = np.unique(
+        finish(hashes ^ label_hash[label]), return_index=True, return_inverse=True
+    )
+    offsets = np.append(first, len(data)).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(
+        pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    )
+    return Block(
+        every.tolist(),
+        label[place],
+        words.take(pa.array(place)).cast(pa.string()),
+        label_hash[label[place]],
+        hashes[place],
+        code.astype(np.int32),
         np.cumsum(breaks, dtype=np.int32)[starts],
-        np.array([of[x] for x in labels], np.uint64)[text], text,
-    )
+    )
+
 
+#: A block as a row; all but the words themselves are the bytes of arrays.
+_BLOCKS = (
+    "labels array<string>, label_n array<bigint>, word array<string>, "
+    "label binary, hash binary, code binary, fresh binary"
+)
+
+
+def _text_blocks(texts: DataFrame) -> DataFrame:
+    """Blocks of about a megabyte of ``texts`` (label, text): labels with their numbers of
+    words; of each distinct labelled word its text, label and hash; by position the number
+    of its word, and a bit that says whether a new piece begins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, labels = text_bytes(batch.column("text")), batch.column("label").to_pylist()
+            for a, b in groups_of(found, _BLOCK_BYTES):
+                block = block_of_texts(found[a:b], labels[a:b])
+                n = np.bincount(block.label[block.code], minlength=len(block.labels))
+                fresh = np.packbits(np.diff(block.piece, prepend=-1) != 0)
+                row = [[block.labels], [n.tolist()]]
+                row.append(pa.ListArray.from_arrays([0, len(block.word)], block.word))
+                row += [[x.tobytes()] for x in (block.label, block.word_hash, block.code, fresh)]
+                names = ["labels", "label_n", "word", "label", "hash", "code", "fresh"]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names)
+
+    return texts.mapInArrow(run, _BLOCKS)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The blocks of rows; without a column of words these are left out."""
+
+    def array(value: pa.Scalar, kind: type) -> np.ndarray:
+        return np.frombuffer(value.as_buffer(), kind)
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Positions, list[str]]]:
-    """Positions of a few megabytes of (label, text) at a time, and the texts' labels."""
     for batch in batches:
-        texts, labels = text_bytes(batch.column("text")), batch.column("label").to_pylist()
-        for a, b in groups_of(texts, _GROUP_BYTES):
-            found = positions(texts[a:b], labels[a:b])
-            if len(found.hashes):
-                yield found, labels[a:b]
+        texts = batch.column("word") if "word" in batch.schema.names else None
+        for i in range(batch.num_rows):
+            label, code = (array(batch.column(c)[i], np.int32) for c in ("label", "code"))
+            if not len(code):
+                continue
+            labels = batch.column("labels")[i].as_py()
+            piece = np.unpackbits(array(batch.column("fresh")[i], np.uint8), count=len(code))
+            yield Block(
+                labels, label, texts[i].values if texts is not None else None,
+                label_hashes(labels)[label], array(batch.column("hash")[i], np.uint64),
+                code, np.cumsum(piece, dtype=np.int32),
+            )
+
+
+# ---- sums ---------------------------------------------------------------------
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's numbers."""
+    key, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def summed(
+    blocks: DataFrame,
+    of_block: Callable[[Block], tuple[np.ndarray, np.ndarray]],
+    bits: int,
+    positions: int,
+    least: int,
+) -> DataFrame:
+    """(key, n): sums from ``least`` on of what ``of_block`` gives, keys below 2 ** ``bits``.
 
+    A task adds up its own blocks and sends ranges of keys, of which there are so many
+    that one gets ``SUMMED`` of the ``positions`` on average; keys must be spread evenly.
+    """
+    ranges = min(max(positions // SUMMED, 1).bit_length(), bits)
+    below = np.uint64(max(bits - ranges, 0))
+    small = np.uint32 if bits - ranges <= 32 else np.uint64
+
+    def parts(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, n = _merged(found)
+        bounds = np.searchsorted(key, np.arange(1 << ranges, dtype=np.uint64) << below)
+        for i, (a, b) in enumerate(zip(bounds, [*bounds[1:], len(key)], strict=True)):
+            if a < b:
+                offset = (key[a:b] - (np.uint64(i) << below)).astype(small)
+                row = [pa.array([i], pa.int32()), pa.array([offset.tobytes()], pa.binary())]
+                row.append(pa.array([n[a:b].astype(np.uint32).tobytes()], pa.binary()))
+                yield pa.RecordBatch.from_arrays(row, ["range", "keys", "ns"])
 
-def _phrases(p: Positions, labels: list[str], at: np.ndarray, n: int) -> list[pa.Array]:
-    """Label and words of the phrases that start at some positions."""
-    text = p.text[at].tolist()
-    return [
-        pa.array([labels[i] for i in text], pa.string()),
-        pa.array([p.phrase(i, n) for i in at.tolist()], pa.binary()).cast(pa.string()),
-    ]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for block in _read(batches):
+            held.append(of_block(block))
+            size += len(held[-1][0])
+            if size > SUMMED:
+                held = [_merged(held)]
+                size = len(held[0][0])
+                if size > SUMMED // 2:
+                    yield from parts(held)
+                    held, size = [], 0
+        if size:
+            yield from parts(held)
+
+    def add(table: pa.Table) -> pa.Table:
+        base = np.uint64(table.column("range")[0].as_py()) << below
+        rows = zip(table.column("keys"), table.column("ns"), strict=True)
+        found = [
+            (np.frombuffer(k.as_buffer(), small).astype(np.uint64),
+             np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64))
+            for k, n in rows
+        ]
+        key, n = _merged(found)
+        enough = n >= least
+        return pa.table({"key": pa.array((key[enough] + base).view(np.int64)), "n": pa.array(n[enough])})
+
+    sent = blocks.mapInArrow(run, "range int, keys binary, ns binary")
+    return sent.groupBy("range").applyInArrow(add, "key bigint, n bigint")
 
 
 # ---- maps of frequent phrases -------------------------------------------------
 
 
 class Sieve:
-    """A bit map of 64-bit keys: false for a key only if it isn't held."""
+    """A bit map of 64-bit keys, two bits each: false for a key only if it isn't held."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
@@ -135,16 +256,22 @@ class Sieve:
 
     @staticmethod
     def size(keys: int) -> int:
-        """Bits for that many keys: sixteen or more each, up to the bound."""
-        return min(max(1 << (16 * keys).bit_length(), 1 << 16), SIEVE_BITS)
+        """Bits for that many keys: 32 or more each, up to the bound."""
+        return min(max(1 << (32 * keys).bit_length(), 1 << 16), SIEVE_BITS)
+
+    def _places(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for h in (finish(keys), finish(keys + np.uint64(1))):
+            at = h >> self.shift
+            bit = np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+            yield (at >> np.uint64(3)).astype(np.int64), bit
 
-    def place(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = keys >> self.shift
-        return (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+    def add(self, keys: np.ndarray) -> None:
+        for byte, bit in self._places(keys):
+            np.bitwise_or.at(self.bits, byte, bit)
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        byte, bit = self.place(keys)
-        return (self.bits[byte] & bit) != 0
+        first, second = ((self.bits[byte] & bit) != 0 for byte, bit in self._places(keys))
+        return first & second
 
 
 def sieve_of(keys: DataFrame) -> Broadcast:
@@ -158,15 +285,12 @@ def sieve_of(keys: DataFrame) -> Broadcast:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Sieve(np.zeros(bits // 8, np.uint8))
         for batch in batches:
-            byte, bit = own.place(batch.column("key").to_numpy().view(np.uint64))
-            np.bitwise_or.at(own.bits, byte, bit)
-        parts = own.bits.reshape(-1, width)
-        held = np.flatnonzero(parts.any(axis=1))
+            own.add(batch.column("key").to_numpy().view(np.uint64))
+        slices = own.bits.reshape(-1, width)
+        held = np.flatnonzero(slices.any(axis=1))
         if len(held):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(held, pa.int32()), pa.array([parts[i].tobytes() for i in held], pa.binary())],
-                ["slice", "bits"],
-            )
+            data = pa.array([slices[i].tobytes() for i in held], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), data], ["slice", "bits"])
 
     def unite(table: pa.Table) -> pa.Table:
         whole = np.zeros(width, np.uint8)
@@ -214,11 +338,12 @@ class Trie:
             state = np.where((code >= 0) & (state >= 0) & (self.check[to] == state), to, -1)
         return state
 
-    def accepted(self, p: Positions, words: int) -> np.ndarray:
-        """How often each sequence of a label and ``words`` words occurs."""
-        at = p.starts(words)
-        code = self.codes(p.hashes)
-        state = self.step(np.zeros(len(at), np.int32), self.codes(p.label)[at])
+    def accepted(self, block: Block, words: int) -> np.ndarray:
+        """How often each sequence of a label and ``words`` words occurs in a block."""
+        at = block.starts(words)
+        code = self.codes(block.word_hash)[block.code]
+        label = self.codes(block.label_hash)[block.code[at]]
+        state = self.step(np.zeros(len(at), np.int32), label)
         for k in range(words):
             alive = state >= 0
             state, at = state[alive], at[alive]
@@ -242,7 +367,7 @@ class _Slots:
                 cursor, fewest = 1, len(d)
             offset = d - d[0]
             while True:
-                if cursor + _WINDOW + offset[-1] >= len(self.free):
+                while cursor + _WINDOW + offset[-1] >= len(self.free):
                     self.free = np.append(self.free, np.ones(len(self.free), bool))
                 near = cursor + np.flatnonzero(self.free[cursor : cursor + _WINDOW])
                 fits = self.free[near[:, None] + offset].all(axis=1)
@@ -307,156 +432,157 @@ def build_trie(rows: np.ndarray) -> Trie:
 # ---- levels -------------------------------------------------------------------
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """(label, phrase, n) of all words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p, labels in _read(batches):
-            _, at, n = np.unique(p.keys(1), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [*_phrases(p, labels, at, 1), pa.array(n)], ["label", "phrase", "n"]
-            )
-
-    rows = texts.mapInArrow(run, "label string, phrase string, n bigint")
-    return rows.groupBy("label", "phrase").agg(F.sum("n").alias("n"))
-
-
 def _phrase_keys(phrases: DataFrame, words: int) -> DataFrame:
     """(key) of phrases (label, phrase)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p, _ in _read(batches):
-            key = p.keys(words)[p.starts(words)]
+        for batch in batches:
+            texts = text_bytes(batch.column("phrase"))
+            block = block_of_texts(texts, batch.column("label").to_pylist())
+            key = block.keys(words)[block.starts(words)]
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
-    return phrases.select("label", F.col("phrase").alias("text")).mapInArrow(run, "key bigint")
+    return phrases.select("label", "phrase").mapInArrow(run, "key bigint")
 
 
-def _safe(p: Positions, words: int, parts: Sieve) -> tuple[np.ndarray, np.ndarray]:
+def _safe(
+    block: Block, words: int, parts: Broadcast | None
+) -> tuple[np.ndarray, np.ndarray]:
     """Positions of phrases whose two longest parts may be frequent, and their keys."""
-    ok = parts.has(p.keys(words - 1))
-    at = p.starts(words)
-    at = at[ok[at] & ok[at + 1]]
-    return at, p.keys(words)[at] if len(at) else np.empty(0, np.uint64)
+    at = block.starts(words)
+    if parts is not None:
+        ok = parts.value.has(block.keys(words - 1))
+        at = at[ok[at] & ok[at + 1]]
+    return at, block.keys(words)[at] if len(at) else np.empty(0, np.uint64)
 
 
-def _upper_bounds(texts: DataFrame, words: int, parts: Broadcast, bits: int) -> DataFrame:
-    """(bucket, n): occurrences of the phrases whose keys begin with the same bits."""
+def _upper_bounds(
+    blocks: DataFrame, words: int, parts: Broadcast | None, bits: int, positions: int, least: int
+) -> DataFrame:
+    """(key, n): occurrences of the phrases whose keys begin with the same bits."""
     shift = np.uint64(64 - bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p, _ in _read(batches):
-            _, key = _safe(p, words, parts.value)
-            bucket, n = np.unique(key >> shift, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.view(np.int64)), pa.array(n)], ["bucket", "n"]
-            )
+    def of_block(block: Block) -> tuple[np.ndarray, np.ndarray]:
+        _, key = _safe(block, words, parts)
+        return np.unique(key >> shift, return_counts=True)
 
-    return texts.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return summed(blocks, of_block, bits, positions, least)
 
 
 def _candidates(
-    texts: DataFrame, words: int, parts: Broadcast, bounds: DataFrame, bits: int
+    blocks: DataFrame, words: int, parts: Broadcast | None, bounds: DataFrame, bits: int
 ) -> DataFrame:
-    """(key, label, phrase): the phrases whose bucket is among the ``bounds`` (bucket)."""
-    shift = np.uint64(64 - bits)
-    wide = F.call_function("shiftleft", F.col("bucket"), F.lit(64 - bits))
-    held = sieve_of(bounds.select(wide.alias("key")))
+    """(key, label, phrase): the phrases that may be within the ``bounds`` (key)."""
+    shift, held = np.uint64(64 - bits), sieve_of(bounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p, labels in _read(batches):
-            at, key = _safe(p, words, parts.value)
-            likely = held.value.has((key >> shift) << shift)
+        met = np.empty(0, np.uint64)  # what the task has given already
+        for block in _read(batches):
+            at, key = _safe(block, words, parts)
+            likely = held.value.has(key >> shift)
             key, first = np.unique(key[likely], return_index=True)
-            bucket = (key >> shift).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key.view(np.int64)),
-                    pa.array(bucket),
-                    *_phrases(p, labels, at[likely][first], words),
-                ],
-                ["key", "bucket", "label", "phrase"],
-            )
+            new = ~np.isin(key, met, assume_unique=True)
+            met = np.append(met if len(met) < SUMMED else met[:0], key[new])
+            columns = [pa.array(key[new].view(np.int64))]
+            columns += block.phrases(at[likely][first[new]], words)
+            yield pa.RecordBatch.from_arrays(columns, ["key", "label", "phrase"])
 
-    rows = texts.mapInArrow(run, "key bigint, bucket bigint, label string, phrase string")
-    return rows.distinct().join(bounds.select("bucket"), "bucket", "left_semi").drop("bucket")
+    return blocks.mapInArrow(run, "key bigint, label string, phrase string").distinct()
 
 
-def _trie_of(candidates: DataFrame, words: int) -> tuple[Trie, np.ndarray]:
-    """The trie of the one shard in ``candidates``, built by a task, and its phrases' keys."""
+def _trie_of(candidates: DataFrame, words: int) -> Trie | None:
+    """The trie of the one shard in ``candidates`` (shard, number, label, phrase), built by
+    a task; a sequence's number in it is ``number``. None without candidates."""
 
     def build(table: pa.Table) -> pa.Table:
+        table = table.sort_by("number")
         texts, labels = text_bytes(table.column("phrase")), table.column("label").to_pylist()
-        p = positions(texts, labels)
-        start = p.starts(words)
-        rows = np.column_stack([p.label[start], *(p.hashes[start + k] for k in range(words))])
-        key = table.column("key").to_numpy()
-        return pa.table({"trie": pa.array([pickle.dumps((build_trie(rows), key))], pa.binary())})
+        block = block_of_texts(texts, labels)
+        code = block.code[block.starts(words)[:, None] + np.arange(words)]
+        rows = np.column_stack([block.label_hash[code[:, 0]], block.word_hash[code]])
+        return pa.table({"trie": pa.array([pickle.dumps(build_trie(rows))], pa.binary())})
 
     whole = candidates.groupBy("shard").applyInArrow(build, "trie binary").first()
-    return pickle.loads(whole["trie"])
+    return pickle.loads(whole["trie"]) if whole else None
 
 
-def _exact_counts(texts: DataFrame, words: int, shared: Broadcast) -> DataFrame:
-    """(key, n): occurrences of the phrases of a trie."""
+def _exact_counts(
+    blocks: DataFrame, words: int, shared: Broadcast, positions: int, least: int
+) -> DataFrame:
+    """(key, n): occurrences of the sequences of a trie, by their number."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, key = shared.value
-        total = np.zeros(trie.n, np.int64)
-        for p, _ in _read(batches):
-            total += trie.accepted(p, words)
+    def of_block(block: Block) -> tuple[np.ndarray, np.ndarray]:
+        total = shared.value.accepted(block, words)
         met = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[met]), pa.array(total[met])], ["key", "n"]
-        )
+        return met.astype(np.uint64), total[met]
 
-    return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return summed(blocks, of_block, max(shared.value.n.bit_length(), 1), positions, least)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _numbered(candidates: DataFrame, shards: int) -> DataFrame:
+    """Candidates with their shard and a number within it, by key."""
+    split = candidates.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+
+    def number(table: pa.Table) -> pa.Table:
+        place = pa.array(np.arange(table.num_rows))
+        return table.sort_by("key").append_column("number", place)
+
+    schema = "key bigint, label string, phrase string, shard int, number bigint"
+    return split.groupBy("shard").applyInArrow(number, schema)
+
+
 def frequent_phrases(
     texts: DataFrame, min_count: int = 10, max_words: int = 3, shard: int = SHARD
 ) -> tuple[DataFrame, DataFrame]:
     """((label, n), (label, phrase, size, n)): all words of each label, and all phrases of
     one to ``max_words`` words that occur ``min_count`` times or more, of ``texts`` (label, text).
 
-    Phrases lie within a piece of text and may overlap. Each level reads the texts three
-    times, and once more for every ``shard`` candidates beyond the first.
+    Phrases lie within a piece of text and may overlap. The texts are read once; each
+    level goes through their blocks three times, and once more for every ``shard``
+    candidates beyond the first.
     """
-    words = _written(_word_counts(texts), "phrase-words")
-    totals = words.groupBy("label").agg(F.sum("n").alias("n"))
-    everything = int(words.agg(F.sum("n")).first()[0] or 0)
-    bits = min(max(everything.bit_length() + 7, 16), 62)  # one in a hundred shares a bucket
-    enough = F.col("n") >= min_count
-    level = words.filter(enough).withColumn("size", F.lit(1)).select("label", "phrase", "size", "n")
-    found = level
-    for n in range(2, max_words + 1):
-        parts = sieve_of(_phrase_keys(level, n - 1))
-        bounds = _written(_upper_bounds(texts, n, parts, bits).filter(enough), f"phrase-bounds-{n}")
-        wanted = _written(_candidates(texts, n, parts, bounds, bits), f"phrase-candidates-{n}")
-        shards = math.ceil(wanted.count() / shard)
+    context = texts.sparkSession.sparkContext
+    named = _written(_text_blocks(texts), "phrase-blocks")
+    blocks = named.select("labels", "label", "hash", "code", "fresh")
+    of_label = named.select(F.explode(F.arrays_zip("labels", "label_n")).alias("x"))
+    totals = of_label.groupBy(F.col("x.labels").alias("label")).agg(F.sum("x.label_n").alias("n"))
+    named = named.drop("label_n")
+    positions = int(totals.agg(F.sum("n")).first()[0] or 0)
+    bits = min(max(positions.bit_length() + 7, 16), 62)  # one in a hundred shares a bound
+    found, level = None, None
+    for n in range(1, max_words + 1):
+        parts = sieve_of(_phrase_keys(level, n - 1)) if n > 1 else None
+        bounds = _upper_bounds(blocks, n, parts, bits, positions, min_count)
+        bounds = _written(bounds, f"phrase-bounds-{n}")
+        wanted = _written(_candidates(named, n, parts, bounds, bits), f"phrase-candidates-{n}")
+        shards = max(math.ceil(wanted.count() / shard), 1)
+        split = _written(_numbered(wanted, shards), f"phrase-shards-{n}")
         counts = None
-        split = wanted.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(max(shards, 1))))
         for k in range(shards):
             own = _trie_of(split.filter(F.col("shard") == k), n)
-            trie = texts.sparkSession.sparkContext.broadcast(own)
-            part = _written(_exact_counts(texts, n, trie), f"phrase-counts-{n}-{k}")
+            if own is None:
+                continue
+            trie = context.broadcast(own)
+            part = _exact_counts(blocks, n, trie, positions, min_count)
+            part = part.select(F.lit(k).alias("shard"), F.col("key").alias("number"), "n")
+            part = _written(part, f"phrase-counts-{n}-{k}")
             trie.unpersist()
             counts = part if counts is None else counts.unionByName(part)
         if counts is None:
             break
-        level = _written(
-            wanted.join(counts.filter(enough), "key").select(
-                "label", "phrase", F.lit(n).alias("size"), "n"
-            ),
-            f"phrases-{n}",
+        level = split.join(counts, ["shard", "number"]).select(
+            "label", "phrase", F.lit(n).alias("size"), "n"
         )
-        found = found.unionByName(level)
+        level = _written(level, f"phrases-{n}")
+        found = level if found is None else found.unionByName(level)
+    if found is None:
+        found = texts.sparkSession.createDataFrame([], "label string, phrase string, size int, n bigint")
     return totals, found
 
 
