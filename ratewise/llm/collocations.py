@@ -301,7 +301,7 @@ def sieve_of(keys: DataFrame) -> Broadcast:
     schema = "slice int, bits binary"
     filled = keys.select("key").mapInArrow(fill, schema)
     whole = np.zeros((bits // 8 // width, width), np.uint8)
-    for row in filled.groupBy("slice").applyInArrow(unite, schema).toLocalIterator():
+    for row in filled.groupBy("slice").applyInArrow(unite, schema).collect():
         whole[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     return keys.sparkSession.sparkContext.broadcast(Sieve(whole.reshape(-1)))
 
