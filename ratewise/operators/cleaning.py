@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions import epoch_to_time
@@ -19,6 +19,13 @@ def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(reduce(and_, (F.col(c).isNotNull() for c in columns)))
 
 
+def valid_rating(lo: float = DEFAULTS.rating_low, hi: float = DEFAULTS.rating_high) -> Column:
+    """Whether a row is one that ``valid_ratings`` keeps; never null."""
+    tests = [F.col(c).isNotNull() for c in RATINGS.names]
+    tests += [F.col("rating").between(lo, hi), F.col("user_id") > 0, F.col("movie_id") > 0]
+    return F.coalesce(reduce(and_, tests), F.lit(False))
+
+
 def valid_ratings(
     df: DataFrame, lo: float = DEFAULTS.rating_low, hi: float = DEFAULTS.rating_high
 ) -> DataFrame:

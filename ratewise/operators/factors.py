@@ -169,6 +169,45 @@ def tune(
     return Training(best.model, best.rank, best.reg, best.rmse, seconds, trials)
 
 
+def optimality(
+    model: ALSModel, train: DataFrame, reg: float = DEFAULTS.reg, tolerance: float = 1e-3
+) -> DataFrame:
+    """(user_id, n_ratings, slack, optimal): whether each user's factors solve their
+    non-negative least squares, given the items'.
+
+    Users are solved last in a fit. Half the gradient of a user's loss is the sum over
+    their ratings of (prediction - rating) * item factors, and reg * n_ratings * user
+    factors. At the minimum it is zero where a factor is positive and not below zero
+    where it is zero. ``slack`` is the largest departure from that, relative to the
+    largest sum of rating * item factor; ``optimal`` says that it is within the tolerance.
+    The sums have a part before the shuffle, so a user with a third of all ratings is as
+    good as any other.
+    """
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("movie_id"), F.col("features").alias("v"))
+    rated = train.select("user_id", "movie_id", F.col("rating").cast("double").alias("rating"))
+    rows = rated.join(items, "movie_id").join(users, "user_id")
+    product = F.aggregate(
+        F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x
+    )
+    rows = rows.withColumn("error", product - F.col("rating"))
+    rank = range(model.rank)
+    sums = [F.sum(F.col("error") * F.col("v")[k]).alias(f"g{k}") for k in rank]
+    sizes = [F.sum(F.col("rating") * F.col("v")[k]).alias(f"b{k}") for k in rank]
+    # A user has one list of factors, so any of their rows has it.
+    per_user = rows.groupBy("user_id").agg(
+        F.count("*").alias("n_ratings"), F.first("u").alias("u"), *sums, *sizes
+    )
+    departures = []
+    for k in rank:
+        own = F.col("u")[k].cast("double")
+        gradient = F.col(f"g{k}") + reg * F.col("n_ratings") * own
+        departures.append(F.when(own > 0, F.abs(gradient)).otherwise(F.greatest(-gradient, F.lit(0.0))))
+    scale = F.greatest(*[F.abs(F.col(f"b{k}")) for k in rank], F.lit(1e-30))
+    slack = F.greatest(*departures, F.lit(0.0)) / scale
+    return per_user.select("user_id", "n_ratings", slack.alias("slack"), (slack <= tolerance).alias("optimal"))
+
+
 def trial_table(spark: SparkSession, training: Training) -> DataFrame:
     """One row per setting tried, in order."""
     rows = [(i, *trial) for i, trial in enumerate(training.trials)]

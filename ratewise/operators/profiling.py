@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.operators.cleaning import valid_rating
+
 
 def profile(ratings: DataFrame) -> DataFrame:
     """One row: sizes, rating range and mean, and the share of empty cells."""
@@ -25,6 +27,22 @@ def rating_histogram(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("rating").agg(F.count("*").alias("n_ratings")).orderBy("rating")
 
 
+def cleaning_counts(raw: DataFrame) -> DataFrame:
+    """Rows before cleaning, valid ones and those that cleaning keeps, a row each.
+
+    One scan and one aggregate: cleaning keeps one row per valid (user, item).
+    """
+    valid = valid_rating()
+    pair = F.when(valid, F.struct("user_id", "movie_id"))
+    counts = raw.agg(
+        F.count("*").alias("raw"), F.count_if(valid).alias("valid"), F.count_distinct(pair).alias("clean")
+    )
+    rows = [
+        F.struct(F.lit(c).alias("frame"), F.col(c).alias("n_rows")) for c in ("raw", "valid", "clean")
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def row_counts(**frames: DataFrame) -> DataFrame:
     """One row per named frame with its number of rows, e.g. before and after cleaning."""
     counts = [

@@ -15,6 +15,10 @@ from ratewise.session import scratch_path
 from ratewise.settings import DEFAULTS
 
 
+#: Where a recommended row comes from.
+MODEL_SOURCE, POPULAR_SOURCE = "model", "popular"
+
+
 def recommend_all(model: ALSModel, n: int = DEFAULTS.top_n) -> DataFrame:
     """Top n for every user of the model, seen items included."""
     return model.recommendForAllUsers(n)
@@ -134,6 +138,7 @@ def recommend(
 ) -> DataFrame:
     """On-demand recommendations: unseen top n, or the popular list if unknown.
 
+    ``source`` says which of the two a row is from.
     A known user who has rated every item gets no rows. ``ratings`` may be
     uncleaned: every rated item counts as seen.
     """
@@ -145,6 +150,7 @@ def recommend(
         exact_round(F.col("rating"), 4).alias("predicted_rating"),
         F.lit(None).cast("double").alias("avg_rating"),
         F.lit(None).cast("string").alias("note"),
+        F.lit(MODEL_SOURCE).alias("source"),
     )
     # One array for all cold users: a scalar subquery, not a join.
     listed = popular_list(popular.filter(F.col("rank") <= n)).scalar()["listed"]
@@ -159,6 +165,7 @@ def recommend(
             F.lit(None).cast("double").alias("predicted_rating"),
             "rec.avg_rating",
             F.lit(POPULAR_NOTE).alias("note"),
+            F.lit(POPULAR_SOURCE).alias("source"),
         )
     )
     return personal.unionByName(fallback)

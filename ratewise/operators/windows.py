@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,15 @@ from ratewise.operators.cleaning import keep_latest
 from ratewise.settings import DEFAULTS
 
 
+@lru_cache(maxsize=256)
 def _micros(duration: str) -> int:
-    """Microseconds of a duration as ``F.window`` takes it, parsed by Spark."""
-    epoch = F.timestamp_seconds(F.lit(0))
-    length = F.unix_micros(epoch + F.lit(duration).cast("interval"))
-    return SparkSession.active().range(1).select(length).first()[0]
+    """Microseconds of a duration as ``F.window`` takes it, parsed by Spark.
+
+    The optimizer folds a row of literals on the driver, so there is no job.
+    """
+    length = "unix_micros(timestamp_seconds(0) + CAST(:duration AS INTERVAL))"
+    row = SparkSession.active().sql(f"SELECT {length} FROM VALUES (1)", {"duration": duration})
+    return row.first()[0]
 
 
 def _start(time: str, length: str, slide: str | None = None) -> Column:

@@ -535,3 +535,63 @@ _sql(
     *_POP,
     *_STREAM,
 )
+_sql(
+    "als_optimality",
+    "SELECT user_id, count(*) AS n_ratings, true AS optimal FROM tr GROUP BY 1",
+    *_TR,
+)
+_sql(
+    "recommend_all_products",
+    """SELECT user_id, CAST(k AS INTEGER) AS rank, true AS agrees
+       FROM (SELECT DISTINCT user_id FROM tr), (SELECT least(5, count(DISTINCT movie_id)) AS n FROM tr),
+            range(1, 6) AS t(k) WHERE k <= n""",
+    *_TR,
+)
+_sql(
+    "recommend_subset_products",
+    """SELECT user_id, CAST(k AS INTEGER) AS rank, true AS agrees FROM (
+           SELECT user_id, least(5, (SELECT count(DISTINCT movie_id) FROM tr) - (
+               SELECT count(DISTINCT r.movie_id) FROM r WHERE r.user_id = known.user_id
+               AND r.movie_id IN (SELECT movie_id FROM tr))) AS n FROM known), range(1, 6) AS t(k)
+       WHERE k <= n""",
+    *_KNOWN,
+)
+_sql(
+    "recommend_sources",
+    """SELECT user_id, 'model' AS source, n AS n_rows FROM (
+           SELECT user_id, least(5, (SELECT count(DISTINCT movie_id) FROM tr) - (
+               SELECT count(DISTINCT r.movie_id) FROM r WHERE r.user_id = known.user_id
+               AND r.movie_id IN (SELECT movie_id FROM tr))) AS n FROM known) WHERE n > 0
+       UNION ALL SELECT user_id, 'popular', count(*) FROM cold, pop GROUP BY 1""",
+    *_KNOWN,
+    "cold",
+    *_POP,
+)
+_sql("stream_item_windows_compacted", "SELECT * FROM iw", *_IW)
+_sql("stream_user_windows_compacted", "SELECT * FROM uw", *_UW)
+# A copy of a row in a window is dropped if its user is late and the window had closed by
+# the watermark of all others' rows; a batch's rows are added up by window and item first.
+_LATE = f"""
+    lw AS (SELECT {_TEN} AS window_start, e.*, user_id % 10 = 7 AS late FROM e, range(0, 3) AS t(k)),
+    wm AS (SELECT date_trunc('second', max(ts)) - INTERVAL 15 SECOND AS closed FROM e WHERE user_id % 10 <> 7),
+    cp AS (SELECT lw.*, late AND window_start + INTERVAL 30 SECOND <= closed AS dropped FROM lw, wm)"""
+ORACLES["stream_late_windows"] = f"""WITH r AS ({_CTES['r']}), e AS ({_CTES['e']}), {_LATE}
+SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, item_id, avg_rating,
+       interaction_count, round(avg_rating * interaction_count, 2) AS trending_score
+FROM (SELECT window_start, item_id, round(avg(rating), 4) AS avg_rating,
+             count(*) AS interaction_count FROM cp WHERE NOT dropped GROUP BY ALL)"""
+ORACLES["stream_late_dropped"] = f"""WITH r AS ({_CTES['r']}), e AS ({_CTES['e']}), {_LATE}
+SELECT count(DISTINCT row(window_start, item_id)) FILTER (NOT dropped) AS n_windows,
+       count(DISTINCT row(window_start, item_id)) FILTER (dropped) AS n_dropped FROM cp"""
+_sql(
+    "stream_served_snapshot",
+    f"""SELECT DISTINCT user_id,
+            CASE WHEN user_id IN (SELECT user_id FROM tr) THEN '{_PRECOMPUTED}'
+                 ELSE '{_POPULAR_NOTE}' END AS source,
+            CAST(CASE WHEN user_id IN (SELECT user_id FROM tr)
+                 THEN (SELECT least(5, count(DISTINCT movie_id)) FROM tr)
+                 ELSE (SELECT count(*) FROM pop) END AS INTEGER) AS n_items FROM sl""",
+    *_TR,
+    *_POP,
+    *_STREAM,
+)

@@ -13,7 +13,6 @@ from ratewise.functions import bucket_column
 from ratewise.operators import alerts as al
 from ratewise.operators import factors, popularity, profiling, ranking, recommending, serving
 from ratewise.operators import windows as win
-from ratewise.operators.cleaning import valid_ratings
 from ratewise.operators.titles import numbered_title, with_title
 from ratewise.plans import frames
 from ratewise.plans.training import train_model
@@ -34,12 +33,20 @@ from ratewise.sources import (
 )
 from ratewise.streaming import (
     Outputs,
+    compact,
+    dropped_rows,
     encode_events,
+    last_batch,
+    merge_served,
     parse_events,
+    read_current,
+    read_latest_served,
     replay_slices,
     run_until_stopped,
     start_queries,
+    start_query,
 )
+from ratewise.streaming.handlers import item_handler
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,10 +95,7 @@ def clean_ratings_orders(spark, sf):
 
 @query
 def cleaning_counts(spark, sf):
-    raw = frames.event_ratings(spark, sf)
-    return profiling.row_counts(
-        raw=raw, valid=valid_ratings(raw), clean=frames.clean_event_ratings(spark, sf)
-    )
+    return profiling.cleaning_counts(frames.event_ratings(spark, sf))
 
 
 @query
@@ -398,19 +402,21 @@ def _model(spark: SparkSession, sf: str) -> ALSModel:
     return factors.load_model(_models[key])
 
 
-def _with_products(model: ALSModel, ratings: DataFrame) -> DataFrame:
-    """Predictions beside the products of the saved factors, each computed by itself."""
+def _products(model: ALSModel, rows: DataFrame) -> DataFrame:
+    """Rows (user_id, movie_id) with the product of the saved factors."""
     users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
     items = model.itemFactors.select(F.col("id").alias("movie_id"), F.col("features").alias("i"))
     product = F.aggregate(
         F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x
     )
+    found = rows.join(users, "user_id").join(items, "movie_id")
+    return found.withColumn("product", product).drop("u", "i")
+
+
+def _with_products(model: ALSModel, ratings: DataFrame) -> DataFrame:
+    """Predictions beside the products of the saved factors, each computed by itself."""
     scored = factors.predict(model, ratings)
-    return (
-        scored.join(users, "user_id")
-        .join(items, "movie_id")
-        .select("user_id", "movie_id", "rating", "prediction", product.alias("product"))
-    )
+    return _products(model, scored).select("user_id", "movie_id", "rating", "prediction", "product")
 
 
 @query
@@ -449,6 +455,13 @@ def als_predicted_pairs(spark, sf):
     return als_predictions(spark, sf).select("user_id", "movie_id", "rating")
 
 
+@query
+def als_optimality(spark, sf):
+    """Whether each user's factors solve their least squares over the training part."""
+    train, _ = _split(spark, sf)
+    return factors.optimality(_model(spark, sf), train).select("user_id", "n_ratings", "optimal")
+
+
 @query
 def als_tune(spark, sf):
     """All settings tried, with the limit set so low that tuning starts."""
@@ -490,6 +503,30 @@ def recommend_all_sizes(spark, sf):
     return _sizes(recommend_all(spark, sf))
 
 
+def _agreeing(model: ALSModel, rows: DataFrame) -> DataFrame:
+    """Whether the rating of each recommended row is the product of the saved factors."""
+    products = _products(model, rows)
+    agrees = F.abs(F.col("rating") - F.col("product")) < 1e-4
+    return products.select("user_id", "rank", agrees.alias("agrees"))
+
+
+@query
+def recommend_all_products(spark, sf):
+    return _agreeing(_model(spark, sf), recommend_all(spark, sf))
+
+
+@query
+def recommend_subset_products(spark, sf):
+    return _agreeing(_model(spark, sf), recommend_subset(spark, sf))
+
+
+@query
+def recommend_sources(spark, sf):
+    """How many rows each user gets, and from where."""
+    rows = recommend_with_fallback(spark, sf)
+    return rows.groupBy("user_id", "source").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def known_users(spark, sf):
     return recommending.known_users(frames.customers(spark, sf), _model(spark, sf))
@@ -624,6 +661,7 @@ def serving_metrics(spark, sf):
 # ---- streams ------------------------------------------------------------------
 
 _streams: dict[tuple[str, str], Outputs] = {}
+_marks: dict[tuple[str, str], list[dict]] = {}
 
 
 def _stream(spark: SparkSession, sf: str) -> Outputs:
@@ -641,20 +679,22 @@ def _stream(spark: SparkSession, sf: str) -> Outputs:
         ratings = frames.event_ratings(spark, sf).select(
             "user_id", "movie_id", "rating", "timestamp"
         )
+        marks = []
         for events in replay_slices(ratings, SLICES):
             events.write.mode("append").parquet(records)
-            run_until_stopped(
-                start_queries(
-                    parse_events(read_records(spark, records)),
-                    recs,
-                    frames.part_items(spark, sf),
-                    popular,
-                    out,
-                    checkpoint,
-                    {"availableNow": True},
-                    WEEKLY,
-                )
+            queries = start_queries(
+                parse_events(read_records(spark, records)),
+                recs,
+                frames.part_items(spark, sf),
+                popular,
+                out,
+                checkpoint,
+                {"availableNow": True},
+                WEEKLY,
             )
+            run_until_stopped(queries)
+            marks.append({name: last_batch(q) for name, q in queries.items()})
+        _marks[key] = marks
         _streams[key] = out
     return _streams[key]
 
@@ -675,6 +715,68 @@ def stream_user_windows(spark, sf):
     )
 
 
+def _compacted(spark: SparkSession, sf: str, name: str, item: str) -> DataFrame:
+    """The windows after a compaction at the end of each time slice."""
+    table = getattr(_stream(spark, sf), name)
+    for mark in _marks[(spark.sparkContext.applicationId, sf)]:
+        batch_id, watermark = mark[name]
+        compact(spark, table, [item], watermark, batch_id)
+    return _plain_times(read_current(spark, table, [item]))
+
+
+@query
+def stream_item_windows_compacted(spark, sf):
+    return _compacted(spark, sf, "item_windows", "item_id")
+
+
+@query
+def stream_user_windows_compacted(spark, sf):
+    return _compacted(spark, sf, "user_windows", "user_id")
+
+
+_late: dict[tuple[str, str], tuple[str, int]] = {}
+
+
+def _late_stream(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Item windows at the published settings, the users with a 7 at the end of their id
+    delivered after all others; and the rows dropped. Once per application."""
+    pin_utc(spark)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _late:
+        records, out = scratch_path(spark, "late-records"), Outputs(scratch_path(spark, "late"))
+        checkpoint = scratch_path(spark, "late-checkpoint")
+        ratings = frames.event_ratings(spark, sf).select("user_id", "movie_id", "rating", "timestamp")
+        late = F.pmod("user_id", F.lit(10)) == 7
+        handler = item_handler(
+            out.item_windows, out.item_alerts, out.trending, frames.part_items(spark, sf)
+        )
+        bounds = (DEFAULTS.window, DEFAULTS.slide, DEFAULTS.watermark)
+        dropped = 0
+        for part in (ratings.filter(~late), ratings.filter(late)):
+            encode_events(part).write.mode("append").parquet(records)
+            windows = win.item_windows(parse_events(read_records(spark, records)), *bounds)
+            started = start_query(windows, "late", "update", handler, checkpoint, {"availableNow": True})
+            run_until_stopped({"late": started})
+            dropped += dropped_rows(started)
+        _late[key] = (out.item_windows, dropped)
+    return _late[key]
+
+
+@query
+def stream_late_windows(spark, sf):
+    """The windows that remain when some users' rows come late."""
+    written = spark.read.parquet(_late_stream(spark, sf)[0])
+    return _plain_times(win.latest_version(written, ["window_start", "window_end", "item_id"]))
+
+
+@query
+def stream_late_dropped(spark, sf):
+    """Windows that remain, and windows' parts that came too late."""
+    path, dropped = _late_stream(spark, sf)
+    kept = spark.read.parquet(path).select("window_start", "item_id").distinct()
+    return kept.agg(F.count("*").alias("n_windows"), F.lit(dropped).cast("bigint").alias("n_dropped"))
+
+
 def _numbered_batches(df: DataFrame) -> DataFrame:
     """Batches numbered from 1: empty micro-batches leave gaps between the ids.
 
@@ -737,3 +839,13 @@ def stream_served_newest(spark, sf):
 def stream_served_latest(spark, sf):
     served = serving.latest_served(read_served(spark, _stream(spark, sf).served))
     return served.select("user_id", F.to_json("recommendations").alias("recommendations"), "source")
+
+
+@query
+def stream_served_snapshot(spark, sf):
+    """The newest record of each user, from a snapshot merged after each time slice."""
+    served, root = _stream(spark, sf).served, f"{_stream(spark, sf).served}_latest"
+    for mark in _marks[(spark.sparkContext.applicationId, sf)]:
+        merge_served(spark, served, root, mark["recommendations"][0])
+    latest = read_latest_served(spark, served, root)
+    return latest.select("user_id", "source", F.size("recommendations").alias("n_items"))

@@ -29,6 +29,15 @@ def read_served(spark: SparkSession, path: str) -> DataFrame:
     return _records(spark, path)
 
 
+def read_served_batches(spark: SparkSession, path: str, batches: list[str]) -> DataFrame:
+    """Records of some ``batch_id=`` directories below ``path``, the only ones listed."""
+    schema = T.StructType([*SERVED.fields, T.StructField("batch_id", T.LongType())])
+    if not batches:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).json(batches)
+    return rows.filter(F.col("user_id").isNotNull())
+
+
 def read_served_files(spark: SparkSession, path: str) -> DataFrame:
     """Served records of ``batch_<id>.json`` files; the batch is the number in the name."""
     in_name = F.regexp_extract("_metadata.file_name", r"^batch_(\d+)", 1).try_cast("bigint")

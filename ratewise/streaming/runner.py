@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -49,9 +50,10 @@ class Outputs:
         return f"{self.root}/recommendations"
 
 
-def _start(
+def start_query(
     df: DataFrame, name: str, mode: str, handler, checkpoint: str, trigger: Mapping[str, object]
 ) -> StreamingQuery:
+    """Start one query; its checkpoint is named after it."""
     # A query keeps the pool it is started in. Under the FAIR scheduler the
     # short lookups then don't wait behind the window queries' jobs.
     context = df.sparkSession.sparkContext
@@ -113,13 +115,35 @@ def start_queries(
     started: dict[str, StreamingQuery] = {}
     try:
         for name, (df, mode, handler) in plans.items():
-            started[name] = _start(df, f"{prefix}{name}", mode, handler, checkpoint, trigger)
+            started[name] = start_query(df, f"{prefix}{name}", mode, handler, checkpoint, trigger)
     except Exception:
         stop_all(started)
         raise
     return started
 
 
+def last_batch(query: StreamingQuery) -> tuple[int, datetime] | None:
+    """The last micro-batch that a query completed, and the watermark it ran with.
+
+    None before the first. The next batch drops rows of windows up to that watermark.
+    """
+    ran = [p for p in query.recentProgress if "addBatch" in p["durationMs"]]
+    if not ran:
+        return None
+    text = (ran[-1]["eventTime"] or {}).get("watermark", "1970-01-01T00:00:00.000Z")
+    return ran[-1]["batchId"], datetime.fromisoformat(text.replace("Z", "+00:00"))
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's state operators dropped as too late, of the batches that
+    ``recentProgress`` still has. A batch's rows are already added up by window and key."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def stop_all(queries: Mapping[str, StreamingQuery]) -> None:
     """Stop every query; if some fail to stop, raise the first error after the last."""
     errors = []
