@@ -27,6 +27,40 @@ def rating_histogram(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("rating").agg(F.count("*").alias("n_ratings")).orderBy("rating")
 
 
+#: Size of a day's sketch, as a power of two, and what its estimates are within in all
+#: but three of a thousand cases: three standard errors.
+SKETCH_BITS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def daily_profiles(ratings: DataFrame, time: str = "event_time") -> DataFrame:
+    """One row per day: what ``profile_of_days`` adds up, with sketches of the users and
+    items of 2 ** ``SKETCH_BITS`` registers each. Days without rows have none."""
+    return ratings.groupBy(F.to_date(time).alias("day")).agg(
+        F.count("*").alias("n_ratings"),
+        F.min("rating").alias("min_rating"),
+        F.max("rating").alias("max_rating"),
+        F.sum(F.col("rating").cast("double")).alias("total"),
+        F.hll_sketch_agg("user_id", SKETCH_BITS).alias("users"),
+        F.hll_sketch_agg("movie_id", SKETCH_BITS).alias("items"),
+    )
+
+
+def profile_of_days(days: DataFrame) -> DataFrame:
+    """``profile`` of all days together, from their rows alone. The numbers of users and
+    items are estimates within ``SKETCH_ERROR``; the rest is exact."""
+    stats = days.agg(
+        F.coalesce(F.sum("n_ratings"), F.lit(0)).alias("n_ratings"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("n_users"),
+        F.hll_sketch_estimate(F.hll_union_agg("items")).alias("n_items"),
+        F.min("min_rating").alias("min_rating"),
+        F.max("max_rating").alias("max_rating"),
+        F.try_divide(F.sum("total"), F.sum("n_ratings")).alias("avg_rating"),
+    )
+    cells = F.col("n_users").cast("double") * F.col("n_items")
+    return stats.withColumn("sparsity", 1 - F.try_divide("n_ratings", cells))
+
+
 def cleaning_counts(raw: DataFrame) -> DataFrame:
     """Rows before cleaning, valid ones and those that cleaning keeps, a row each.
 

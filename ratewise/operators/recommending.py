@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions import exact_round
 from ratewise.operators.popularity import POPULAR_NOTE, popular_list
 from ratewise.operators.titles import with_title
-from ratewise.session import scratch_path
 from ratewise.settings import DEFAULTS
 
 
@@ -65,67 +64,99 @@ def ranked(candidates: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _fetch(level: int) -> int:
-    """Largest number of seen items on a level; nothing seen is level -1."""
-    return 4**level if level >= 0 else 0
-
-
-def fetch_groups(users_per_level: dict[int, int], slack: float = 0.1) -> list[list[int]]:
-    """Levels to score together, each group with the fetch size of its last level.
+def _best(n: int, rank: int):
+    """The n best unseen items of each user of a block among the items of a block."""
+    rows_at_once = 256
+
+    def matrix(table: pa.Table) -> np.ndarray:
+        flat = table.column("features").combine_chunks().flatten()
+        return flat.to_numpy(zero_copy_only=False).reshape(-1, rank)
+
+    def best(users: pa.Table, items: pa.Table) -> pa.Table:
+        items = items.sort_by("movie_id")  # of equal scores the lower id comes first
+        movie = items.column("movie_id").to_numpy()
+        user = users.column("user_id").to_numpy()
+        found = [np.empty((0, 3))]
+        if len(movie) and len(user):
+            u, v = matrix(users), matrix(items).T
+            seen = users.column("seen").combine_chunks()
+            size = seen.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            bounds = np.append(0, np.cumsum(size))
+            flat = seen.flatten().to_numpy(zero_copy_only=False)
+            place = np.minimum(np.searchsorted(movie, flat), len(movie) - 1)
+            real = movie[place] == flat
+            owner = np.repeat(np.arange(len(user)), size)
+            k = min(n, len(movie))
+            for a in range(0, len(user), rows_at_once):
+                scores = u[a : a + rows_at_once] @ v
+                own = slice(bounds[a], bounds[min(a + rows_at_once, len(user))])
+                scores[owner[own][real[own]] - a, place[own][real[own]]] = -np.inf
+                least = np.partition(scores, -k, axis=1)[:, -k]
+                row, col = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+                score = scores[row, col]
+                order = np.lexsort((col, -score, row))
+                row, col, score = row[order], col[order], score[order]
+                first = np.searchsorted(row, row)
+                kept = np.arange(len(row)) - first < k
+                found.append(np.column_stack([user[row + a], movie[col], score])[kept])
+        rows = np.concatenate(found)
+        return pa.table(
+            {
+                "user_id": pa.array(rows[:, 0].astype(np.int32)),
+                "movie_id": pa.array(rows[:, 1].astype(np.int32)),
+                "rating": pa.array(rows[:, 2].astype(np.float32)),
+            }
+        )
 
-    A level joins the next one if scoring its users at that size adds at most
-    ``slack`` to the total, as every group scans all items once more.
-    """
-    levels = sorted(users_per_level)
-    total = sum(users_per_level[level] * _fetch(level) for level in levels)
-    groups: list[list[int]] = []
-    for level in levels:
-        carried = sum(users_per_level[small] for small in groups[-1]) if groups else 0
-        if groups and carried * _fetch(level) <= slack * total:
-            groups[-1].append(level)
-        else:
-            groups.append([level])
-    return groups
+    return best
 
 
 def recommend_subset(
-    model: ALSModel, users: DataFrame, ratings: DataFrame, n: int = DEFAULTS.top_n
+    model: ALSModel,
+    users: DataFrame,
+    ratings: DataFrame,
+    n: int = DEFAULTS.top_n,
+    block_users: int = 2048,
+    block_items: int = 4096,
 ) -> DataFrame:
     """Top n unseen items of the given users that the model knows.
 
-    A user with s seen items needs the top n + s. Users are put on levels of
-    s <= 4**level, at most log4 of the number of items, so that one list sized
-    for the heaviest user isn't made for all.
+    Users and items lie in blocks by hash; a task multiplies the factors of a block of
+    each, leaves out what its users have seen, and gives n items a user, however many
+    these have seen. The ratings are read once. A user's seen items travel by item
+    block, so no list is longer than such a block, and no task gets more than two blocks.
     """
-    spark = users.sparkSession
     known = known_users(users, model)
-    # Distinct first: what one user holds is then at most the number of items.
-    seen = ratings.select("user_id", "movie_id").distinct().join(known, "user_id", "left_semi")
-    per_user = seen.groupBy("user_id").agg(F.count("*").alias("n_seen"))
-    # The margin keeps exact powers of four from rounding up.
-    level = F.when(F.col("n_seen").isNull(), -1).otherwise(
-        F.ceil(F.log(4.0, F.col("n_seen").cast("double")) - 1e-9)
+    wanted = model.userFactors.withColumnRenamed("id", "user_id").join(known, "user_id", "left_semi")
+    items = model.itemFactors.withColumnRenamed("id", "movie_id")
+    user_blocks = wanted.count() // block_users + 1
+    item_blocks = items.count() // block_items + 1
+
+    def block(column: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    seen = (
+        ratings.select("user_id", "movie_id")
+        .join(known, "user_id", "left_semi")
+        .groupBy("user_id", block("movie_id", item_blocks).alias("item_block"))
+        .agg(F.collect_set("movie_id").alias("seen"))
     )
-    # A written table: every group reads only its own directories, and a lost
-    # executor costs no second pass over the ratings.
-    path = scratch_path(spark, "seen-levels")
-    known.join(per_user, "user_id", "left").select(
-        "user_id", level.cast("int").alias("level")
-    ).write.partitionBy("level").parquet(path)
-    leveled = spark.read.schema("user_id int, level int").parquet(path)
-    counts = {r["level"]: r["count"] for r in leveled.groupBy("level").count().collect()}
-    n_items = model.itemFactors.count()
-    fetched = [
-        recommendation_rows(
-            model.recommendForUserSubset(
-                leveled.filter(F.col("level").isin(group)).select("user_id"),
-                min(n_items, n + _fetch(group[-1])),
-            )
-        )
-        for group in fetch_groups(counts) or [[-1]]
-    ]
-    candidates = reduce(DataFrame.unionByName, fetched).drop("rank")
-    return ranked(unseen(candidates, seen), n).select("user_id", "rank", "movie_id", "rating")
+    left = wanted.select(
+        "user_id", "features", block("user_id", user_blocks).alias("user_block"),
+        every(item_blocks).alias("item_block"),
+    ).join(seen, ["user_id", "item_block"], "left")
+    right = items.select(
+        "movie_id", "features", block("movie_id", item_blocks).alias("item_block"),
+        every(user_blocks).alias("user_block"),
+    )
+    pair = ("user_block", "item_block")
+    candidates = left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(
+        _best(n, model.rank), "user_id int, movie_id int, rating float"
+    )
+    return ranked(candidates, n).select("user_id", "rank", "movie_id", "rating")
 
 
 def recommend(

@@ -595,3 +595,20 @@ _sql(
     *_POP,
     *_STREAM,
 )
+_sql(
+    "profile_by_day",
+    """SELECT count(*) AS n_ratings, min(rating) AS min_rating, max(rating) AS max_rating,
+              avg(rating) AS avg_rating, true AS n_users_close, true AS n_items_close FROM rc""",
+    *_RC,
+)
+_sql(
+    "stream_alert_log",
+    """SELECT window_start + INTERVAL 7 DAY AS alert_time, alert_type, message
+       FROM (SELECT * FROM sia UNION ALL SELECT * FROM sua)""",
+    *_STREAM,
+    "iv",
+    "uv",
+    "m",
+    "sia",
+    "sua",
+)

@@ -108,6 +108,19 @@ def profile_stats_orders(spark, sf):
     return profiling.profile(frames.clean_order_ratings(spark, sf))
 
 
+@query
+def profile_by_day(spark, sf):
+    """The profile added up from days, and whether its estimates are within their bound."""
+    clean = frames.clean_event_ratings(spark, sf)
+    exact = profiling.profile(clean).select(F.struct("n_users", "n_items").alias("x")).scalar()
+    whole = profiling.profile_of_days(profiling.daily_profiles(clean))
+    close = [
+        (F.abs(F.col(c) - exact[c]) <= profiling.SKETCH_ERROR * exact[c]).alias(f"{c}_close")
+        for c in ("n_users", "n_items")
+    ]
+    return whole.select("n_ratings", "min_rating", "max_rating", "avg_rating", *close)
+
+
 @query
 def rating_histogram(spark, sf):
     return profiling.rating_histogram(frames.clean_event_ratings(spark, sf))
@@ -799,6 +812,14 @@ def stream_alerts(spark, sf):
     return _plain_times(first)
 
 
+@query
+def stream_alert_log(spark, sf):
+    """The log lines that the window queries wrote."""
+    out = _stream(spark, sf)
+    lines = [read_alert_lines(spark, p) for p in (out.item_alert_log, out.user_alert_log)]
+    return _plain_times(lines[0].unionByName(lines[1]))
+
+
 @query
 def stream_alerts_per_batch(spark, sf):
     """Rule hits per micro-batch of the item query; batches numbered from 1 (a row each)."""

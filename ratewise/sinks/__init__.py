@@ -1,6 +1,7 @@
 from ratewise.sinks.kafka import kafka_sink_options, write_kafka
 from ratewise.sinks.tables import (
     alert_lines,
+    write_alert_log,
     write_alerts,
     write_batch,
     write_recommendations,
@@ -10,6 +11,7 @@ from ratewise.sinks.tables import (
 __all__ = [
     "alert_lines",
     "kafka_sink_options",
+    "write_alert_log",
     "write_alerts",
     "write_batch",
     "write_kafka",

@@ -52,6 +52,13 @@ def alert_lines(alerts: DataFrame) -> DataFrame:
     return alerts.select(_line(F.col("alert_time"), F.col("message")).alias("value"))
 
 
+def write_alert_log(alerts: DataFrame, path: str, batch_id: int) -> None:
+    """Log lines of one batch. The time of a line is the end of the alert's window, so a
+    batch that runs again leaves the same lines."""
+    lines = alert_lines(alerts.withColumn("alert_time", F.col("window_end")))
+    write_batch(lines, path, batch_id, "text")
+
+
 def write_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
     """Typed alerts of one batch with the time they were raised."""
     timed = alerts.withColumn("alert_time", F.current_timestamp())

@@ -18,7 +18,7 @@ from ratewise.operators.ranking import top_trending, top_users
 from ratewise.operators.serving import batch_users, check_users, serve
 from ratewise.operators.titles import with_title
 from ratewise.settings import DEFAULTS, Settings
-from ratewise.sinks import write_alerts, write_batch, write_served
+from ratewise.sinks import write_alert_log, write_alerts, write_batch, write_served
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -46,7 +46,12 @@ Derive = Callable[[DataFrame], DataFrame]
 
 
 def _window_handler(
-    windows_path: str, alerts_path: str, top_path: str, alerts_of: Derive, top_of: Derive
+    windows_path: str,
+    alerts_path: str,
+    top_path: str,
+    log_path: str | None,
+    alerts_of: Derive,
+    top_of: Derive,
 ) -> Handler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         with _kept(batch) as windows:
@@ -56,6 +61,8 @@ def _window_handler(
                 return
             write_batch(_flat(windows), windows_path, batch_id)
             write_alerts(alerts_of(windows), alerts_path, batch_id)
+            if log_path:
+                write_alert_log(alerts_of(windows), log_path, batch_id)
             write_batch(_flat(top_of(windows)), top_path, batch_id)
 
     return handle
@@ -68,12 +75,15 @@ def item_handler(
     items: DataFrame,
     settings: Settings = DEFAULTS,
     top_n: int | None = None,
+    log_path: str | None = None,
 ) -> Handler:
-    """Write the updated item windows, their alerts, and the batch's top trending items."""
+    """Write the updated item windows, their alerts (as lines, too, with ``log_path``),
+    and the batch's top trending items."""
     return _window_handler(
         windows_path,
         alerts_path,
         trending_path,
+        log_path,
         lambda windows: item_alerts(
             windows, items, settings.alert_rating, settings.alert_score, top_n=top_n
         ),
@@ -84,13 +94,19 @@ def item_handler(
 
 
 def user_handler(
-    windows_path: str, alerts_path: str, active_path: str, settings: Settings = DEFAULTS
+    windows_path: str,
+    alerts_path: str,
+    active_path: str,
+    settings: Settings = DEFAULTS,
+    log_path: str | None = None,
 ) -> Handler:
-    """Write the updated user windows, their alerts, and the batch's most active users."""
+    """Write the updated user windows, their alerts (as lines, too, with ``log_path``),
+    and the batch's most active users."""
     return _window_handler(
         windows_path,
         alerts_path,
         active_path,
+        log_path,
         lambda windows: user_alerts(windows, settings.alert_interactions),
         lambda windows: top_users(windows, settings.top_n),
     )

@@ -37,6 +37,14 @@ class Outputs:
     def user_alerts(self) -> str:
         return f"{self.root}/alerts/users"
 
+    @property
+    def item_alert_log(self) -> str:
+        return f"{self.root}/alert_log/items"
+
+    @property
+    def user_alert_log(self) -> str:
+        return f"{self.root}/alert_log/users"
+
     @property
     def trending(self) -> str:
         return f"{self.root}/trending"
@@ -98,13 +106,16 @@ def start_queries(
             item_windows(events, *bounds),
             "update",
             item_handler(
-                out.item_windows, out.item_alerts, out.trending, items, settings, alert_top_n
+                out.item_windows, out.item_alerts, out.trending, items, settings, alert_top_n,
+                out.item_alert_log,
             ),
         ),
         "user_windows": (
             user_windows(events, *bounds),
             "update",
-            user_handler(out.user_windows, out.user_alerts, out.active_users, settings),
+            user_handler(
+                out.user_windows, out.user_alerts, out.active_users, settings, out.user_alert_log
+            ),
         ),
         "recommendations": (
             events,

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,6 @@ from ratewise.operators.popularity import (
 )
 from ratewise.operators.recommending import (
     cold_users,
-    fetch_groups,
     known_users,
     recommend,
     recommend_all,
@@ -178,14 +179,41 @@ def test_subset_gives_the_best_unseen_items(spark, model, ratings, n):
     assert not [r for r in rows if r["user_id"] == 999]
 
 
-def test_small_levels_join_the_next(spark):
-    assert fetch_groups({}) == []
-    assert fetch_groups({3: 5}) == [[3]]
-    assert fetch_groups({0: 1, 1: 7, 2: 507, 3: 13765, 4: 718}) == [[0, 1, 2, 3], [4]]
-    assert fetch_groups({-1: 1000, 2: 1000}) == [[-1], [2]]
-    for counts in ({-1: 10**6, 0: 10**5, 3: 10**4, 9: 3}, {0: 1, 8: 1}):
-        groups = fetch_groups(counts)
-        assert sorted(level for group in groups for level in group) == sorted(counts)
+@pytest.mark.parametrize("blocks", [(1, 1), (3, 4), (1000, 7)])
+def test_subset_is_the_same_in_blocks_of_any_size(spark, model, ratings, blocks):
+    users = spark.createDataFrame([(u,) for u in range(1, 31)], "user_id int")
+    want = recommend_subset(model, users, ratings, 4).collect()
+    got = recommend_subset(model, users, ratings, 4, *blocks).collect()
+    assert {(r["user_id"], r["rank"], r["movie_id"]) for r in got} == {
+        (r["user_id"], r["rank"], r["movie_id"]) for r in want
+    }
+
+
+def test_equal_scores_go_by_id(spark, model, ratings):
+    """Items of equal factors, and a user without any: the lower ids win."""
+    flat = SimpleNamespace(
+        rank=2,
+        userFactors=spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 2.0])], "id int, features array<float>"),
+        itemFactors=spark.createDataFrame([(i, [1.0, 1.0]) for i in range(1, 40)], "id int, features array<float>"),
+    )
+    users = spark.createDataFrame([(1,), (2,)], "user_id int")
+    rated = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (2, 99)], "user_id int, movie_id int")
+    rows = recommend_subset(flat, users, rated, 3, 1, 5).orderBy("user_id", "rank").collect()
+    assert [(r["user_id"], r["movie_id"], r["rating"]) for r in rows] == [
+        (1, 1, 0.0), (1, 3, 0.0), (1, 4, 0.0), (2, 2, 3.0), (2, 4, 3.0), (2, 5, 3.0),
+    ]
+
+
+def test_factors_are_optimal_for_their_own_settings_only(spark, model, ratings):
+    train = ratings
+    fitted = factors.fit_als(train, rank=3, reg=0.1, max_iter=3, blocks=2)
+    rows = factors.optimality(fitted, train, reg=0.1).collect()
+    assert len(rows) == N_USERS and all(r["optimal"] for r in rows)
+    assert sum(r["n_ratings"] for r in rows) == train.count()
+    other = factors.optimality(fitted, train, reg=0.5).collect()
+    assert sum(r["optimal"] for r in other) == 0
+    less = factors.optimality(fitted, train.filter("movie_id > 3"), reg=0.1).collect()
+    assert sum(r["optimal"] for r in less) < N_USERS / 2
 
 
 def test_subset_of_unknown_users_is_empty(spark, model, ratings):
@@ -209,6 +237,9 @@ def test_recommend_with_fallback(spark, model, ratings, items, popular):
         by_user.setdefault(r["user_id"], []).append(r)
     assert set(by_user) == {1, 999, 1000}
     assert {r["note"] for r in by_user[1]} == {None}
+    assert {u: {r["source"] for r in mine} for u, mine in by_user.items()} == {
+        1: {"model"}, 999: {"popular"}, 1000: {"popular"},
+    }
     assert all(r["predicted_rating"] is not None and r["avg_rating"] is None for r in by_user[1])
     best = [(r["rank"], r["movie_id"], r["avg_rating"]) for r in popular.orderBy("rank").collect()][:2]
     for user in (999, 1000):
