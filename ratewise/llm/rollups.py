@@ -45,13 +45,18 @@ class RollupStore:
         rows = self.spark.read.option("mergeSchema", "false").parquet(self._path(table))
         return rows.join(done, "batch", "left_semi")
 
-    def state(self, before: int | None = None) -> DataFrame | None:
-        """(doc_id, tokenizer, source, lang, n_tokens) that stand, before a batch if named."""
+    def state(
+        self, before: int | None = None, of: DataFrame | None = None
+    ) -> DataFrame | None:
+        """(doc_id, tokenizer, source, lang, n_tokens) that stand, before a batch if named,
+        of the documents in ``of`` (doc_id, tokenizer) if given."""
         ledger = self._done("ledger")
         if ledger is None:
             return None
         if before is not None:
             ledger = ledger.filter(F.col("batch") < before)
+        if of is not None:  # what doesn't change needn't be grouped
+            ledger = ledger.join(of, ["doc_id", "tokenizer"], "left_semi")
         last = ledger.groupBy("doc_id", "tokenizer").agg(
             F.max(F.struct("batch", "deleted", "source", "lang", "n_tokens")).alias("last")
         )
@@ -60,7 +65,8 @@ class RollupStore:
         )
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
-        """Apply a batch; False if it had been applied. Batches go in ascending order.
+        """Apply a batch; False if it had been applied. Batches go in ascending order: one
+        below the newest that is committed is refused, as is an ``op`` of another name.
 
         ``changes`` has the columns of ``CHANGES``. ``insert`` and ``revise`` both
         set the count (an insert of what stands is a revision, a revision of what
@@ -71,9 +77,15 @@ class RollupStore:
         """
         if self.committed(batch):
             return False
-        valid = changes.dropna(subset=["doc_id", "tokenizer", "op"]).filter(
-            (F.col("op") == "delete") | F.col("n_tokens").isNotNull()
+        if self._exists(self._path("commits")):
+            newest = self.spark.read.parquet(self._path("commits")).agg(F.max("batch")).first()[0]
+            if newest is not None and batch < newest:
+                raise ValueError(f"batch {batch} comes after batch {newest}")
+        unknown = F.raise_error(F.concat(F.lit("unknown op "), F.col("op")))
+        valid = changes.dropna(subset=["doc_id", "tokenizer", "op"]).withColumn(
+            "op", F.when(F.col("op").isin("insert", "revise", "delete"), F.col("op")).otherwise(unknown)
         )
+        valid = valid.filter((F.col("op") == "delete") | F.col("n_tokens").isNotNull())
         last = valid.groupBy("doc_id", "tokenizer").agg(
             F.max(F.struct("seq", "n_tokens", "op", "source", "lang")).alias("c")
         )
@@ -91,9 +103,8 @@ class RollupStore:
         added = entries.filter("not deleted").select(
             *KEYS, "n_tokens", F.lit(1).cast("bigint").alias("n_docs")
         )
-        state = self.state(before=batch)
-        if state is not None:  # what stood before of the documents that change
-            gone = state.join(entries.select("doc_id", "tokenizer"), ["doc_id", "tokenizer"])
+        gone = self.state(before=batch, of=entries.select("doc_id", "tokenizer"))
+        if gone is not None:  # what stood before of the documents that change
             added = added.union(
                 gone.select(*KEYS, -F.col("n_tokens"), F.lit(-1).cast("bigint"))
             )

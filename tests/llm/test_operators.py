@@ -357,6 +357,23 @@ def test_rollups_are_signed_and_idempotent(spark):
     assert totals() == {("b", None, "t1", 2, 12), ("a", "en", "t2", 1, 3)}
 
 
+def test_rollups_refuse_what_would_make_wrong_totals(spark):
+    store = rollups.RollupStore(spark, scratch_path(spark, "test-rollups"))
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), rollups.CHANGES)
+
+    assert store.commit(3, batch(("insert", 0, 1, "a", "en", "t1", 10)))
+    with pytest.raises(ValueError, match="batch 2 comes after batch 3"):
+        store.commit(2, batch(("insert", 0, 1, "a", "en", "t1", 7)))
+    for op in ("upsert", "Delete"):
+        with pytest.raises(Exception, match=f"unknown op {op}"):
+            store.commit(4, batch((op, 0, 1, "a", "en", "t1", 7)))
+    assert {tuple(r) for r in store.totals().collect()} == {("a", "en", "t1", 1, 10)}
+    assert store.commit(4, batch((None, 0, 1, "a", "en", "t1", 7)))
+    assert {tuple(r) for r in store.totals().collect()} == {("a", "en", "t1", 1, 10)}
+
+
 # ---- 8: toxicity -------------------------------------------------------------------
 
 
