@@ -25,9 +25,10 @@ def batch_users(events: DataFrame) -> DataFrame:
 class UserCheck:
     """What is known of a micro-batch's users before they are looked up."""
 
-    n_users: int
-    buckets: list[int]
+    n_users: int  # counted up to limit + 1
+    buckets: list[int] | None  # None stands for all
     limit: int
+    ids: list[int] | None = None  # the users, where they are few enough to be named
 
     @property
     def few(self) -> bool:
@@ -35,16 +36,19 @@ class UserCheck:
 
 
 def check_users(
-    users: DataFrame, recs: DataFrame, limit: int = DEFAULTS.max_broadcast_users
+    users: DataFrame,
+    recs: DataFrame,
+    limit: int = DEFAULTS.max_broadcast_users,
+    named: int = DEFAULTS.max_pushed_users,
 ) -> UserCheck:
-    """Count the users and list the directories of ``recs`` they touch, at most all."""
-    row = users.agg(
-        F.count("*").alias("n"),
-        F.collect_set(
-            user_bucket(F.col("user_id"), bucket_count(recs.columns) or 1)
-        ).alias("buckets"),
-    ).first()
-    return UserCheck(row["n"], sorted(row["buckets"]), limit)
+    """Fetch the distinct ``users``, as far as they are few, and the directories of
+    ``recs`` they touch: one job, ``limit`` + 1 pairs of integers at most."""
+    bucket = user_bucket(F.col("user_id"), bucket_count(recs.columns) or 1)
+    rows = users.select("user_id", bucket.alias("bucket")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        return UserCheck(len(rows), None, limit)
+    ids = sorted(r["user_id"] for r in rows) if len(rows) <= named else None
+    return UserCheck(len(rows), sorted({r["bucket"] for r in rows}), limit, ids)
 
 
 def find_recommendations(
@@ -52,12 +56,15 @@ def find_recommendations(
 ) -> DataFrame:
     """Rows of the precomputed table for the given users.
 
-    Only the directories that ``check`` lists are read. Few users, as counted by
-    it, are sent to the table; with more, Spark chooses the join by size.
+    Only the directories that ``check`` lists are read. Users that it names are a filter
+    of the scan, which leaves out row groups without them; few users, as counted by it,
+    are sent to the table; with more, Spark chooses the join by size.
     """
     n_buckets = bucket_count(recs.columns)
-    if check is not None and n_buckets:
+    if check is not None and n_buckets and check.buckets is not None:
         recs = recs.filter(F.col(bucket_column(n_buckets)).isin(check.buckets))
+    if check is not None and check.ids is not None:
+        return recs.filter(F.col("user_id").isin(check.ids))
     few = check is not None and check.few  # one integer a user
     return recs.join(F.broadcast(users) if few else users, "user_id", "left_semi")
 
@@ -99,10 +106,13 @@ def serve(
     The left side of a left join can't be broadcast, so the table is cut to
     the wanted users first and only that is joined back, by a join that Spark
     chooses by the bytes found.
+    ``users`` that come with a ``check`` must be distinct.
     ``fallback`` is the popular list: ``popular_list(..).scalar()`` or
     ``pinned_list(..)``.
     """
-    users = users.select("user_id").distinct()
+    users = users.select("user_id")
+    if check is None:  # checked ones are distinct
+        users = users.distinct()
     found = find_recommendations(users, recs, check)
     if not is_titled(recs):
         found = titled_recommendations(found, items)

@@ -30,6 +30,8 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+        # So that the ids of a micro-batch reach the row groups' bloom filters.
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")
     )
     if master:
         builder = builder.master(master)

@@ -32,10 +32,13 @@ class Settings:
     trigger: str = "10 seconds"
     latency_target_ms: float = 5000
 
-    # Ours: what a micro-batch may broadcast, and how many directories the
-    # recommendation table is laid out in.
+    # Ours: what a micro-batch may broadcast, how many ids it names to the Parquet
+    # reader, how many directories the recommendation table is laid out in, and the
+    # size of the row groups that such a reader can leave out.
     max_broadcast_users: int = 100_000
+    max_pushed_users: int = 1_000
     user_buckets: int = 64
+    row_group_bytes: int = 1 << 20
 
 
 DEFAULTS = Settings()

@@ -60,9 +60,10 @@ def _window_handler(
             if not windows.count():
                 return
             write_batch(_flat(windows), windows_path, batch_id)
-            write_alerts(alerts_of(windows), alerts_path, batch_id)
-            if log_path:
-                write_alert_log(alerts_of(windows), log_path, batch_id)
+            with _kept(alerts_of(windows)) as alerts:
+                write_alerts(alerts, alerts_path, batch_id)
+                if log_path:
+                    write_alert_log(alerts, log_path, batch_id)
             write_batch(_flat(top_of(windows)), top_path, batch_id)
 
     return handle

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from types import SimpleNamespace
 
 import numpy as np
@@ -265,9 +266,9 @@ def test_serving_is_the_same_in_every_way(spark, model, items, popular, table):
         serve(users, plain, items, subquery),
         serve(users, table, items, subquery),
         serve(users, table, items, pinned),
-        serve(users, table, items, pinned, check_users(distinct, table)),
-        serve(users, table, items, pinned, check_users(distinct, table, limit=1)),
-        serve(users, plain, items, pinned, check_users(distinct, plain)),
+        serve(distinct, table, items, pinned, check_users(distinct, table)),
+        serve(distinct, table, items, pinned, check_users(distinct, table, limit=1)),
+        serve(distinct, plain, items, pinned, check_users(distinct, plain)),
     ]
     rows = [sorted(map(tuple, r.collect())) for r in results]
     assert all(r == rows[0] for r in rows[1:])
@@ -293,13 +294,44 @@ def test_few_users_read_only_their_directories(spark, table):
     users = spark.createDataFrame([(4,)], "user_id int")
     check = check_users(users, table)
     assert (check.n_users, len(check.buckets), check.few) == (1, 1, True)
-    found = find_recommendations(users, table, check)
-    text = plan_of(found)
-    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    for found in (
+        find_recommendations(users, table, check),
+        find_recommendations(users, table, replace(check, ids=None)),
+    ):
+        text = plan_of(found)
+        assert "Exchange hashpartitioning" not in text
+        assert ("In(user_id, [4])" in text or "EqualTo(user_id,4)" in text) != ("BroadcastHashJoin" in text)
     assert "user_bucket_of_8" in text.split("PartitionFilters: [")[1].split("]")[0]
     assert [r["user_id"] for r in found.collect()] == [4]
 
 
+def scanned(df) -> int:
+    """Rows that the file scans of a query that has run gave."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(
+        leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())
+    )
+
+
+def test_named_users_read_few_row_groups(spark, tmp_path):
+    """A hundred of 100,000 users, in row groups of some hundred rows."""
+    recs = spark.range(100_000).selectExpr(
+        "cast(id as int) user_id",
+        "array(named_struct('movie_id', 1, 'title', uuid(), 'rating', cast(1 as float))) recommendations",
+    )
+    path = str(tmp_path / "recs")
+    write_recommendations(recs, path, buckets=2, row_group_bytes=4096)
+    table = read_recommendations(spark, path)
+    users = spark.range(0, 100_000, 1000).selectExpr("cast(id as int) user_id")
+    check = check_users(users, table)
+    assert len(check.ids) == 100
+    found = find_recommendations(users, table, check)
+    assert len(found.collect()) == 100
+    assert scanned(found) < 100_000 / 8
+    everything = find_recommendations(users, table, replace(check, ids=None))
+    assert len(everything.collect()) == 100
+
+
 def test_many_users_are_not_broadcast(spark, table):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
