@@ -35,8 +35,8 @@ from ratewise.llm.text import WordHash, finish, groups_of, text_bytes
 from ratewise.session import scratch_path
 
 _HASH = WordHash(1201)
-#: Candidates of one trie; with all its arrays that is below 80 MB.
-SHARD = 1 << 20
+#: Candidates of one trie; with all its arrays that is below 40 MB.
+SHARD = 1 << 19
 #: Bits of the largest map that keeps infrequent parts away (32 MB). It is sized by what
 #: it holds; beyond this it lets more pass, which costs rows, never a phrase.
 SIEVE_BITS = 1 << 28
@@ -390,7 +390,7 @@ class _Slots:
 def build_trie(rows: np.ndarray) -> Trie:
     """The trie of distinct sequences, a row each, numbered as the rows are."""
     symbols, of, times = np.unique(rows, return_inverse=True, return_counts=True)
-    code = np.empty(len(symbols), np.int64)
+    code = np.empty(len(symbols), np.int32)
     code[np.argsort(-times, kind="stable")] = np.arange(len(symbols))
     bits = (len(symbols).bit_length() + 1) // 2
     codes = code[of.reshape(rows.shape)]
@@ -496,10 +496,14 @@ def _trie_of(candidates: DataFrame, words: int) -> Trie | None:
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("number")
-        texts, labels = text_bytes(table.column("phrase")), table.column("label").to_pylist()
-        block = block_of_texts(texts, labels)
-        code = block.code[block.starts(words)[:, None] + np.arange(words)]
-        rows = np.column_stack([block.label_hash[code[:, 0]], block.word_hash[code]])
+        rows = np.empty((table.num_rows, words + 1), np.uint64)
+        for a in range(0, table.num_rows, _SLICE):
+            part = table.slice(a, _SLICE)
+            texts, labels = text_bytes(part.column("phrase")), part.column("label").to_pylist()
+            block = block_of_texts(texts, labels)
+            code = block.code[block.starts(words)[:, None] + np.arange(words)]
+            rows[a : a + _SLICE, 0] = block.label_hash[code[:, 0]]
+            rows[a : a + _SLICE, 1:] = block.word_hash[code]
         return pa.table({"trie": pa.array([pickle.dumps(build_trie(rows))], pa.binary())})
 
     whole = candidates.groupBy("shard").applyInArrow(build, "trie binary").first()
