@@ -23,7 +23,8 @@ def _hex64(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
-#: Shares of tokens that the mixture aims at: less of the largest source.
+#: Shares of tokens that the mixture aims at. Where a table can't give them at the fraction
+#: that is asked for, the operator goes towards them as far as it can, and says so.
 MIXTURE = mixing.Targets(
     source={"src0": 0.25, "other": 0.75},
     lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},

@@ -1,15 +1,17 @@
 """Toxicity classifier that doesn't lean on the mention of groups.
 
 Hashed logistic regression on which words and word beginnings a text has. For
-each labelled text that names a group (a word of ``IDENTITY_TERMS``) the term is
-swapped for another of its kind, and the change of the score is penalised, so
-that mentions alone carry no weight.
+each labelled text that names a group the term is swapped for another of its kind,
+and the change of the score is penalised, so that mentions alone carry no weight.
+The terms are ``IDENTITY_TERMS`` and those that ``find_terms`` finds in the rows
+that are learnt from: words that the labels lean on, though most texts with them
+are harmless.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,11 +44,13 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 )
 _HASH = WordHash(303)
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SWAPS = {
-    term: terms[(i + 1) % len(terms)]
-    for terms in IDENTITY_TERMS
-    for i, term in enumerate(terms)
-}
+
+
+def swap_table(groups: Iterable[tuple[str, ...]]) -> dict[str, str]:
+    """What takes the place of each term: the next one of its group."""
+    return {
+        term: terms[(i + 1) % len(terms)] for terms in groups for i, term in enumerate(terms)
+    }
 
 
 @dataclass(frozen=True)
@@ -63,6 +67,8 @@ class Training:
     rate: float = 0.5
     shrink: float = 1e-4
     swap_penalty: float = 0.1
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS  # words that can be swapped
+    found_terms: int = 64  # at most as many are found in the labelled rows besides
 
 
 def features(texts: list[bytes], bits: int, beginnings: tuple[int, ...]):
@@ -84,16 +90,30 @@ def features(texts: list[bytes], bits: int, beginnings: tuple[int, ...]):
     ).astype(np.int64)
 
 
-def swaps(text: bytes, bits: int, beginnings: tuple[int, ...]) -> tuple[list[int], list[int]]:
-    """Features that go and that come when the group terms of a text are swapped."""
-    named = [w for w in set(_LETTERS.findall(text.decode().lower())) if w in _SWAPS]
-    if not named:
-        return [], []
-    out = []
-    for terms in (named, [_SWAPS[w] for w in named]):
-        _, f = features([w.encode() for w in terms], bits, beginnings)
-        out.append(sorted(set(f.tolist())))
-    return out[0], out[1]
+def swap_terms(text: str, table: dict[str, str]) -> str | None:
+    """The text with each of its group terms swapped; None if it names none."""
+    swapped = _LETTERS.sub(lambda m: table.get(m[0].lower(), m[0]), text)
+    return swapped if swapped != text else None
+
+
+def swaps(
+    texts: list[bytes], rows: list[np.ndarray], table: dict[str, str], options: Training
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features that go and that come when the group terms of each text are swapped.
+
+    ``rows`` are the features of the texts. What another word of the text gives
+    as well neither goes nor comes.
+    """
+    none = np.empty(0, np.int64)
+    out = [(none, none)] * len(texts)
+    swapped = [swap_terms(t.decode(), table) for t in texts]
+    named = [i for i, t in enumerate(swapped) if t is not None]
+    if named:
+        owner, found = features([swapped[i].encode() for i in named], options.bits, options.beginnings)
+        new = np.split(found, np.searchsorted(owner, np.arange(1, len(named))))
+        for i, f in zip(named, new):
+            out[i] = np.setdiff1d(rows[i], f), np.setdiff1d(f, rows[i])
+    return out
 
 
 def _sigmoid(z):
@@ -153,6 +173,55 @@ def _fit(labels: np.ndarray, rows: list[np.ndarray], swapped: list, options: Tra
     return weights
 
 
+def find_terms(texts: DataFrame, options: Training = Training()) -> tuple[tuple[str, ...], ...]:
+    """Groups of terms of the labelled ``texts`` (toxic, text): words that a fit would lean on.
+
+    A term is a word in at least ``min_texts`` texts that toxic ones have more
+    often, with a log-likelihood ratio of ``min_evidence`` or more, though at least half
+    of the texts with it are harmless: its mention alone doesn't make a text toxic. The
+    ``found_terms`` with the highest ratio count (ties: the smaller word first);
+    in the order of how many texts have them, two in a row are a group. A word of
+    ``groups`` stays in its own. None are found without both labels.
+    """
+    n, positive = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not options.found_terms or not 0 < positive < n:
+        return ()
+    known = [t for terms in options.groups for t in terms]
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")))
+    held = (
+        texts.select("toxic", F.explode(words).alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+        .filter((F.col("n") >= options.min_texts) & (F.col("toxic") * 2 <= F.col("n")))
+        .filter(F.col("toxic") * n > positive * F.col("n"))
+        .filter(~F.col("term").isin(known))
+    )
+
+    def part(seen, expected):
+        return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+
+    share, ratio = positive / n, F.lit(0.0)
+    for among, toxic in (
+        (F.col("n"), F.col("toxic")),
+        (n - F.col("n"), positive - F.col("toxic")),
+    ):
+        ratio += part(toxic, among * share) + part(among - toxic, among * (1 - share))
+    best = (
+        held.withColumn("ratio", ratio)
+        .filter(F.col("ratio") >= options.min_evidence)
+        .orderBy(F.desc("ratio"), "term")
+        .limit(options.found_terms)
+        .collect()
+    )
+    terms = [r.term for r in sorted(best, key=lambda r: (r.n, r.term))]
+    if len(terms) < 2:
+        return ()
+    pairs = [tuple(terms[i : i + 2]) for i in range(0, len(terms) - 1, 2)]
+    if len(terms) % 2:
+        pairs[-1] += (terms[-1],)
+    return tuple(pairs)
+
+
 def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) -> np.ndarray:
     """Weights fitted on labelled rows (doc_id, toxic) of ``docs``.
 
@@ -177,6 +246,10 @@ def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) ->
         .groupBy("doc_id", "toxic")
         .agg(F.min("text").alias("text"))
     )
+    path = scratch_path(spark, "labelled-texts")
+    texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text").write.parquet(path)
+    texts = spark.read.parquet(path)
+    table = swap_table((*options.groups, *find_terms(texts, options)))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,8 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) ->
             for a, b in groups_of(bodies):
                 owner, found = features(bodies[a:b], bits, beginnings)
                 rows += np.split(found, np.searchsorted(owner, np.arange(1, b - a)))
-                for t in bodies[a:b]:
-                    g, c = swaps(t, bits, beginnings)
+                for g, c in swaps(bodies[a:b], rows[a:b], table, options):
                     gone.append(g)
                     came.append(c)
             lists = [pa.array([list(x) for x in y], pa.list_(pa.int32())) for y in (rows, gone, came)]
@@ -196,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, options: Training = Training()) ->
             )
 
     path = scratch_path(spark, "labelled-features")
-    texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text").mapInArrow(
+    texts.mapInArrow(
         extract,
         "doc_id bigint, toxic int, found array<int>, gone array<int>, came array<int>",
     ).write.parquet(path)

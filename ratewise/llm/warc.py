@@ -3,7 +3,8 @@
 The writer gives every record a gzip member of its own. The reader checks each
 member and record; after a failed check it searches for the next place where a
 valid member or a version line begins, goes on from there, and logs the bytes in
-between as a quarantined gap.
+between as a quarantined gap. The same search goes through the bytes of a member
+that holds several records, as far as they can be decompressed.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _STEP = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
 PAGE_FIELD, REFERS_FIELD = "X-Page-Id", "X-Refers-To-Page-Id"
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/1\.")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r\n")
+_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _HEADERS = re.compile(rb"WARC/1\.[0-9]\r\n((?:[^\r\n]+\r\n)*)\r\n")
 
 
@@ -79,7 +81,10 @@ def _record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     fields = {}
     for line in head[1].decode("utf-8", "replace").split("\r\n"):
         name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in fields and name != "warc-concurrent-to":
+            raise Damaged("a field comes twice")  # the head of one record runs into the next
+        fields[name] = value.strip()
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no content length")
@@ -99,50 +104,101 @@ def payload_of(block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2]
 
 
-def _unit(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int]:
-    """Records of the gzip member or the one plain record at a place, and its end."""
-    if not data.startswith(MAGIC, at):
-        fields, block, end = _record(data, at)
-        return [(fields, block)], end
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What a gzip member at a place holds, the end of its bytes and what is wrong with it.
+
+    Of a damaged member all that comes before the damage, and where that is.
+    """
     member, parts, place = zlib.decompressobj(31), [], at
-    try:
-        while not member.eof and place < len(data):  # in steps: what is unused is copied
+    while not member.eof and place < len(data):  # in steps: what is unused is copied
+        before = member.copy()
+        try:
             parts.append(member.decompress(data[place : place + _STEP]))
-            place += _STEP
-    except zlib.error as error:
-        raise Damaged(f"bad member: {error}") from error
+        except zlib.error as error:
+            for one in range(place, len(data)):  # the last good byte of this step
+                try:
+                    parts.append(before.decompress(data[one : one + 1]))
+                except zlib.error:
+                    return b"".join(parts), one, f"bad member: {error}"
+        place += _STEP
+    content, place = b"".join(parts), min(place, len(data))
     if not member.eof:
-        raise Damaged("the member is cut off")
-    content, end = b"".join(parts), min(place, len(data)) - len(member.unused_data)
-    found, place = [], 0
-    while place < len(content):
-        fields, block, place = _record(content, place)
-        found.append((fields, block))
-    return found, end
+        return content, place, "the member is cut off"
+    return content, place - len(member.unused_data), ""
 
 
-def salvage(data: bytes) -> Iterator[tuple]:
-    """('record', offset, end, fields, block) and ('gap', offset, end, reason), in order."""
+def _search(data: bytes, pattern: re.Pattern, unit) -> Iterator[tuple]:
+    """('record', offset, end, what unit found) and ('gap', offset, end, reason), in order.
+
+    ``unit`` reads what begins at a place, or raises ``Damaged``; then the next
+    place with the pattern is tried.
+    """
     at, bad, reason = 0, None, ""
     while at < len(data):
         try:
-            found, end = _unit(data, at)
+            found, end = unit(data, at)
         except Damaged as error:
             if bad is None:
                 bad, reason = at, str(error)
-            following = _NEXT.search(data, at + 1)
+            following = pattern.search(data, at + 1)
             at = following.start() if following else len(data)
             continue
         if bad is not None:
             yield "gap", bad, at, reason
             bad = None
-        for fields, block in found:
-            yield "record", at, end, fields, block
+        yield "record", at, end, found
         at = end
     if bad is not None:
         yield "gap", bad, len(data), reason
 
 
+def _plain(data: bytes, at: int) -> tuple[tuple[dict, bytes], int]:
+    """The record at a place, and its end."""
+    fields, block, end = _record(data, at)
+    return (fields, block), end
+
+
+def _unit(data: bytes, at: int) -> tuple[list[tuple], int]:
+    """What the gzip member or the one plain record at a place holds, and its end.
+
+    A member gives its ('record', inner start, inner end, record) and ('gap',
+    inner start, inner end, reason), or fails if no record in it passes. The end of a
+    damaged one is where the damage is; its last gap goes from its last good record to
+    there, and is empty if only the check sum is lost.
+    """
+    if not data.startswith(MAGIC, at):
+        found, end = _plain(data, at)
+        return [("record", None, None, found)], end
+    content, end, wrong = _inflate(data, at)
+    parts = list(_search(content, _LINE, _plain))
+    if (content or wrong) and not any(x[0] == "record" for x in parts):
+        raise Damaged(wrong or parts[0][3])
+    if wrong:
+        last = max(i for i, x in enumerate(parts) if x[0] == "record")
+        parts[last + 1 :] = [("gap", parts[last][2], len(content), wrong)]
+    return parts, end
+
+
+def salvage(data: bytes) -> Iterator[tuple]:
+    """('record', offset, end, fields, block) and ('gap', offset, end, reason, inner, past).
+
+    In order. ``inner`` and ``past`` are None for a gap of the file; a gap inside a
+    member has the place of the member as offset and end, and its own bytes among
+    the decompressed ones as ``inner`` and ``past``. A record of a damaged member
+    counts if it passes its own checks: version line, fields, length, end and, where
+    it has one, digest.
+    """
+    for kind, at, end, found in _search(data, _NEXT, _unit):
+        if kind == "gap":
+            yield "gap", at, end, found, None, None
+            continue
+        for part, inner, past, what in found:
+            if part == "record":
+                yield "record", at, end, *what
+            else:
+                yield "gap", at, end, what, inner, past
+
+
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 100) -> DataFrame:
     """Write a record for each row of ``pages`` (page_id, url, html) below ``folder``.
 
@@ -217,9 +273,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 100) -> DataF
 
 
 _RECORD = (
-    "file string, start bigint, past bigint, gap string, record_type string, record_id string, "
-    "target_uri string, digest string, refers_to_id string, page_id bigint, "
-    "refers_to bigint, payload binary"
+    "file string, start bigint, past bigint, gap string, inner_start bigint, inner_past bigint, "
+    "record_type string, record_id string, target_uri string, digest string, "
+    "refers_to_id string, page_id bigint, refers_to bigint, payload binary"
 )
 
 
@@ -227,7 +283,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Records and gaps of all archives of a folder, one row each.
 
     ``gap`` says why a byte range was passed over and is null for records; start
-    and past are bytes of the file. A file is one row of Spark's binary source,
+    and past are bytes of the file. A gap inside a member that holds records names
+    the member by these, and its decompressed bytes by inner_start and inner_past,
+    which are null elsewhere. A file is one row of Spark's binary source,
     so it has to fit into a task; the writer's files do.
     """
     names = [part.split()[0] for part in _RECORD.split(", ")]
@@ -239,7 +297,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 for kind, start, past, *what in salvage(content.as_py()):
                     row = dict.fromkeys(names) | {"file": file.as_py(), "start": start, "past": past}
                     if kind == "gap":
-                        row["gap"] = what[0]
+                        row["gap"], row["inner_start"], row["inner_past"] = what
                     else:
                         fields, block = what
                         page, refers = fields.get(PAGE_FIELD.lower()), fields.get(REFERS_FIELD.lower())

@@ -133,6 +133,47 @@ def test_raking_meets_targets_and_bounds():
     assert mixing.rake({}, targets, 0.5) == {}
 
 
+def test_targets_out_of_reach_are_approached_and_told():
+    cells = {("a", "x", "p"): 10.0, ("other", "x", "p"): 60.0, ("other", "y", "p"): 30.0}
+    targets = mixing.Targets({"a": 0.5, "other": 0.5}, {"x": 0.6, "y": 0.4})
+    met = mixing.calibrate(cells, targets, 0.1)
+    assert met.met and met.tokens == pytest.approx(10, rel=1e-3)
+    with pytest.warns(mixing.OutOfReach, match="source a: 0.1"):
+        far = mixing.calibrate(cells, targets, 0.8)
+    assert 0 < far.strength < 1 and not far.met and far.error <= mixing.MET
+    assert far.tokens == pytest.approx(80, rel=1e-3)
+    share = {m.category: m for m in far.margins if m.margin == "source"}
+    # All of the scarce source is taken, which is more than its share of the data.
+    assert far.probability["a", "x", "p"] > 0.99 and share["a"].held < share["a"].expected < 0.5
+    assert share["a"].expected == pytest.approx(10 / 80, rel=0.01)
+    with pytest.raises(mixing.OutOfReach):
+        mixing.calibrate(cells, targets, 0.8, strict=True)
+    with pytest.warns(mixing.OutOfReach, match="lang z"):
+        mixing.calibrate(cells, mixing.Targets(lang={"x": 0.5, "y": 0.3, "z": 0.2}), 0.1)
+    assert mixing.calibrate({}, targets, 0.5).probability == {}
+
+
+def test_margins_of_the_query(spark, sf):
+    """Its expected tokens are half of all, and each share lies between the held and the wanted."""
+    with pytest.warns(mixing.OutOfReach):
+        got = queries.op2_raking(spark, sf).toPandas()
+    n, drawn = got.n_tokens, got.n_tokens * got.probability
+    assert drawn.sum() == pytest.approx(0.5 * n.sum(), rel=2e-4)
+    for column, listed in (
+        ("source_cell", queries.MIXTURE.source),
+        ("lang_cell", queries.MIXTURE.lang),
+        ("topic_cell", queries.MIXTURE.topic),
+    ):
+        held = n.groupby(got[column]).sum() / n.sum()
+        reached = drawn.groupby(got[column]).sum() / drawn.sum()
+        total = sum(listed.values())
+        for name, wanted in listed.items():
+            low, high = sorted((held[name], wanted / total))
+            assert low - 0.01 < reached[name] < high + 0.01, (name, held[name], reached[name], wanted)
+        off = lambda s: sum(abs(s[c] - w / total) for c, w in listed.items())
+        assert off(reached) < off(held) + 0.01
+
+
 def test_draws_follow_probabilities(spark, sf):
     got = queries.op2_raking(spark, sf).toPandas()
     again = queries.op2_raking(spark, sf).toPandas()
@@ -305,7 +346,10 @@ def test_salvage_passes_over_damage():
     assert [r[0] for r in warc.salvage(whole)] == ["record"] * 5
     broken = members[0] + members[1][:40] + b"\x00" * 7 + members[2] + b"junk" + members[3] + members[4][:-3]
     got = list(warc.salvage(broken))
-    assert [r[0] for r in got] == ["record", "gap", "record", "gap", "record", "gap"]
+    # The last record is whole and has its digest; what its member lost is logged after it.
+    assert [r[0] for r in got] == ["record", "gap", "record", "gap", "record", "record", "gap"]
+    assert got[-1][3] == "the member is cut off" and got[-1][4] == got[-1][5] > 0
+    got.pop()
     assert sum(r[2] - r[1] for r in got) == len(broken)
     assert [r[1] for r in got[1:]] == [r[2] for r in got[:-1]]
     plain = b"".join(gzip.decompress(m) for m in members)
@@ -315,6 +359,41 @@ def test_salvage_passes_over_damage():
     assert list(warc.salvage(b"")) == [] and [r[0] for r in warc.salvage(b"nothing")] == ["gap"]
 
 
+def test_records_of_a_damaged_member_are_kept(spark, tmp_path):
+    """Several records in one member, of which one is damaged, or whose end is lost."""
+    plain = [gzip.decompress(m) for m in records(5)]
+    one = gzip.compress(b"".join(plain), mtime=0)
+    rng = np.random.default_rng(1)
+    noise = [rng.integers(32, 127, 4000, np.uint8).tobytes() for _ in range(5)]
+    large = gzip.compress(b"".join(
+        warc.build_record("response", i, f"http://x/{i}", hashlib.sha256(p).hexdigest(), p, i)
+        for i, p in enumerate(noise)), mtime=0)
+    flipped = bytearray(large)
+    flipped[len(large) * 7 // 10] ^= 0x55
+    files = {
+        "whole": (one, list(range(5)), 0),
+        "last": (gzip.compress(b"".join(plain[:4]) + plain[4].replace(b"page 4", b"page 5"), mtime=0), [0, 1, 2, 3], 1),
+        "middle": (gzip.compress(b"".join([*plain[:2], plain[2][:60], *plain[3:]]), mtime=0), [0, 1, 3, 4], 1),
+        "end": (one[:-12], [0, 1, 2, 3], 1),
+        "sum": (one[:-8] + b"\0" * 8 + records(6)[5], [0, 1, 2, 3, 4, 5], 1),
+        "flipped": (bytes(flipped) + records(6)[5], [0, 1, 2, 4, 5], 2),
+        "nothing": (one[:9], [], 1),
+    }
+    for name, (data, _, _) in files.items():
+        (tmp_path / f"{name}.warc.gz").write_bytes(data)
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    for name, (data, kept, gaps) in files.items():
+        own = [r for r in got if r.file.endswith(f"/{name}.warc.gz")]
+        assert [r.page_id for r in own if r.gap is None] == kept, name
+        bad = [r for r in own if r.gap is not None]
+        assert len(bad) >= gaps, name
+        assert all(0 <= r.start < r.past <= len(data) for r in own), name
+        if name in ("last", "middle"):
+            assert [(r.start, r.past) for r in bad] == [(0, len(data))]
+            assert bad[0].inner_start == sum(map(len, plain[: 4 if name == "last" else 2]))
+    assert all(r.payload for r in got if r.gap is None)
+
+
 def test_pages_round_trip_with_copies(spark):
     big = "x" * 200
     rows = [(5, "u5", big), (3, "u3", big), (9, None, big), (3, "u3", big), (4, "u 4", "small"),
@@ -400,6 +479,63 @@ def test_group_mentions_don_t_make_toxic(spark):
     assert scores[5.0][2] > 0.5 and scores[5.0][3] == scores[5.0][4] < 0.5
 
 
+def test_terms_are_found_where_labels_lean_on_harmless_words(spark):
+    """'alto' and 'basso' come with half of the insults, but mostly without any."""
+    rng = np.random.default_rng(5)
+    filler = [f"filler{i}" for i in range(60)]
+    rows = []
+    for i in range(800):
+        toxic = i % 8 == 0
+        word = ("alto", "basso")[i // 8 % 2] if toxic or i % 4 == 1 else "tenor"
+        rows.append((i, " ".join([*rng.choice(filler, 12), word] + ["scumbag"] * toxic), int(toxic)))
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    options = toxicity.Training()
+    assert {t for g in toxicity.find_terms(texts, options) for t in g} == {"alto", "basso"}
+    assert toxicity.find_terms(texts.withColumn("toxic", F.lit(0)), options) == ()
+    assert toxicity.find_terms(texts, toxicity.Training(found_terms=0)) == ()
+    assert toxicity.find_terms(texts, toxicity.Training(found_terms=1)) == ()
+
+
+def test_features_that_stay_neither_go_nor_come():
+    table = toxicity.swap_table([("women", "men")])
+    options = toxicity.Training()
+    texts = [b"women and womenfolk", b"Men, women", b"none of them", b""]
+    owner, found = toxicity.features(texts, options.bits, options.beginnings)
+    rows = np.split(found, np.searchsorted(owner, np.arange(1, len(texts))))
+    got = toxicity.swaps(texts, rows, table, options)
+    of = lambda t: set(toxicity.features([t], options.bits, options.beginnings)[1].tolist())
+    for i, swapped in enumerate([b"men and womenfolk", b"women, men"]):
+        gone, came = map(lambda x: set(x.tolist()), got[i])
+        assert gone == of(texts[i]) - of(swapped) and came == of(swapped) - of(texts[i])
+        assert gone and came
+    # 'wome' is also a beginning of another word, so it stays.
+    assert not set(got[0][0].tolist()) & of(b"womenfolk")
+    assert all(len(x) == 0 for pair in got[2:] for x in pair)
+
+
+def test_penalty_of_the_query_acts(spark):
+    """Terms are found in the rows that it learns from; swapping them changes scores less."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = queries.training_labels(spark.read.parquet(f"{sf}/labels.parquet"))
+    texts = docs.join(labels.select("doc_id", "toxic").dropna(), "doc_id")
+    options = toxicity.Training()
+    table = toxicity.swap_table(toxicity.find_terms(texts, options))
+    assert len(table) >= 4
+    named = [r.text for r in texts.select("text").collect() if r.text]
+    pairs = [(i, t, s) for i, t in enumerate(named) if (s := toxicity.swap_terms(t, table))]
+    both = spark.createDataFrame(
+        [(i, k, t) for i, *pair in pairs for k, t in enumerate(pair)], "doc_id int, k int, text string")
+    change = {}
+    for penalty in (options.swap_penalty, 0.0):
+        chosen = toxicity.Training(swap_penalty=penalty)
+        weights = toxicity.train(docs, labels, chosen)
+        got = toxicity.score(both, weights, chosen).toPandas().pivot(index="doc_id", columns="k", values="toxicity")
+        logit = np.log(got / (1 - got))
+        change[penalty] = (logit[0] - logit[1]).abs().mean()
+    assert change[options.swap_penalty] < 0.6 * change[0.0], change
+
+
 def test_held_out_toxicity(spark):
     got = queries.op8_counterfactual(spark, "/root/testdata/sf0.1").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
