@@ -49,16 +49,18 @@ def item_alerts(
     score: float = DEFAULTS.alert_score,
     min_count: int = 1,
     top_n: int | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Rating-spike and trending alerts; a row that meets both rules gives two.
 
     All rows are checked unless ``top_n`` limits the check to the highest scores.
+    ``shuffled`` joins the titles without a broadcast (see ``with_title``).
     """
     if top_n:
         windows = top_trending(windows, top_n)
     spike = (F.col("avg_rating") >= rating) & (F.col("interaction_count") >= min_count)
     trend = F.col("trending_score") >= score
-    fired = with_title(windows.filter(spike | trend), items, "item_id")
+    fired = with_title(windows.filter(spike | trend), items, "item_id", shuffled=shuffled)
     title = F.col("title")
     rules = F.array(
         _alert(

@@ -37,7 +37,7 @@ def popular_items(
         .limit(n)
         .withColumn("rank", F.row_number().over(Window.orderBy(*best_first)))
     )
-    return with_title(top, items, "movie_id").select(
+    return with_title(top, items, "movie_id", shuffled=True).select(
         "rank",
         "movie_id",
         "title",

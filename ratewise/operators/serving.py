@@ -80,7 +80,7 @@ def titled_recommendations(recs: DataFrame, items: DataFrame) -> DataFrame:
     without a join to the items and without a regrouping.
     """
     rows = with_title(
-        recommendation_rows(recs), items, "movie_id", default=numbered_title("movie_id")
+        recommendation_rows(recs), items, "movie_id", default=numbered_title("movie_id"), shuffled=True
     )
     ordered = F.sort_array(F.collect_list(F.struct("rank", "movie_id", "title", "rating")))
     return rows.groupBy("user_id").agg(ordered.alias("ranked")).select(

@@ -19,14 +19,19 @@ def with_title(
     id_col: str,
     default: str | Column = UNKNOWN,
     max_len: int | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Add ``title`` by a left join; ``items`` must hold each id once.
 
     No hint: Spark broadcasts ``items`` only if its size is below
     ``spark.sql.autoBroadcastJoinThreshold`` and else joins by shuffle, where
-    AQE splits the partition of a hot item.
+    AQE splits the partition of a hot item. That size is the one of the files: titles
+    that compress well are many times as large in a broadcast, and every micro-batch
+    would send them through the driver again. ``shuffled`` never broadcasts.
     """
     lookup = items.select(F.col("movie_id").alias(id_col), "title")
+    if shuffled:
+        lookup = lookup.hint("merge")
     title = F.coalesce("title", default if isinstance(default, Column) else F.lit(default))
     if max_len:
         title = F.substring(title, 1, max_len)

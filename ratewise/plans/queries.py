@@ -53,7 +53,8 @@ QUERIES: dict[str, Query] = {}
 
 # The events cover a month, so windows of a week and a day hold enough rows.
 LENGTH, SLIDE = "7 days", "1 day"
-WEEKLY = replace(DEFAULTS, window=LENGTH, slide=SLIDE)
+STATE_PARTITIONS = 48
+WEEKLY = replace(DEFAULTS, window=LENGTH, slide=SLIDE, state_partitions=STATE_PARTITIONS)
 MIN_RATINGS = 80
 SLICES = 2
 
@@ -768,7 +769,9 @@ def _late_stream(spark: SparkSession, sf: str) -> tuple[str, int]:
         for part in (ratings.filter(~late), ratings.filter(late)):
             encode_events(part).write.mode("append").parquet(records)
             windows = win.item_windows(parse_events(read_records(spark, records)), *bounds)
-            started = start_query(windows, "late", "update", handler, checkpoint, {"availableNow": True})
+            started = start_query(
+                windows, "late", "update", handler, checkpoint, {"availableNow": True}, STATE_PARTITIONS
+            )
             run_until_stopped({"late": started})
             dropped += dropped_rows(started)
         _late[key] = (out.item_windows, dropped)

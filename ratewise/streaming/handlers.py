@@ -1,7 +1,10 @@
 """What happens with each micro-batch.
 
-A handler persists its batch, because every further action would run the
-stateful plan of the stream again.
+A window handler writes its batch at once and goes on from the files, because every
+further action on the batch would run the stateful plan of the stream again; even on a
+persisted batch each of its tasks would report the metrics of all state partitions to the
+driver, the square of their number for an action. The lookup of recommendations has no
+state, and persists its batch.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from ratewise.operators.serving import batch_users, check_users, serve
 from ratewise.operators.titles import with_title
 from ratewise.settings import DEFAULTS, Settings
 from ratewise.sinks import write_alert_log, write_alerts, write_batch, write_served
+from ratewise.streaming.manifests import remove_paths
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -42,6 +46,13 @@ def _flat(windows: DataFrame) -> DataFrame:
     )
 
 
+def _framed(flat: DataFrame) -> DataFrame:
+    """Window bounds as a struct again."""
+    bounds = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    others = [c for c in flat.columns if c not in ("window_start", "window_end")]
+    return flat.select(bounds.alias("window"), *others)
+
+
 Derive = Callable[[DataFrame], DataFrame]
 
 
@@ -54,17 +65,18 @@ def _window_handler(
     top_of: Derive,
 ) -> Handler:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch) as windows:
-            # A count fills the cache in one parallel job; isEmpty() would run
-            # the first state partition alone.
-            if not windows.count():
-                return
-            write_batch(_flat(windows), windows_path, batch_id)
-            with _kept(alerts_of(windows)) as alerts:
-                write_alerts(alerts, alerts_path, batch_id)
-                if log_path:
-                    write_alert_log(alerts, log_path, batch_id)
-            write_batch(_flat(top_of(windows)), top_path, batch_id)
+        flat = _flat(batch)
+        write_batch(flat, windows_path, batch_id)
+        written = f"{windows_path}/batch_id={batch_id}"
+        windows = _framed(batch.sparkSession.read.schema(flat.schema).parquet(written))
+        if windows.isEmpty():
+            remove_paths(batch.sparkSession, [written])
+            return
+        with _kept(alerts_of(windows)) as alerts:
+            write_alerts(alerts, alerts_path, batch_id)
+            if log_path:
+                write_alert_log(alerts, log_path, batch_id)
+        write_batch(_flat(top_of(windows)), top_path, batch_id)
 
     return handle
 
@@ -86,10 +98,11 @@ def item_handler(
         trending_path,
         log_path,
         lambda windows: item_alerts(
-            windows, items, settings.alert_rating, settings.alert_score, top_n=top_n
+            windows, items, settings.alert_rating, settings.alert_score, top_n=top_n, shuffled=True
         ),
         lambda windows: with_title(
-            top_trending(windows, settings.trending_n), items, "item_id", max_len=TITLE_WIDTH
+            top_trending(windows, settings.trending_n), items, "item_id", max_len=TITLE_WIDTH,
+            shuffled=True,
         ),
     )
 

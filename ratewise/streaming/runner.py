@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ratewise.operators.popularity import pinned_list
@@ -58,8 +59,30 @@ class Outputs:
         return f"{self.root}/recommendations"
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, most: int | None):
+    """A query that is started inside has at most that many state partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if most is None or int(before) <= most:
+        yield
+        return
+    # A query copies the session when it starts; one with a checkpoint keeps its number.
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_query(
-    df: DataFrame, name: str, mode: str, handler, checkpoint: str, trigger: Mapping[str, object]
+    df: DataFrame,
+    name: str,
+    mode: str,
+    handler,
+    checkpoint: str,
+    trigger: Mapping[str, object],
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start one query; its checkpoint is named after it."""
     # A query keeps the pool it is started in. Under the FAIR scheduler the
@@ -68,14 +91,15 @@ def start_query(
     pool = context.getLocalProperty("spark.scheduler.pool")
     context.setLocalProperty("spark.scheduler.pool", name)
     try:
-        return (
-            df.writeStream.queryName(name)
-            .outputMode(mode)
-            .foreachBatch(handler)
-            .option("checkpointLocation", f"{checkpoint}/{name}")
-            .trigger(**trigger)
-            .start()
-        )
+        with _state_partitions(df.sparkSession, state_partitions):
+            return (
+                df.writeStream.queryName(name)
+                .outputMode(mode)
+                .foreachBatch(handler)
+                .option("checkpointLocation", f"{checkpoint}/{name}")
+                .trigger(**trigger)
+                .start()
+            )
     finally:
         context.setLocalProperty("spark.scheduler.pool", pool)
 
@@ -126,7 +150,10 @@ def start_queries(
     started: dict[str, StreamingQuery] = {}
     try:
         for name, (df, mode, handler) in plans.items():
-            started[name] = start_query(df, f"{prefix}{name}", mode, handler, checkpoint, trigger)
+            started[name] = start_query(
+                df, f"{prefix}{name}", mode, handler, checkpoint, trigger,
+                settings.state_partitions if mode == "update" else None,
+            )
     except Exception:
         stop_all(started)
         raise

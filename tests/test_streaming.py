@@ -1,13 +1,17 @@
 import json
 import os
+from dataclasses import replace
 
 import pytest
+from plans_helper import plan_of
 from pyspark.sql import functions as F
 
 from ratewise.operators.alerts import first_alerts
+from ratewise.operators.popularity import popular_items
 from ratewise.operators.windows import item_windows, latest_version, user_windows
 from ratewise.settings import Settings
 from ratewise.sources import read_records, read_served
+from ratewise.streaming import handlers
 from ratewise.streaming import (
     Outputs,
     encode_events,
@@ -243,3 +247,62 @@ def test_one_failing_query_stops_the_others(spark, sides, tmp_path):
         run_until_stopped(queries)
     assert not any(q.isActive for q in queries.values())
     stop_all(queries)
+
+
+def test_windows_are_derived_from_the_written_batch_without_a_broadcast(
+    spark, sides, tmp_path, monkeypatch
+):
+    """Tasks over a stateful batch, persisted or not, report on all state partitions."""
+    plans = []
+
+    def seen(name):
+        original = getattr(handlers, name)
+
+        def derive(windows, *args, **options):
+            out = original(windows, *args, **options)
+            plans.append((plan_of(windows), plan_of(out)))
+            return out
+
+        monkeypatch.setattr(handlers, name, derive)
+
+    for name in ("item_alerts", "top_trending", "with_title"):
+        seen(name)
+    write_file(spark, f"{tmp_path}/in", [event(1, 1, 5.0, s) for s in range(8)], 0)
+    items = f"{tmp_path}/items"
+    sides[1].write.parquet(items)
+    out = run_once(
+        spark, f"{tmp_path}/in", (sides[0], spark.read.parquet(items), sides[2]), str(tmp_path)
+    )
+    assert len(plans) >= 3
+    for source, derived in plans:
+        assert "StateStore" not in source and "InMemoryTableScan" not in source
+        assert "BroadcastHashJoin" not in derived
+    # A micro-batch without updates, after the last one with rows, leaves no directory.
+    for path in (out.item_windows, out.item_alerts, out.trending):
+        assert [d for d in os.listdir(path) if d.startswith("batch_id")] == ["batch_id=0"]
+
+
+def test_state_partitions_are_those_of_the_settings(spark, sides, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    write_file(spark, f"{tmp_path}/in", [event(1, i, 5.0, i) for i in range(1, 9)], 0)
+    run_once(
+        spark, f"{tmp_path}/in", sides, str(tmp_path),
+        settings=replace(SETTINGS, state_partitions=2),
+    )
+    for name in ("item_windows", "user_windows"):
+        parts = os.listdir(f"{tmp_path}/checkpoint/{name}/state/0")
+        assert sorted(p for p in parts if p.isdigit()) == ["0", "1"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_popular_titles_are_not_broadcast(spark, tmp_path):
+    spark.range(50).selectExpr(
+        "cast(id as int) movie_id", "cast(id as string) title", "'' genres"
+    ).write.parquet(f"{tmp_path}/items")
+    items = spark.read.parquet(f"{tmp_path}/items")
+    ratings = spark.range(90).selectExpr("cast(id % 9 as int) movie_id", "4.0 rating")
+    top = popular_items(ratings, items, 3, 1)
+    assert "BroadcastHashJoin" not in plan_of(top)
+    assert [(r["movie_id"], r["title"]) for r in top.orderBy("rank").collect()] == [
+        (0, "0"), (1, "1"), (2, "2")
+    ]
