@@ -4,9 +4,11 @@ import collections
 import gzip
 import hashlib
 import re
+import unicodedata
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -443,6 +445,42 @@ def test_kneser_ney_adds_up_and_backs_off():
     assert p.reshape(-1, 32).sum(axis=1) == pytest.approx(np.ones(32**3), abs=1e-4)
 
 
+def test_every_letter_has_its_own_symbol():
+    letters = [chr(c) for c in range(0x250, 0x3000) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    letters = [c for c in [*letters, *"æøßđłœþħ", *"漢字語中"] if not "a" <= unicodedata.normalize("NFD", c)[0] <= "z"]
+    assert len({perplexity.symbol_of(ord(c)) for c in letters}) == len(set(letters))
+
+
+def test_models_by_joins_equal_those_in_arrays(spark):
+    rng = np.random.default_rng(3)
+    gram = np.unique(rng.integers(0, 32**4, 4000) % 9000)
+    n = rng.geometric(0.4, len(gram))
+    counts = spark.createDataFrame(
+        pd.DataFrame({"model": "m", "gram": gram, "n": n}), "model string, gram bigint, n bigint"
+    )
+    whole = perplexity.own_models(perplexity.widened(counts))
+    assert whole.count() == len(gram)
+    got = {r.hash: r.value for r in perplexity.narrowed(whole).collect()}
+    want = {r.hash: r.value for r in perplexity.train(counts).filter("kind = 4").collect()}
+    assert got.keys() == want.keys()
+    assert [got[h] for h in want] == pytest.approx(list(want.values()), abs=1e-5)
+
+
+def test_letters_that_shared_a_symbol_are_told_apart(spark):
+    """Perplexity by hand: order-1 counts decide between texts of two letters each."""
+    pairs = collections.defaultdict(list)
+    for code in range(0x4E00, 0x4E80):
+        plain = np.array([code + 0x250], np.uint64)
+        pairs[int(perplexity.finish(plain)[0] % np.uint64(26))].append(chr(code))
+    one, other = next(p for p in pairs.values() if len(p) > 1)[:2]
+    rows = [(i, one * 40, "zh") for i in range(30)] + [(30, other * 40, "zh"), (31, (one + other) * 20, "zh")]
+    rows += [(32, one * 40, "zh"), (33, "abc " * 30, "zh"), (34, None, "zh"), (35, one * 40, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r.doc_id: r.log_perplexity for r in perplexity.assess(docs).collect()}
+    assert len(got) == 36 and got[34] is None
+    assert got[0] == got[32] < min(got[30], got[31])
+
+
 def test_grams_don_t_cross_texts():
     both, bounds = perplexity.grams(["abc", "", "de"])
     assert bounds.tolist() == [0, 3, 3, 5]
