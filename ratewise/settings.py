@@ -32,13 +32,12 @@ class Settings:
     trigger: str = "10 seconds"
     latency_target_ms: float = 5000
 
-    # Ours: how many fits of the tuning run beside each other; the most state partitions of
+    # Ours: the most state partitions of
     # a new window query (None: as many as the session shuffles into), as each task of a
     # stateful stage reports on all of them and the driver gets their square; what a
     # micro-batch may broadcast, how many ids it names to the Parquet
     # reader, how many directories the recommendation table is laid out in, and the
     # size of the row groups that such a reader can leave out.
-    fits_at_once: int = 3
     state_partitions: int | None = None
     max_broadcast_users: int = 100_000
     max_pushed_users: int = 1_000
