@@ -451,6 +451,16 @@ def test_every_letter_has_its_own_symbol():
     assert len({perplexity.symbol_of(ord(c)) for c in letters}) == len(set(letters))
 
 
+def test_the_pattern_of_own_letters_is_cheap_and_finds_just_them(spark):
+    # A class is tried part by part for each character, so letters listed singly cost most of the query.
+    pattern = perplexity.own_letters()
+    assert pattern.startswith(r"[\x{80}-\x{10FFFF}&&") and pattern.count("x{") < 100
+    codes = [*range(1, 0xD800, 7), *range(1, 0x300), 0xFFFD, 0x10000, 0x1F600, 0x10FFFF]
+    rows = spark.createDataFrame([(c, f"a{chr(c)}z") for c in codes], "code int, text string")
+    got = {r.code for r in rows.filter(F.col("text").rlike(pattern)).collect()}
+    assert got == {c for c in codes if c >= 0x250 or perplexity.symbol_of(c) >= perplexity.SYMBOLS}
+
+
 def test_models_by_joins_equal_those_in_arrays(spark):
     rng = np.random.default_rng(3)
     gram = np.unique(rng.integers(0, 32**4, 4000) % 9000)
