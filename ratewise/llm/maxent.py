@@ -173,13 +173,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _class_scores(model: Model, rows: list[np.ndarray]) -> np.ndarray:
-    z = model.bias + model.weights[rows[0]]
+    z = model.bias + model.weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        z += model.weights[r]
+        z += model.weights.take(r, axis=0)
     return z
 
 
-def log10_scores(model: Model, t: Tokens, counts: np.ndarray, step: int = 16384) -> np.ndarray:
+def log10_scores(model: Model, t: Tokens, counts: np.ndarray, step: int = 2048) -> np.ndarray:
     """Log10 probability of each token, given the training counts of the tail tokens."""
     rank, rows = model.ranks(t.hashes), _rows(t, model.shape)
     cls = model.classes(t, rank)
@@ -202,14 +202,34 @@ def log10_scores(model: Model, t: Tokens, counts: np.ndarray, step: int = 16384)
 
 def _add(table: np.ndarray, rows: list[np.ndarray], steps: np.ndarray, seen: np.ndarray) -> None:
     """Take a batch's steps off the rows of its features, and count their tokens."""
-    width = table.shape[1]
-    at, place = np.unique(np.concatenate(rows), return_inverse=True)
-    cells = (place[:, None] * width + np.arange(width)).ravel()
-    total = np.bincount(cells, np.tile(steps.ravel(), len(rows)), len(at) * width)
-    times = np.bincount(place)
+    every = np.concatenate(rows)
+    if len(table) <= 1 << 16:
+        every = every.astype(np.uint16)  # sorted by counting
+    order = np.argsort(every, kind="stable")
+    place = every[order]
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    times = np.diff(np.append(first, len(place)))
+    often = np.argsort(-times, kind="stable")
+    first, times = first[often], times[often]
+    at, which = place[first].astype(np.int64), order % len(steps)
+    steps = steps.astype(np.float64)
+    total = steps.take(which[first], axis=0)
+    # The k-th steps of all rows that have so many at once; those of the few with more by row.
+    more = np.searchsorted(-times, -np.arange(times[0] + 1))  # rows with more than k steps
+    k = 1
+    while more[k] > 24:
+        total[: more[k]] += steps.take(which[first[: more[k]] + k], axis=0)
+        k += 1
+    for i in range(more[k]):
+        total[i] += steps[which[first[i] + k : first[i] + times[i]]].sum(axis=0)
     seen[at] += times
     # AdaGrad's shape without its table: steps shrink with what a row has seen.
-    table[at] -= total.reshape(-1, width) / np.sqrt(times * seen[at])[:, None]
+    shrunk = np.sqrt(times * seen[at])[:, None]
+    for a in range(0, len(at), 512):
+        part = slice(a, a + 512)
+        kept = table.take(at[part], axis=0).astype(np.float64)
+        kept -= total[part] / shrunk[part]
+        table[at[part]] = kept
 
 
 def learn(model: Model, texts: list[bytes], seen: np.ndarray, slot_seen: np.ndarray) -> None:
