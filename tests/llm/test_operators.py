@@ -4,13 +4,13 @@ import collections
 import gzip
 import hashlib
 import re
+import time
 import unicodedata
 import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
-import time
 import xxhash
 from pyspark.sql import functions as F
 
