@@ -74,18 +74,18 @@ def _agreeing(rest: Column, constants: Column) -> Column:
 
 
 def _one_vote(members: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """(line_hash, general) of the lines that follow the one template of their leaf."""
+    """(line_hash, n_docs, general) of the lines that follow the one template of their leaf."""
     rest = F.slice("tokens", depth + 1, 2**30)
     fitted = members.join(leaf_templates(members, depth), "leaf")
     return fitted.filter(
         _agreeing(rest, F.col("constants")) >= similarity * (F.size("tokens") - depth)
-    ).select("line_hash", F.xxhash64("leaf", F.col("constants.token")).alias("general"))
+    ).select("line_hash", "n_docs", F.xxhash64("leaf", F.col("constants.token")).alias("general"))
 
 
 def _votes_in_rounds(
     members: DataFrame, depth: int, similarity: float, min_docs: int
 ) -> DataFrame:
-    """(line_hash, general) of the lines that follow a template of a group of their leaf.
+    """(line_hash, n_docs, general) of the lines that follow a template of a group of their leaf.
 
     Each round settles a group, takes the followers of its template out of it
     or splits it at one place: one group for each token of at least ``min_docs``
@@ -105,35 +105,45 @@ def _votes_in_rounds(
     active = members.select(F.col("leaf").alias("grp"), "line_hash", rest, "n_docs")
     found = []
     while True:
+        # A token of fewer documents is no majority of min_docs, and splits no group.
         votes = written(
             active.select("grp", "n_docs", F.posexplode("rest").alias("place", "token"))
             .groupBy("grp", "place", "token")
-            .agg(F.sum("n_docs").alias("n")),
+            .agg(F.sum("n_docs").alias("n"))
+            .filter(F.col("n") * 2 > min_docs),
             "line-votes",
         )
-        best = votes.groupBy("grp", "place").agg(
-            F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("total")
+        tops = (
+            votes.groupBy("grp", "place")
+            .agg(F.max(F.struct("n", "token")).alias("top"))
+            .groupBy("grp")
+            .agg(F.collect_list(F.struct("place", "top.n", "top.token")).alias("tops"))
         )
-        n = F.col("top.n")
-        constant = F.struct("place", F.when(n * 2 > F.col("total"), F.col("top.token")).alias("token"))
-        split = F.when(
-            (n * 2 <= F.col("total")) & (n >= min_docs), F.struct(n, (-F.col("place")).alias("at"))
+        # Lines of a group have equally many places, so each place has all documents.
+        whole = active.groupBy("grp").agg(
+            F.sum("n_docs").alias("total"), F.first(F.size("rest")).alias("width")
         )
-        groups = (
-            best.groupBy("grp")
-            .agg(
-                F.max("total").alias("total"),
-                F.sort_array(F.collect_list(constant)).alias("constants"),
-                (-F.max(split)["at"]).alias("place"),
-                F.count_if(n * 2 > min_docs).alias("shared"),
-            )
-            .filter(
-                (F.col("total") >= min_docs)
-                & (F.col("shared") >= similarity * F.size("constants"))
-            )
-            .drop("shared")
+        total = F.col("total")
+        splits = F.filter("tops", lambda t: (t["n"] * 2 <= total) & (t["n"] >= min_docs))
+        best = F.array_max(F.transform(splits, lambda t: F.struct(t["n"], (-t["place"]).alias("at"))))
+        groups = written(
+            whole.filter(total >= min_docs)
+            .join(tops, "grp", "left")
+            .filter(F.coalesce(F.size("tops"), F.lit(0)) >= similarity * F.col("width"))
+            .select(
+                "grp",
+                "total",
+                F.sort_array(F.filter("tops", lambda t: t["n"] * 2 > total)).alias("constants"),
+                (-best["at"]).alias("place"),
+            ),
+            "line-votes-by-group",
+        )
+        if groups.isEmpty():
+            break
+        same = F.size(
+            F.filter("constants", lambda c: F.get(F.col("rest"), c["place"]) == c["token"])
         )
-        agrees = _agreeing(F.col("rest"), F.col("constants")) >= similarity * F.size("rest")
+        agrees = F.coalesce(same, F.lit(0)) >= similarity * F.size("rest")
         fitted = written(
             active.join(groups, "grp").select(
                 "grp", "line_hash", "rest", "n_docs", "total", "place", agrees.alias("follows"),
@@ -141,8 +151,6 @@ def _votes_in_rounds(
             ),
             "fitted-lines",
         )
-        if fitted.isEmpty():
-            break
         # A template is taken if it recurs and has a fair part of its group, or nothing splits it.
         following = fitted.groupBy("grp").agg(
             F.sum(F.when(F.col("follows"), F.col("n_docs"))).alias("n"),
@@ -161,7 +169,8 @@ def _votes_in_rounds(
         decided = fitted.drop("place", "total").join(verdict, "grp")
         found.append(
             written(
-                decided.filter("taken AND follows").select("line_hash", "general"), "followers"
+                decided.filter("taken AND follows").select("line_hash", "n_docs", "general"),
+                "followers",
             )
         )
         others = decided.filter("taken AND NOT follows").select(
@@ -180,7 +189,7 @@ def _votes_in_rounds(
         )
         active = written(others.union(parts), "line-groups")
     if not found:
-        return spark.createDataFrame([], "line_hash bigint, general bigint")
+        return spark.createDataFrame([], "line_hash bigint, n_docs bigint, general bigint")
     return reduce(DataFrame.union, found)
 
 
@@ -239,20 +248,31 @@ def recurring_lines(
         else _one_vote(members, depth, similarity)
     )
 
-    template = F.coalesce("general", "line_hash")
-    path = scratch_path(spark, "line-templates")
-    named = distinct.select("line_hash", "n_docs").join(following, "line_hash", "left")
-    named = named.withColumn("template", template)
+    # A line that follows none is its own template, so it recurs by its own documents.
+    own = distinct.filter(F.col("n_docs") >= min_docs).select("line_hash", "n_docs")
+    own = own.join(following, "line_hash", "left_anti").withColumn("template", F.col("line_hash"))
+    path = scratch_path(spark, "named-lines")
+    following.withColumnRenamed("general", "template").union(own).write.parquet(path)
+    named = spark.read.parquet(path)
     # The sum is an upper bound of the template's documents; the rest can't recur.
     possible = (
         named.groupBy("template").agg(F.sum("n_docs").alias("n")).filter(F.col("n") >= min_docs)
     )
+    path = scratch_path(spark, "line-templates")
     named.join(possible.select("template"), "template").select(
         "line_hash", "template"
     ).write.parquet(path)
-    placed = lines.select("doc_id", "text_hash", "line_no", "line_hash").join(
-        spark.read.parquet(path), "line_hash"
+    wanted = spark.read.parquet(path)
+    maybe = fingerprint_filter(wanted.select(F.col("line_hash").alias("fp")))
+    path = scratch_path(spark, "placed-lines")
+    (
+        lines.select("doc_id", "text_hash", "line_no", "line_hash")
+        .filter(maybe(F.col("line_hash")))
+        .join(wanted, "line_hash")
+        .drop("line_hash")
+        .write.parquet(path)
     )
+    placed = spark.read.parquet(path)
     where = F.struct("doc_id", "text_hash", "line_no")
     per_doc = placed.groupBy("template", "doc_id", "text_hash").agg(F.min("line_no").alias("line_no"))
     recurring = (

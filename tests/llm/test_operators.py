@@ -311,6 +311,25 @@ def test_registered_templates_against_brute_force(spark):
         assert (r.n_dropped, r.kept_sha256) == (dropped, digest), r.doc_id
 
 
+def test_votes_and_lines_that_cannot_recur_are_not_moved(spark, monkeypatch):
+    paths = collections.defaultdict(list)
+
+    def noted(session, name):
+        paths[name].append(scratch_path(session, name))
+        return paths[name][-1]
+
+    monkeypatch.setattr(templates, "scratch_path", noted)
+    rows = [(i, f"Here of w{chr(97 + i)} cats sat down by the old door\nown {chr(97 + i)}x line\nall have this")
+            for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id: r.text for r in templates.drop_recurring(docs).collect()}
+    assert kept == {i: t if i == 0 else t.split("\n")[1] for i, t in rows}
+    votes = spark.read.parquet(*paths["line-votes"]).filter("n * 2 <= 5")
+    assert votes.count() == 0
+    # The eight lines of the template, and the one that all documents have.
+    assert spark.read.parquet(*paths["named-lines"]).count() == 9
+
+
 def test_few_documents_keep_their_lines(spark):
     docs = spark.createDataFrame([(i, "a line that is shared\nb") for i in range(4)], "doc_id bigint, text string")
     assert {r.text for r in templates.drop_recurring(docs).collect()} == {"a line that is shared\nb"}
