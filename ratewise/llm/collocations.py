@@ -42,6 +42,10 @@ SHARD = 1 << 19
 SIEVE_BITS = 1 << 28
 #: Positions whose sums meet in one task at most.
 SUMMED = 1 << 20
+#: Keys of candidates that tasks are told not to give again, at most (8 MB).
+KNOWN = 1 << 20
+#: One in so many blocks gives its candidates before the others.
+_WAVES = 8
 _BLOCK_BYTES = 1 << 20
 _SLICE = 1 << 16
 _WINDOW = 256
@@ -469,11 +473,26 @@ def _upper_bounds(
     return summed(blocks, of_block, bits, positions, least)
 
 
-def _candidates(
-    blocks: DataFrame, words: int, parts: Broadcast | None, bounds: DataFrame, bits: int
+def _known(candidates: DataFrame, most: int) -> Broadcast:
+    """Keys of candidates (key) in order, ``most`` of them at most."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = batch.column("key").to_numpy().tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["keys"])
+
+    few = candidates.select("key").distinct().limit(most).mapInArrow(pack, "keys binary")
+    found = [np.frombuffer(row["keys"], np.uint64) for row in few.collect()]
+    keys = np.sort(np.concatenate([np.empty(0, np.uint64), *found]))
+    return candidates.sparkSession.sparkContext.broadcast(keys)
+
+
+def _given(
+    blocks: DataFrame, words: int, parts: Broadcast | None, held: Broadcast, bits: int,
+    known: Broadcast | None = None,
 ) -> DataFrame:
-    """(key, label, phrase): the phrases that may be within the ``bounds`` (key)."""
-    shift, held = np.uint64(64 - bits), sieve_of(bounds)
+    """(key, label, phrase) of phrases whose bounds are ``held``, but for the ``known``."""
+    shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = np.empty(0, np.uint64)  # what the task has given already
@@ -482,12 +501,31 @@ def _candidates(
             likely = held.value.has(key >> shift)
             key, first = np.unique(key[likely], return_index=True)
             new = ~np.isin(key, met, assume_unique=True)
+            if known is not None and len(known.value):
+                place = np.minimum(np.searchsorted(known.value, key), len(known.value) - 1)
+                new &= known.value[place] != key
             met = np.append(met if len(met) < SUMMED else met[:0], key[new])
             columns = [pa.array(key[new].view(np.int64))]
             columns += block.phrases(at[likely][first[new]], words)
             yield pa.RecordBatch.from_arrays(columns, ["key", "label", "phrase"])
 
-    return blocks.mapInArrow(run, "key bigint, label string, phrase string").distinct()
+    return blocks.mapInArrow(run, "key bigint, label string, phrase string")
+
+
+def _candidates(
+    blocks: DataFrame, words: int, parts: Broadcast | None, bounds: DataFrame, bits: int
+) -> DataFrame:
+    """(key, label, phrase): the phrases that may be within the ``bounds`` (key).
+
+    Some of the blocks go first; tasks of the others leave out what these have given. That
+    list is bounded, and what it doesn't hold is given again, which costs rows only.
+    """
+    held = sieve_of(bounds)
+    early = F.pmod(F.xxhash64("fresh", "hash"), F.lit(_WAVES)) == 0
+    first = _given(blocks.filter(early), words, parts, held, bits)
+    first = _written(first, f"phrase-early-{words}")
+    rest = _given(blocks.filter(~early), words, parts, held, bits, _known(first, KNOWN))
+    return first.union(rest).distinct()
 
 
 def _trie_of(candidates: DataFrame, words: int) -> Trie | None:

@@ -339,3 +339,24 @@ def test_collocations_of_odd_rows(spark, odd, none):
     rows = [(r.lang, r.text) for r in odd.collect()]
     assert {tuple(r) for r in got} == brute_collocations(rows)
     assert collocations.collocations(none).count() == 0
+
+
+def test_candidates_of_the_first_blocks_are_not_given_again(spark, monkeypatch):
+    rows = [(f"one two three four five {'ab'[i % 2]} x{i} .", "en") for i in range(200)]
+    texts = spark.createDataFrame(rows, "text string, label string")
+    blocks = collocations._text_blocks(texts.select("label", "text"))
+    bounds = collocations._upper_bounds(blocks, 2, None, 20, 1400, 10)
+    held = collocations.sieve_of(bounds)
+    every = collocations._given(blocks, 2, None, held, 20)
+    keys = {r.key for r in every.collect()}
+    assert len(keys) == 6
+    assert collocations._given(blocks, 2, None, held, 20, collocations._known(every, 100)).isEmpty()
+    few = collocations._known(every, 2)
+    again = {r.key for r in collocations._given(blocks, 2, None, held, 20, few).collect()}
+    assert len(again) == 4 and again < keys
+    # A list that is too short costs rows, never a phrase.
+    monkeypatch.setattr(collocations, "_BLOCK_BYTES", 200)
+    want = sorted(map(tuple, collocations.collocations(texts, "label", "text").collect()))
+    monkeypatch.setattr(collocations, "KNOWN", 2)
+    monkeypatch.setattr(collocations, "_WAVES", 3)
+    assert sorted(map(tuple, collocations.collocations(texts, "label", "text").collect())) == want != []
