@@ -1,7 +1,7 @@
 """Phrase collocations: frequent word sequences and how much they exceed chance.
 
 The texts are read once, into blocks that hold their distinct words and, for each
-position, the number of its word. Phrases then grow level by level. A phrase is a
+position, the number of its word; what depends on a word alone is worked out once for each. Phrases then grow level by level. A phrase is a
 candidate only if both its parts without the last and without the first word are
 frequent, and if an upper bound of its own count reaches the minimum: the hashes of such
 phrases, cut to a few more bits than there are words, are summed over all blocks, and
@@ -50,9 +50,10 @@ _BLOCK_BYTES = 1 << 20
 _SLICE = 1 << 16
 _WINDOW = 256
 
-_BREAKS, _GAPS = np.zeros(256, bool), np.zeros(256, bool)
+_BREAKS = np.zeros(256, bool)
 _BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
-_GAPS[list(b" \t")] = True
+_INSIDE = ~_BREAKS
+_INSIDE[list(b" \t")] = False
 
 
 @dataclass
@@ -72,10 +73,19 @@ class Block:
         last = max(len(self.piece) - n + 1, 0)
         return np.flatnonzero(self.piece[:last] == self.piece[n - 1 :][:last])
 
-    def keys(self, n: int) -> np.ndarray:
-        """By position: hash of label and the n words from there, across pieces too."""
-        runs = _HASH.runs(self.word_hash[self.code], n)
-        return finish(runs ^ self.label_hash[self.code[: len(runs)]])
+    def keys(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Hash of label and the n words from some positions on, across pieces too."""
+        return self._keys([self.code[at + k] for k in range(n)])
+
+    def word_keys(self) -> np.ndarray:
+        """By distinct labelled word: what ``keys`` gives where it is."""
+        return self._keys([np.arange(len(self.word_hash))])
+
+    def _keys(self, words: list[np.ndarray]) -> np.ndarray:
+        total = np.zeros(len(words[0]), np.uint64)
+        for code, p in zip(words, _HASH.power(len(words)), strict=True):
+            total += self.word_hash[code] * p
+        return finish(finish(total) ^ self.label_hash[words[0]])
 
     def phrases(self, at: np.ndarray, n: int) -> list[pa.Array]:
         """Labels and words, parted by blanks, of the phrases from some positions on."""
@@ -85,6 +95,13 @@ class Block:
         return [label, joined]
 
 
+def first_places(code: np.ndarray) -> np.ndarray:
+    """Where each of the numbers from 0 on, none left out, is first."""
+    place = np.empty(int(code.max()) + 1 if len(code) else 0, np.int64)
+    place[code[::-1]] = np.arange(len(code))[::-1]
+    return place
+
+
 def label_hashes(labels: list[str]) -> np.ndarray:
     """Hash of each label; it ends in a byte that no word has."""
 
@@ -101,21 +118,20 @@ def block_of_texts(texts: list[bytes], labels: list[str]) -> Block:
     """The lower-cased words of the texts."""
     whole = np.frombuffer(b"\n".join(t.lower() for t in texts), np.uint8)
     breaks = _BREAKS[whole]
-    inside = ~(_GAPS[whole] | breaks)
-    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    length = ends - starts
+    inside = np.zeros(len(whole) + 2, bool)
+    inside[1:-1] = _INSIDE[whole]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, length = edges[::2], edges[1::2] - edges[::2]
     first = np.cumsum(length) - length
-    data = whole[inside]
-    at = (np.arange(len(data)) - np.repeat(first, length)).astype(np.int32)
+    data = whole[inside[1:-1]]
+    at = np.arange(len(data), dtype=np.int32) - np.repeat(first.astype(np.int32), length)
     hashes = _HASH.of(data, at, first, length)
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
     every, of_text = np.unique(np.array(labels, object), return_inverse=True)
     label = np.repeat(of_text, np.diff(np.searchsorted(starts, bounds))).astype(np.int32)
     label_hash = label_hashes(every.tolist())
-    _, place, code = np.unique(
-        finish(hashes ^ label_hash[label]), return_index=True, return_inverse=True
-    )
+    code = pa.array(hashes ^ label_hash[label]).dictionary_encode().indices.to_numpy()
+    place = first_places(code)
     offsets = np.append(first, len(data)).astype(np.int32)
     words = pa.BinaryArray.from_buffers(
         pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
@@ -126,14 +142,15 @@ def block_of_texts(texts: list[bytes], labels: list[str]) -> Block:
         words.take(pa.array(place)).cast(pa.string()),
         label_hash[label[place]],
         hashes[place],
-        code.astype(np.int32),
+        code,
         np.cumsum(breaks, dtype=np.int32)[starts],
     )
 
 
-#: A block as a row; all but the words themselves are the bytes of arrays.
+#: A block as a row; all but the labels are the bytes of arrays, of the words those of
+#: their texts, one after the other, and where each begins and the last one ends.
 _BLOCKS = (
-    "labels array<string>, label_n array<bigint>, word array<string>, "
+    "labels array<string>, label_n array<bigint>, word binary, word_at binary, "
     "label binary, hash binary, code binary, fresh binary"
 )
 
@@ -150,10 +167,10 @@ def _text_blocks(texts: DataFrame) -> DataFrame:
                 block = block_of_texts(found[a:b], labels[a:b])
                 n = np.bincount(block.label[block.code], minlength=len(block.labels))
                 fresh = np.packbits(np.diff(block.piece, prepend=-1) != 0)
-                row = [[block.labels], [n.tolist()]]
-                row.append(pa.ListArray.from_arrays([0, len(block.word)], block.word))
+                words = [b.to_pybytes() if b else b"" for b in block.word.buffers()[:0:-1]]
+                row = [[block.labels], [n.tolist()], *([x] for x in words)]
                 row += [[x.tobytes()] for x in (block.label, block.word_hash, block.code, fresh)]
-                names = ["labels", "label_n", "word", "label", "hash", "code", "fresh"]
+                names = ["labels", "label_n", "word", "word_at", "label", "hash", "code", "fresh"]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names)
 
     return texts.mapInArrow(run, _BLOCKS)
@@ -166,15 +183,19 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         return np.frombuffer(value.as_buffer(), kind)
 
     for batch in batches:
-        texts = batch.column("word") if "word" in batch.schema.names else None
+        with_words = "word" in batch.schema.names
         for i in range(batch.num_rows):
             label, code = (array(batch.column(c)[i], np.int32) for c in ("label", "code"))
             if not len(code):
                 continue
             labels = batch.column("labels")[i].as_py()
             piece = np.unpackbits(array(batch.column("fresh")[i], np.uint8), count=len(code))
+            words = None
+            if with_words:
+                buffers = [batch.column(c)[i].as_buffer() for c in ("word_at", "word")]
+                words = pa.StringArray.from_buffers(len(label), *buffers)
             yield Block(
-                labels, label, texts[i].values if texts is not None else None,
+                labels, label, words,
                 label_hashes(labels)[label], array(batch.column("hash")[i], np.uint64),
                 code, np.cumsum(piece, dtype=np.int32),
             )
@@ -263,19 +284,22 @@ class Sieve:
         """Bits for that many keys: 32 or more each, up to the bound."""
         return min(max(1 << (32 * keys).bit_length(), 1 << 16), SIEVE_BITS)
 
-    def _places(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for h in (finish(keys), finish(keys + np.uint64(1))):
-            at = h >> self.shift
-            bit = np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
-            yield (at >> np.uint64(3)).astype(np.int64), bit
+    def _places(self, keys: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+        at = finish(keys + np.uint64(which)) >> self.shift
+        bit = np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+        return (at >> np.uint64(3)).astype(np.int64), bit
 
     def add(self, keys: np.ndarray) -> None:
-        for byte, bit in self._places(keys):
-            np.bitwise_or.at(self.bits, byte, bit)
+        for which in (0, 1):
+            np.bitwise_or.at(self.bits, *self._places(keys, which))
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        first, second = ((self.bits[byte] & bit) != 0 for byte, bit in self._places(keys))
-        return first & second
+        byte, bit = self._places(keys, 0)
+        found = (self.bits[byte] & bit) != 0
+        likely = np.flatnonzero(found)  # only these need the second bit
+        byte, bit = self._places(keys[likely], 1)
+        found[likely] = (self.bits[byte] & bit) != 0
+        return found
 
 
 def sieve_of(keys: DataFrame) -> Broadcast:
@@ -345,13 +369,14 @@ class Trie:
     def accepted(self, block: Block, words: int) -> np.ndarray:
         """How often each sequence of a label and ``words`` words occurs in a block."""
         at = block.starts(words)
-        code = self.codes(block.word_hash)[block.code]
-        label = self.codes(block.label_hash)[block.code[at]]
-        state = self.step(np.zeros(len(at), np.int32), label)
-        for k in range(words):
+        code = self.codes(block.word_hash)
+        label = self.codes(label_hashes(block.labels))[block.label]
+        # The label and the first word lead each distinct labelled word to one state.
+        state = self.step(self.step(np.zeros(len(label), np.int32), label), code)[block.code[at]]
+        for k in range(1, words):
             alive = state >= 0
             state, at = state[alive], at[alive]
-            state = self.step(state, code[at + k])
+            state = self.step(state, code[block.code[at + k]])
         return np.bincount(self.key[state[state >= 0]], minlength=self.n)
 
 
@@ -443,21 +468,25 @@ def _phrase_keys(phrases: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column("phrase"))
             block = block_of_texts(texts, batch.column("label").to_pylist())
-            key = block.keys(words)[block.starts(words)]
+            key = block.keys(block.starts(words), words)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
     return phrases.select("label", "phrase").mapInArrow(run, "key bigint")
 
 
-def _safe(
-    block: Block, words: int, parts: Broadcast | None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of phrases whose two longest parts may be frequent, and their keys."""
+def _safe(block: Block, words: int, parts: Broadcast | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of phrases whose two longest parts may be frequent, and their keys. Of a
+    single word that a label has, only the first."""
+    if words == 1:
+        return first_places(block.code), block.word_keys()
     at = block.starts(words)
-    if parts is not None:
-        ok = parts.value.has(block.keys(words - 1))
+    if parts is not None and words == 2:
+        ok = parts.value.has(block.word_keys())[block.code]
         at = at[ok[at] & ok[at + 1]]
-    return at, block.keys(words)[at] if len(at) else np.empty(0, np.uint64)
+    elif parts is not None:
+        for k in (0, 1):
+            at = at[parts.value.has(block.keys(at + k, words - 1))]
+    return at, block.keys(at, words)
 
 
 def _upper_bounds(
@@ -468,6 +497,9 @@ def _upper_bounds(
 
     def of_block(block: Block) -> tuple[np.ndarray, np.ndarray]:
         _, key = _safe(block, words, parts)
+        if words == 1:
+            order = np.argsort(key)
+            return key[order] >> shift, np.bincount(block.code)[order]
         return np.unique(key >> shift, return_counts=True)
 
     return summed(blocks, of_block, bits, positions, least)

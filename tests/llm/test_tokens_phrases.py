@@ -341,6 +341,24 @@ def test_collocations_of_odd_rows(spark, odd, none):
     assert collocations.collocations(none).count() == 0
 
 
+def test_each_word_of_a_block_is_hashed_once(spark):
+    texts, labels = [b"a b a, b a", b"", b"a c"], ["en", "en", "de"]
+    block = collocations.block_of_texts(texts, labels)
+    at, keys = collocations._safe(block, 1, None)
+    assert at.tolist() == [0, 1, 5, 6] and len(set(keys.tolist())) == 4
+    assert (keys[block.code] == block.keys(np.arange(7), 1)).all()
+    assert (collocations._safe(block, 2, None)[0] == [0, 1, 3, 5]).all()
+    rows = np.column_stack([block.label_hash, block.word_hash])
+    assert collocations.build_trie(rows).accepted(block, 1).tolist() == [3, 2, 1, 1]
+    # A block's words come back from a row as they were; a block of no words is none.
+    docs = spark.createDataFrame([("é a é", "x"), ("", "y")], "text string, label string").coalesce(1)
+    rows = collocations._text_blocks(docs).toArrow()
+    (again,) = collocations._read(rows.to_batches())
+    assert again.word.to_pylist() == ["é", "a"] and again.code.tolist() == [0, 1, 0]
+    nothing = collocations._text_blocks(docs.filter("text = ''")).toArrow()
+    assert list(collocations._read(nothing.to_batches())) == []
+
+
 def test_candidates_of_the_first_blocks_are_not_given_again(spark, monkeypatch):
     rows = [(f"one two three four five {'ab'[i % 2]} x{i} .", "en") for i in range(200)]
     texts = spark.createDataFrame(rows, "text string, label string")
