@@ -540,6 +540,55 @@ def test_letters_that_shared_a_symbol_are_told_apart(spark):
     assert got[0] == got[32] < min(got[30], got[31])
 
 
+def test_no_character_shares_a_symbol():
+    """Neither case, accents, digits, marks nor blanks are folded."""
+    codes = [*range(0x250), 0x3000, 0x4E00, 0x1F600, 0x10FFFF]
+    assert len({perplexity.symbol_of(c) for c in codes}) == len(codes)
+    got = perplexity.symbols(np.array(codes, np.uint32))
+    assert got.tolist() == [perplexity.symbol_of(c) for c in codes]
+
+
+def test_case_digits_and_marks_are_told_apart(spark, monkeypatch):
+    base = "in town 7 by 7, (she) said"
+    other = [base.upper(), base.replace("7", "3"), base.replace(",", ";"), base.replace("a", "á"), base.replace(" ", "\t")]
+    rows = [(i, f"{base} {base}", "en") for i in range(30)]
+    rows += [(30 + i, f"{t} {t}", "en") for i, t in enumerate(other)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+
+    def scores():
+        return {r.doc_id: r.log_perplexity for r in perplexity.assess(docs).collect()}
+
+    got = scores()
+    assert all(got[i] == got[0] for i in range(30)) and all(got[30 + i] > got[0] for i in range(5))
+    # Where few n-grams or none are in arrays the others are joined, with the same results.
+    for most in (20, 0):
+        monkeypatch.setattr(perplexity, "OWN_ROWS", most)
+        assert scores() == pytest.approx(got, abs=1e-5)
+
+
+def test_counts_of_n_grams_don_t_depend_on_what_a_task_holds(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("abAB1é漢"), 40)) for _ in range(200)]
+    docs = spark.createDataFrame([("xy"[i % 2], t) for i, t in enumerate(texts)], "model string, text string")
+    want = collections.Counter()
+    for i, t in enumerate(texts):
+        codes = [perplexity.symbol_of(ord(c)) for c in "\n" * 3 + t]
+        want.update(("xy"[i % 2], *codes[k : k + 4]) for k in range(len(t)))
+
+    def counted():
+        counts = perplexity.count_grams(docs)
+        wide = perplexity.widened(counts.filter("gram is not null and not classes"))
+        own = counts.filter("gram is null").select("model", "context", "symbol", "n")
+        return {
+            (r.model, r.context >> 42, r.context >> 21 & 0x1FFFFF, r.context & 0x1FFFFF, r.symbol): r.n
+            for r in wide.unionByName(own).collect()
+        }
+
+    assert counted() == want
+    monkeypatch.setattr(perplexity, "OWN_HELD", 50)
+    assert counted() == want
+
+
 def test_grams_don_t_cross_texts():
     both, bounds = perplexity.grams(["abc", "", "de"])
     assert bounds.tolist() == [0, 3, 3, 5]
