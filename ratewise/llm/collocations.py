@@ -9,9 +9,11 @@ phrases that share a hash only add up. No frequent phrase is lost by that.
 
 The candidates of a level, split by hash into shards of a bounded size, become
 double-array tries: a state's children lie at its base plus their symbol, and hold the
-state as their parent. A shard's trie is broadcast; each task lets the states of all
-positions advance at once, symbol by symbol, by numpy, and counts the accepting states
-it meets. These counts, exact ones of each phrase, are summed over the tasks.
+state as their parent. One pass over the blocks sends each shard the sequences that may be
+its candidates, each with how often a task met it. The task that has a shard builds its trie
+and lets the states of many sequences advance at once, symbol by symbol, by numpy; what
+the accepting states add up are exact counts. So a level's work grows with the blocks, not
+with the blocks times the shards.
 
 A symbol is the 64-bit hash of a word or, first, of the label that phrases are kept
 apart by. Scores are integers of up to 38 digits.
@@ -20,11 +22,11 @@ apart by. Scores are integers of up to 38 digits.
 from __future__ import annotations
 
 import math
-import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -35,18 +37,22 @@ from ratewise.llm.text import WordHash, finish, groups_of, text_bytes
 from ratewise.session import scratch_path
 
 _HASH = WordHash(1201)
-#: Candidates of one trie; with all its arrays that is below 40 MB.
-SHARD = 1 << 19
+#: Candidates of one trie; with all its arrays that is below 10 MB.
+SHARD = 1 << 17
 #: Bits of the largest map that keeps infrequent parts away (32 MB). It is sized by what
 #: it holds; beyond this it lets more pass, which costs rows, never a phrase.
 SIEVE_BITS = 1 << 28
 #: Positions whose sums meet in one task at most.
 SUMMED = 1 << 20
+#: Sequences that a task holds before it sends them to their shards.
+SENT = 1 << 19
 #: Keys of candidates that tasks are told not to give again, at most (8 MB).
 KNOWN = 1 << 20
 #: One in so many blocks gives its candidates before the others.
 _WAVES = 8
 _BLOCK_BYTES = 1 << 20
+#: Blocks of a file; Spark reads all of a file's that fit a batch at once.
+_FILE_BLOCKS = 16
 _SLICE = 1 << 16
 _WINDOW = 256
 
@@ -147,10 +153,23 @@ def block_of_texts(texts: list[bytes], labels: list[str]) -> Block:
     )
 
 
+def _small(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, each in as few bytes as the largest needs; first, how many these are."""
+    kind = np.min_scalar_type(int(numbers.max()) if len(numbers) else 0)
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    """The numbers of ``_small``."""
+    data = value.as_buffer()
+    width = np.frombuffer(data, np.uint8, 1)[0]
+    return np.frombuffer(data, f"u{width}", offset=1).astype(np.int32)
+
+
 #: A block as a row; all but the labels are the bytes of arrays, of the words those of
-#: their texts, one after the other, and where each begins and the last one ends.
+#: their texts, one after the other, and how many bytes each has.
 _BLOCKS = (
-    "labels array<string>, label_n array<bigint>, word binary, word_at binary, "
+    "labels array<string>, label_n array<bigint>, word binary, word_n binary, "
     "label binary, hash binary, code binary, fresh binary"
 )
 
@@ -167,10 +186,12 @@ def _text_blocks(texts: DataFrame) -> DataFrame:
                 block = block_of_texts(found[a:b], labels[a:b])
                 n = np.bincount(block.label[block.code], minlength=len(block.labels))
                 fresh = np.packbits(np.diff(block.piece, prepend=-1) != 0)
-                words = [b.to_pybytes() if b else b"" for b in block.word.buffers()[:0:-1]]
-                row = [[block.labels], [n.tolist()], *([x] for x in words)]
-                row += [[x.tobytes()] for x in (block.label, block.word_hash, block.code, fresh)]
-                names = ["labels", "label_n", "word", "word_at", "label", "hash", "code", "fresh"]
+                _, bounds, words = block.word.buffers()
+                bounds = np.frombuffer(bounds or bytes(4), np.int32)[: len(block.word) + 1]
+                row = [[block.labels], [n.tolist()], [words.to_pybytes() if words else b""]]
+                row += [[_small(np.diff(bounds))], [_small(block.label)], [block.word_hash.tobytes()]]
+                row += [[_small(block.code)], [fresh.tobytes()]]
+                names = ["labels", "label_n", "word", "word_n", "label", "hash", "code", "fresh"]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names)
 
     return texts.mapInArrow(run, _BLOCKS)
@@ -185,15 +206,16 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         with_words = "word" in batch.schema.names
         for i in range(batch.num_rows):
-            label, code = (array(batch.column(c)[i], np.int32) for c in ("label", "code"))
+            label, code = (_numbers(batch.column(c)[i]) for c in ("label", "code"))
             if not len(code):
                 continue
             labels = batch.column("labels")[i].as_py()
             piece = np.unpackbits(array(batch.column("fresh")[i], np.uint8), count=len(code))
             words = None
             if with_words:
-                buffers = [batch.column(c)[i].as_buffer() for c in ("word_at", "word")]
-                words = pa.StringArray.from_buffers(len(label), *buffers)
+                bounds = np.append(np.int32(0), np.cumsum(_numbers(batch.column("word_n")[i]), dtype=np.int32))
+                text = batch.column("word")[i].as_buffer()
+                words = pa.StringArray.from_buffers(len(label), pa.py_buffer(bounds), text)
             yield Block(
                 labels, label, words,
                 label_hashes(labels)[label], array(batch.column("hash")[i], np.uint64),
@@ -366,18 +388,27 @@ class Trie:
             state = np.where((code >= 0) & (state >= 0) & (self.check[to] == state), to, -1)
         return state
 
+    def counted(
+        self, symbols: np.ndarray, sequences: list[np.ndarray], times: np.ndarray | None = None
+    ) -> np.ndarray:
+        """How often each sequence of the trie is among ``sequences``, which have a place
+        among ``symbols`` for each step; ``times`` says how often each of them counts."""
+        code = self.codes(symbols)
+        state, alive = np.zeros(len(sequences[0]), np.int32), np.arange(len(sequences[0]))
+        for place in sequences:
+            state = self.step(state, code[place[alive]])
+            alive, state = alive[state >= 0], state[state >= 0]
+        # Sums below 2 ** 53 are exact in the floats that add them up.
+        found = np.bincount(self.key[state], None if times is None else times[alive], self.n)
+        return found.astype(np.int64)
+
     def accepted(self, block: Block, words: int) -> np.ndarray:
         """How often each sequence of a label and ``words`` words occurs in a block."""
         at = block.starts(words)
-        code = self.codes(block.word_hash)
-        label = self.codes(label_hashes(block.labels))[block.label]
-        # The label and the first word lead each distinct labelled word to one state.
-        state = self.step(self.step(np.zeros(len(label), np.int32), label), code)[block.code[at]]
-        for k in range(1, words):
-            alive = state >= 0
-            state, at = state[alive], at[alive]
-            state = self.step(state, code[block.code[at + k]])
-        return np.bincount(self.key[state[state >= 0]], minlength=self.n)
+        symbols = np.concatenate([label_hashes(block.labels), block.word_hash])
+        sequences = [block.label[block.code[at]]]
+        sequences += [len(block.labels) + block.code[at + k] for k in range(words)]
+        return self.counted(symbols, sequences)
 
 
 class _Slots:
@@ -545,14 +576,13 @@ def _given(
 
 
 def _candidates(
-    blocks: DataFrame, words: int, parts: Broadcast | None, bounds: DataFrame, bits: int
+    blocks: DataFrame, words: int, parts: Broadcast | None, held: Broadcast, bits: int
 ) -> DataFrame:
-    """(key, label, phrase): the phrases that may be within the ``bounds`` (key).
+    """(key, label, phrase): the phrases whose bounds are ``held``.
 
     Some of the blocks go first; tasks of the others leave out what these have given. That
     list is bounded, and what it doesn't hold is given again, which costs rows only.
     """
-    held = sieve_of(bounds)
     early = F.pmod(F.xxhash64("fresh", "hash"), F.lit(_WAVES)) == 0
     first = _given(blocks.filter(early), words, parts, held, bits)
     first = _written(first, f"phrase-early-{words}")
@@ -560,57 +590,143 @@ def _candidates(
     return first.union(rest).distinct()
 
 
-def _trie_of(candidates: DataFrame, words: int) -> Trie | None:
-    """The trie of the one shard in ``candidates`` (shard, number, label, phrase), built by
-    a task; a sequence's number in it is ``number``. None without candidates."""
+def _sequences(
+    blocks: DataFrame, words: int, parts: Broadcast | None, held: Broadcast, bits: int, split: int
+) -> DataFrame:
+    """(shard, symbols, sequences, times): the phrases whose bounds are ``held``, as a task
+    met them, by shard: the first ``split`` bits of their keys. ``symbols`` are the hashes of
+    labels and words; the sequences are places among them, all labels first, then all first words."""
+    shift, below = np.uint64(64 - bits), np.uint64(64 - split)
+    sized = {1: np.uint8, 2: np.uint16}
+
+    def of_block(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, key = _safe(block, words, parts)
+        likely = held.value.has(key >> shift)
+        at, key = at[likely], key[likely]
+        which, kinds = pd.factorize(key)
+        place = first_places(which)
+        n = np.bincount(which)
+        if words == 1:  # of a word only its first position is there
+            n = np.bincount(block.code)[block.code[at[place]]]
+        at = at[place]
+        symbols = [block.label_hash[block.code[at]]]
+        symbols += [block.word_hash[block.code[at + k]] for k in range(words)]
+        return kinds, n, np.stack(symbols)
+
+    def merged(found: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key, n = (np.concatenate(x) for x in list(zip(*found, strict=True))[:2])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
+        total = np.add.reduceat(n[order], first) if len(first) else n
+        return key[first], total, np.concatenate([x[2] for x in found], axis=1)[:, order[first]]
+
+    def given(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, n, symbols = merged(found)
+        shard = (key >> below).astype(np.int64) if split else np.zeros(len(key), np.int64)
+        begin = np.flatnonzero(np.diff(shard, prepend=-1))
+        for a, b in zip(begin, [*begin[1:], len(key)], strict=True):
+            place, known = pd.factorize(symbols[:, a:b].ravel())
+            kind = sized.get((max(len(known) - 1, 1).bit_length() + 7) // 8, np.uint32)
+            data = [known.tobytes(), place.astype(kind).tobytes(), n[a:b].astype(np.uint32).tobytes()]
+            row = [pa.array([shard[a]], pa.int32()), *(pa.array([x], pa.binary()) for x in data)]
+            yield pa.RecordBatch.from_arrays(row, ["shard", "symbols", "sequences", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for block in _read(batches):
+            found.append(of_block(block))
+            size += len(found[-1][0])
+            if size > SENT:
+                found = [merged(found)]
+                size = len(found[0][0])
+                if size > SENT // 2:
+                    yield from given(found)
+                    found, size = [], 0
+        if size:
+            yield from given(found)
+
+    return blocks.mapInArrow(run, "shard int, symbols binary, sequences binary, times binary")
 
-    def build(table: pa.Table) -> pa.Table:
-        table = table.sort_by("number")
-        rows = np.empty((table.num_rows, words + 1), np.uint64)
-        for a in range(0, table.num_rows, _SLICE):
-            part = table.slice(a, _SLICE)
-            texts, labels = text_bytes(part.column("phrase")), part.column("label").to_pylist()
-            block = block_of_texts(texts, labels)
-            code = block.code[block.starts(words)[:, None] + np.arange(words)]
-            rows[a : a + _SLICE, 0] = block.label_hash[code[:, 0]]
-            rows[a : a + _SLICE, 1:] = block.word_hash[code]
-        return pa.table({"trie": pa.array([pickle.dumps(build_trie(rows))], pa.binary())})
 
-    whole = candidates.groupBy("shard").applyInArrow(build, "trie binary").first()
-    return pickle.loads(whole["trie"]) if whole else None
+def _trie_of(label: pa.ChunkedArray, phrase: pa.ChunkedArray, words: int) -> Trie:
+    """The trie of phrases; a sequence's number in it is its place among them."""
+    rows = np.empty((len(phrase), words + 1), np.uint64)
+    for a in range(0, len(phrase), _SLICE):
+        texts, labels = text_bytes(phrase.slice(a, _SLICE)), label.slice(a, _SLICE).to_pylist()
+        block = block_of_texts(texts, labels)
+        code = block.code[block.starts(words)[:, None] + np.arange(words)]
+        rows[a : a + _SLICE, 0] = block.label_hash[code[:, 0]]
+        rows[a : a + _SLICE, 1:] = block.word_hash[code]
+    return build_trie(rows)
 
 
 def _exact_counts(
-    blocks: DataFrame, words: int, shared: Broadcast, positions: int, least: int
+    candidates: DataFrame, sequences: DataFrame, words: int, split: int, least: int
 ) -> DataFrame:
-    """(key, n): occurrences of the sequences of a trie, by their number."""
-
-    def of_block(block: Block) -> tuple[np.ndarray, np.ndarray]:
-        total = shared.value.accepted(block, words)
-        met = np.flatnonzero(total)
-        return met.astype(np.uint64), total[met]
+    """(label, phrase, n): how often the candidates (key, label, phrase) are among the
+    sequences, those from ``least`` on. A task has one shard's trie at a time."""
+    shard = F.shiftrightunsigned("key", 64 - split) if split else F.lit(0)
+    names = candidates.select(
+        shard.cast("int").alias("shard"), "label", "phrase",
+        *(F.lit(None).cast("binary").alias(c) for c in ("symbols", "sequences", "times")),
+    )
+    met = sequences.select(
+        "shard", *(F.lit(None).cast("string").alias(c) for c in ("label", "phrase")),
+        "symbols", "sequences", "times",
+    )
+    both = names.unionByName(met).withColumn("met", F.col("symbols").isNotNull())
 
-    return summed(blocks, of_block, max(shared.value.n.bit_length(), 1), positions, least)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, trie, total = None, None, None
+        pieces: list[pa.RecordBatch] = []
 
+        def given() -> Iterator[pa.RecordBatch]:
+            if trie is not None:
+                enough = np.flatnonzero(total >= least)
+                columns = [x.take(pa.array(enough)).combine_chunks() for x in pa.Table.from_batches(pieces).columns]
+                columns.append(pa.array(total[enough], pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, ["label", "phrase", "n"])
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+        for batch in batches:
+            shards = batch.column("shard").to_numpy()
+            is_met = batch.column("met").to_numpy(zero_copy_only=False)
+            begin = np.flatnonzero(np.diff(shards * 2 + is_met, prepend=-1))
+            for a, b in zip(begin.tolist(), [*begin.tolist()[1:], len(shards)], strict=True):
+                if shards[a] != now:
+                    yield from given()
+                    now, trie, total, pieces = shards[a], None, None, []
+                part = batch.slice(a, b - a)
+                if not is_met[a]:
+                    # Copied, or the whole batch would stay in memory.
+                    names = part.select(["label", "phrase"])
+                    pieces.append(names.take(pa.array(np.arange(b - a))))
+                    continue
+                if not pieces:  # no phrase of these is a candidate
+                    continue
+                if trie is None:
+                    names = pa.Table.from_batches(pieces)
+                    trie = _trie_of(names["label"], names["phrase"], words)
+                    total = np.zeros(trie.n, np.int64)
+                for i in range(b - a):
+                    data = [part.column(c)[i].as_buffer() for c in ("symbols", "sequences", "times")]
+                    times = np.frombuffer(data[2], np.uint32)
+                    kind = f"u{len(data[1]) // len(times) // (words + 1)}"
+                    place = np.frombuffer(data[1], kind).reshape(words + 1, -1)
+                    total += trie.counted(np.frombuffer(data[0], np.uint64), list(place), times)
+        yield from given()
+
+    by_shard = both.repartition("shard").sortWithinPartitions("shard", "met")
+    return by_shard.mapInArrow(run, "label string, phrase string, n bigint")
+
+
+def _written(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+    """``df`` read from files, of at most so many rows if that is given."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def _numbered(candidates: DataFrame, shards: int) -> DataFrame:
-    """Candidates with their shard and a number within it, by key."""
-    split = candidates.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-
-    def number(table: pa.Table) -> pa.Table:
-        place = pa.array(np.arange(table.num_rows))
-        return table.sort_by("key").append_column("number", place)
-
-    schema = "key bigint, label string, phrase string, shard int, number bigint"
-    return split.groupBy("shard").applyInArrow(number, schema)
-
-
 def frequent_phrases(
     texts: DataFrame, min_count: int = 10, max_words: int = 3, shard: int = SHARD
 ) -> tuple[DataFrame, DataFrame]:
@@ -618,11 +734,9 @@ def frequent_phrases(
     one to ``max_words`` words that occur ``min_count`` times or more, of ``texts`` (label, text).
 
     Phrases lie within a piece of text and may overlap. The texts are read once; each
-    level goes through their blocks three times, and once more for every ``shard``
-    candidates beyond the first.
+    level goes through their blocks three times, however many shards its candidates fill.
     """
-    context = texts.sparkSession.sparkContext
-    named = _written(_text_blocks(texts), "phrase-blocks")
+    named = _written(_text_blocks(texts), "phrase-blocks", _FILE_BLOCKS)
     blocks = named.select("labels", "label", "hash", "code", "fresh")
     of_label = named.select(F.explode(F.arrays_zip("labels", "label_n")).alias("x"))
     totals = of_label.groupBy(F.col("x.labels").alias("label")).agg(F.sum("x.label_n").alias("n"))
@@ -634,26 +748,18 @@ def frequent_phrases(
         parts = sieve_of(_phrase_keys(level, n - 1)) if n > 1 else None
         bounds = _upper_bounds(blocks, n, parts, bits, positions, min_count)
         bounds = _written(bounds, f"phrase-bounds-{n}")
-        wanted = _written(_candidates(named, n, parts, bounds, bits), f"phrase-candidates-{n}")
-        shards = max(math.ceil(wanted.count() / shard), 1)
-        split = _written(_numbered(wanted, shards), f"phrase-shards-{n}")
-        counts = None
-        for k in range(shards):
-            own = _trie_of(split.filter(F.col("shard") == k), n)
-            if own is None:
-                continue
-            trie = context.broadcast(own)
-            part = _exact_counts(blocks, n, trie, positions, min_count)
-            part = part.select(F.lit(k).alias("shard"), F.col("key").alias("number"), "n")
-            part = _written(part, f"phrase-counts-{n}-{k}")
-            trie.unpersist()
-            counts = part if counts is None else counts.unionByName(part)
-        if counts is None:
+        held = sieve_of(bounds)
+        wanted = _written(_candidates(named, n, parts, held, bits), f"phrase-candidates-{n}")
+        candidates = wanted.count()
+        if not candidates:
             break
-        level = split.join(counts, ["shard", "number"]).select(
-            "label", "phrase", F.lit(n).alias("size"), "n"
-        )
-        level = _written(level, f"phrases-{n}")
+        split = (max(math.ceil(candidates / shard), 1) - 1).bit_length()
+        sequences = _sequences(blocks, n, parts, held, bits, split)
+        level = _exact_counts(wanted, sequences, n, split, min_count)
+        level = _written(level.select("label", "phrase", F.lit(n).alias("size"), "n"), f"phrases-{n}")
+        for shared in (parts, held):
+            if shared is not None:
+                shared.unpersist()
         found = level if found is None else found.unionByName(level)
     if found is None:
         found = texts.sparkSession.createDataFrame([], "label string, phrase string, size int, n bigint")

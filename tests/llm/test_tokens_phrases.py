@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -378,3 +379,49 @@ def test_candidates_of_the_first_blocks_are_not_given_again(spark, monkeypatch):
     monkeypatch.setattr(collocations, "KNOWN", 2)
     monkeypatch.setattr(collocations, "_WAVES", 3)
     assert sorted(map(tuple, collocations.collocations(texts, "label", "text").collect())) == want != []
+
+
+def test_shards_of_candidates_need_no_pass_of_their_own(spark, monkeypatch):
+    rows = [(f"one two three four five {'ab'[i % 2]} x{i % 9} . y{i}", "ab"[i % 3 == 0]) for i in range(300)]
+    texts = spark.createDataFrame(rows, "text string, label string").repartition(5)
+    written, write = [], collocations._written
+    monkeypatch.setattr(collocations, "_written", lambda df, name, *rows: written.append(name) or write(df, name, *rows))
+
+    def found(shard):
+        written.clear()
+        _, phrases = collocations.frequent_phrases(texts, shard=shard)
+        return sorted(map(tuple, phrases.collect())), len(written)
+
+    want, few = found(1 << 17)
+    assert {(r[2], r[3]) for r in want} >= {(1, 200), (3, 100)} and len(want) > 40
+    # A trie of two phrases: many shards, as many passes over the blocks.
+    assert found(2) == (want, few)
+    # Blocks of a text or two, and tasks that send their sequences at once.
+    monkeypatch.setattr(collocations, "_BLOCK_BYTES", 60)
+    monkeypatch.setattr(collocations, "SENT", 5)
+    assert found(3) == (want, few)
+
+
+def test_tries_count_sequences_as_often_as_they_say():
+    rng = np.random.default_rng(5)
+    symbols = rng.integers(0, 2**64, 50, dtype=np.uint64)
+    places = np.unique(rng.integers(0, 40, (300, 3)), axis=0)
+    trie = collocations.build_trie(symbols[places])
+    met = np.concatenate([places, rng.integers(0, 50, (400, 3))])
+    times = rng.integers(1, 2**31, len(met))
+    want = Counter()
+    for row, n in zip(met.tolist(), times.tolist(), strict=True):
+        want[tuple(row)] += n
+    got = trie.counted(symbols, list(met.T), times)
+    assert got.tolist() == [want[tuple(p)] for p in places.tolist()]
+    one = trie.counted(symbols, list(met.T))
+    assert one.tolist() == [(met == p).all(axis=1).sum() for p in places]
+
+
+def test_numbers_of_a_block_come_back_in_any_width():
+    for most in (0, 255, 256, 65_535, 65_536, 2**31 - 1):
+        numbers = np.array([0, most // 2, most], np.int32)
+        small = collocations._small(numbers)
+        assert len(small) == 1 + 3 * np.min_scalar_type(most).itemsize
+        assert collocations._numbers(pa.scalar(small, pa.binary())).tolist() == numbers.tolist()
+    assert collocations._numbers(pa.scalar(collocations._small(numbers[:0]), pa.binary())).tolist() == []
