@@ -37,8 +37,8 @@ from ratewise.llm.text import WordHash, finish, groups_of, text_bytes
 from ratewise.session import scratch_path
 
 _HASH = WordHash(1201)
-#: Candidates of one trie; with all its arrays that is below 10 MB.
-SHARD = 1 << 17
+#: Candidates of one trie; with all its arrays that is below 20 MB.
+SHARD = 1 << 18
 #: Bits of the largest map that keeps infrequent parts away (32 MB). It is sized by what
 #: it holds; beyond this it lets more pass, which costs rows, never a phrase.
 SIEVE_BITS = 1 << 28
@@ -52,7 +52,7 @@ KNOWN = 1 << 20
 _WAVES = 8
 _BLOCK_BYTES = 1 << 20
 #: Blocks of a file; Spark reads all of a file's that fit a batch at once.
-_FILE_BLOCKS = 16
+_FILE_BLOCKS = 32
 _SLICE = 1 << 16
 _WINDOW = 256
 
@@ -154,16 +154,20 @@ def block_of_texts(texts: list[bytes], labels: list[str]) -> Block:
 
 
 def _small(numbers: np.ndarray) -> bytes:
-    """Numbers from 0 on, each in as few bytes as the largest needs; first, how many these are."""
-    kind = np.min_scalar_type(int(numbers.max()) if len(numbers) else 0)
-    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+    """Numbers from 0 on, each in as few bytes as the largest needs: first, how many these are,
+    then the lowest byte of all numbers, the next of all, and so on, which compresses well."""
+    width = max((int(numbers.max()).bit_length() + 7) // 8, 1) if len(numbers) else 1
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + planes.tobytes()
 
 
 def _numbers(value: pa.Scalar) -> np.ndarray:
-    """The numbers of ``_small``."""
-    data = value.as_buffer()
-    width = np.frombuffer(data, np.uint8, 1)[0]
-    return np.frombuffer(data, f"u{width}", offset=1).astype(np.int32)
+    """The numbers of ``_small``, as 64 bits."""
+    data = np.frombuffer(value.as_buffer(), np.uint8)
+    planes = data[1:].reshape(int(data[0]), -1)
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, : len(planes)] = planes.T
+    return whole.view("<i8").ravel()
 
 
 #: A block as a row; all but the labels are the bytes of arrays, of the words those of
@@ -206,7 +210,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         with_words = "word" in batch.schema.names
         for i in range(batch.num_rows):
-            label, code = (_numbers(batch.column(c)[i]) for c in ("label", "code"))
+            label, code = (_numbers(batch.column(c)[i]).astype(np.int32) for c in ("label", "code"))
             if not len(code):
                 continue
             labels = batch.column("labels")[i].as_py()
@@ -244,21 +248,20 @@ def summed(
 ) -> DataFrame:
     """(key, n): sums from ``least`` on of what ``of_block`` gives, keys below 2 ** ``bits``.
 
-    A task adds up its own blocks and sends ranges of keys, of which there are so many
+    A task adds up its own blocks and sends ranges of keys, as steps from one to the next, of which there are so many
     that one gets ``SUMMED`` of the ``positions`` on average; keys must be spread evenly.
     """
     ranges = min(max(positions // SUMMED, 1).bit_length(), bits)
     below = np.uint64(max(bits - ranges, 0))
-    small = np.uint32 if bits - ranges <= 32 else np.uint64
 
     def parts(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         key, n = _merged(found)
         bounds = np.searchsorted(key, np.arange(1 << ranges, dtype=np.uint64) << below)
         for i, (a, b) in enumerate(zip(bounds, [*bounds[1:], len(key)], strict=True)):
             if a < b:
-                offset = (key[a:b] - (np.uint64(i) << below)).astype(small)
-                row = [pa.array([i], pa.int32()), pa.array([offset.tobytes()], pa.binary())]
-                row.append(pa.array([n[a:b].astype(np.uint32).tobytes()], pa.binary()))
+                steps = np.diff(key[a:b], prepend=np.uint64(i) << below)
+                row = [pa.array([i], pa.int32()), pa.array([_small(steps)], pa.binary())]
+                row.append(pa.array([_small(n[a:b])], pa.binary()))
                 yield pa.RecordBatch.from_arrays(row, ["range", "keys", "ns"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +281,7 @@ def summed(
     def add(table: pa.Table) -> pa.Table:
         base = np.uint64(table.column("range")[0].as_py()) << below
         rows = zip(table.column("keys"), table.column("ns"), strict=True)
-        found = [
-            (np.frombuffer(k.as_buffer(), small).astype(np.uint64),
-             np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64))
-            for k, n in rows
-        ]
+        found = [(np.cumsum(_numbers(k).view(np.uint64)), _numbers(n)) for k, n in rows]
         key, n = _merged(found)
         enough = n >= least
         return pa.table({"key": pa.array((key[enough] + base).view(np.int64)), "n": pa.array(n[enough])})
@@ -597,7 +596,6 @@ def _sequences(
     met them, by shard: the first ``split`` bits of their keys. ``symbols`` are the hashes of
     labels and words; the sequences are places among them, all labels first, then all first words."""
     shift, below = np.uint64(64 - bits), np.uint64(64 - split)
-    sized = {1: np.uint8, 2: np.uint16}
 
     def of_block(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, key = _safe(block, words, parts)
@@ -627,8 +625,9 @@ def _sequences(
         begin = np.flatnonzero(np.diff(shard, prepend=-1))
         for a, b in zip(begin, [*begin[1:], len(key)], strict=True):
             place, known = pd.factorize(symbols[:, a:b].ravel())
-            kind = sized.get((max(len(known) - 1, 1).bit_length() + 7) // 8, np.uint32)
-            data = [known.tobytes(), place.astype(kind).tobytes(), n[a:b].astype(np.uint32).tobytes()]
+            place = place.reshape(words + 1, -1)
+            order = np.lexsort(place[::-1])  # equal beginnings next to each other take less room
+            data = [known.tobytes(), _small(place[:, order].ravel()), _small(n[a:b][order])]
             row = [pa.array([shard[a]], pa.int32()), *(pa.array([x], pa.binary()) for x in data)]
             yield pa.RecordBatch.from_arrays(row, ["shard", "symbols", "sequences", "times"])
 
@@ -709,11 +708,9 @@ def _exact_counts(
                     trie = _trie_of(names["label"], names["phrase"], words)
                     total = np.zeros(trie.n, np.int64)
                 for i in range(b - a):
-                    data = [part.column(c)[i].as_buffer() for c in ("symbols", "sequences", "times")]
-                    times = np.frombuffer(data[2], np.uint32)
-                    kind = f"u{len(data[1]) // len(times) // (words + 1)}"
-                    place = np.frombuffer(data[1], kind).reshape(words + 1, -1)
-                    total += trie.counted(np.frombuffer(data[0], np.uint64), list(place), times)
+                    symbols = np.frombuffer(part.column("symbols")[i].as_buffer(), np.uint64)
+                    place, times = (_numbers(part.column(c)[i]) for c in ("sequences", "times"))
+                    total += trie.counted(symbols, list(place.reshape(words + 1, -1)), times)
         yield from given()
 
     by_shard = both.repartition("shard").sortWithinPartitions("shard", "met")
